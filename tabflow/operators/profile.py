@@ -9,6 +9,9 @@ and grouping once, with map-side partial aggregation.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,9 +207,6 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
 def qq_table(df: DataFrame, col: str, n_points: int = 100) -> DataFrame:
     """Sample quantiles on a grid of plotting positions against the
     standard-normal quantiles, plus the fitted line (slope, intercept)."""
-    import pandas as pd
-    from statistics import NormalDist
-
     grid = [(i + 0.5) / n_points for i in range(n_points)]
     qs = quantile_columns(df, [col], grid)[col]
     spark = df.sparkSession

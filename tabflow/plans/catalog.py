@@ -421,10 +421,10 @@ def missing_total(spark, sf):
 
 
 def _describe_sql():
-    parts = [f"""select '{c}' as "column", count({c}) as count, round(avg({c}), 6) as mean,
-      round(stddev_samp({c}), 6) as std, round(min({c})::double, 6) as min,
-      round(quantile_cont({c}, 0.25)::double, 6) as q25, round(quantile_cont({c}, 0.5)::double, 6) as q50,
-      round(quantile_cont({c}, 0.75)::double, 6) as q75, round(max({c})::double, 6) as max from sales"""
+    parts = [f"""select '{c}' as "column", count({c}) as count, round(avg({c}), 4) as mean,
+      round(stddev_samp({c}), 4) as std, round(min({c})::double, 4) as min,
+      round(quantile_cont({c}, 0.25)::double, 4) as q25, round(quantile_cont({c}, 0.5)::double, 4) as q50,
+      round(quantile_cont({c}, 0.75)::double, 4) as q75, round(max({c})::double, 4) as max from sales"""
              for c in RETAIL_NUM]
     return with_sales(" union all ".join(parts))
 
@@ -432,7 +432,7 @@ def _describe_sql():
 @register("describe_numeric", _describe_sql())
 def describe_numeric(spark, sf):
     """A5: count, mean, sample std, min, exact quartiles, max."""
-    return round_doubles(profile.describe(_retail(spark, sf), RETAIL_NUM))
+    return round_doubles(profile.describe(_retail(spark, sf), RETAIL_NUM), 4)
 
 
 @register("target_report", with_sales("""
@@ -500,8 +500,9 @@ def price_bin_profile(spark, sf):
 
 
 @register("price_quartiles", with_sales("""
-select p, round(quantile_cont(price, p), 6) as value
-from sales, (select unnest([0.25, 0.5, 0.75]) as p) group by p"""))
+select 0.25 as p, round(quantile_cont(price, 0.25), 6) as value from sales
+union all select 0.5, round(quantile_cont(price, 0.5), 6) from sales
+union all select 0.75, round(quantile_cont(price, 0.75), 6) from sales"""))
 def price_quartiles(spark, sf):
     """Exact interpolated quantiles (bounded-memory selection at scale)."""
     from tabflow.functions.quantiles import exact_quantiles
@@ -560,7 +561,7 @@ select count(*) as rows, cast({" + ".join(f"count_if({c} is null)" for c in RETA
   count_if(sales is null) as target_missing, count_if(sales = 0) as target_zeros,
   count_if(sales < 0) as target_negatives, round(avg(sales), 6) as target_mean,
   round(stddev_samp(sales), 6) as target_std, round(skewness(sales), 6) as target_skewness,
-  (select cast(coalesce(sum(n - 1), 0) as bigint) from (select count(*) as n from r group by all having count(*) > 1))
+  (select cast(coalesce(sum(n - 1), 0) as bigint) from (select count(*) as n from r group by {RETAIL_SQL} having count(*) > 1))
     as n_duplicates,
   {len(RETAIL)} as columns, {len(RETAIL_NUM)} as numeric_columns
 from r"""))
@@ -605,22 +606,22 @@ def _box_sql(group: str | None) -> str:
           max(case when sales >= lower_fence and sales <= upper_fence then sales end) as whisker_high,
           count_if(sales is not null and not (sales >= lower_fence and sales <= upper_fence)) as n_outliers
         from sales {join.replace('qs', 'f')} {gb})
-select {g}round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3, round(iqr, 6) as iqr,
-  round(lower_fence, 6) as lower_fence, round(upper_fence, 6) as upper_fence, round(whisker_low, 6) as whisker_low,
-  round(whisker_high, 6) as whisker_high, n_outliers
+select {g}round(q1, 4) as q1, round(median, 4) as median, round(q3, 4) as q3, round(iqr, 4) as iqr,
+  round(lower_fence, 4) as lower_fence, round(upper_fence, 4) as upper_fence, round(whisker_low, 4) as whisker_low,
+  round(whisker_high, 4) as whisker_high, n_outliers
 from f {join.replace('qs', 'a')}""")
 
 
 @register("box_stats", _box_sql(None))
 def box_stats(spark, sf):
     """Global box-plot statistics."""
-    return round_doubles(profile.box_stats(_retail(spark, sf), "sales"))
+    return round_doubles(profile.box_stats(_retail(spark, sf), "sales"), 4)
 
 
 @register("box_stats_by_outlet_type", _box_sql("outlet_type"))
 def box_stats_by_outlet_type(spark, sf):
     """A22 + J5: per-group quartiles, fences joined back, whiskers and outliers."""
-    return round_doubles(profile.box_stats(_retail(spark, sf), "sales", group="outlet_type"))
+    return round_doubles(profile.box_stats(_retail(spark, sf), "sales", group="outlet_type"), 4)
 
 
 @register("qq_table")
@@ -653,8 +654,10 @@ def _corr_matrix_sql(cols):
     parts = []
     for a in cols:
         for b in cols:
-            e = "1.0" if a == b else f"corr({a}, {b})"
-            parts.append(f"select '{a}' as a, '{b}' as b, round({e}, 6) as correlation from sales")
+            if a == b:
+                parts.append(f"select '{a}' as a, '{b}' as b, 1.0::double as correlation")
+            else:
+                parts.append(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as correlation from sales")
     return with_sales(" union all ".join(parts))
 
 

@@ -9,9 +9,17 @@ from pyspark.sql.types import DoubleType, FloatType
 from tabflow.sources.tables import SALES_SQL
 
 
+def round_scaled(c, digits: int = 6):
+    """``round(x * 10^d) / 10^d`` on the binary value.  ``F.round`` rounds the
+    shortest decimal string half-up, which breaks some ties differently from
+    engines that scale first (DuckDB), so comparison forms use this."""
+    m = float(10 ** digits)
+    return F.round(c * F.lit(m), 0) / F.lit(m)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column (comparison form of a result)."""
-    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+    return df.select(*[round_scaled(F.col(f"`{f.name}`"), digits).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
 

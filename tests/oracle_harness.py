@@ -79,8 +79,12 @@ if __name__ == "__main__":
             continue
         t = time.time()
         if n not in sqls:
-            rows = fn(spark, sf).count()
-            print(f"ROWS  {n}: {rows} rows  {time.time()-t:.1f}s", flush=True)
+            try:
+                rows = fn(spark, sf).count()
+                print(f"ROWS  {n}: {rows} rows  {time.time()-t:.1f}s", flush=True)
+            except Exception as e:  # noqa: BLE001
+                bad += 1
+                print(f"FAIL  {n} {repr(e)[:600]}", flush=True)
             continue
         try:
             r = compare(spark, sf, n, fn, sqls[n], con)
