@@ -77,6 +77,14 @@ def select_k_best(df: DataFrame, target: str, k: int = 15, cols=None):
     return ranked, names
 
 
+def analyze_and_select(df: DataFrame, target: str, k: int = 15, cols=None) -> DataFrame:
+    """FS3: ``(feature, position, abs_correlation, f_score, rank, selected)``
+    -- correlation and F-score from the same single aggregate."""
+    ranked, _names = select_k_best(df, target, k, cols)
+    return ranked.select("feature", "position", F.abs("correlation").alias("abs_correlation"),
+                         "f_score", "rank", "selected")
+
+
 def prepare_modeling_data(df: DataFrame, target: str, exclude=()):
     """FS4 (P1, P19, P3): drop identifiers and target, code string columns
     (E2: sorted values, null -> -1), keep numeric columns only.

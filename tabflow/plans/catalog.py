@@ -42,7 +42,7 @@ def _train(spark, sf):
 # --------------------------------------------------------------------------
 # E3 oracle pieces (SQL form of the fitted feature pipeline)
 
-def _e3_sql(fit_split: str = "train", apply_split: str = "train") -> str:
+def _e3_sql(fit_split: str = "train", apply_split: str = "train", rounded: bool = True) -> str:
     dicts = "\n".join(
         f", d_{c} as (select v, cast(row_number() over (order by v) - 1 as integer) as code "
         f"from (select distinct coalesce({c}, 'Missing') as v from cf))" for c in CATS)
@@ -57,7 +57,7 @@ def _e3_sql(fit_split: str = "train", apply_split: str = "train") -> str:
             cols.append(f"d_{c}.code as {c}")
         elif c in ("l_extendedprice", "weight", "visibility", "price", "sales", "visibility_outlet_mean",
                    "visibility_ratio", "price_visibility", "weight_visibility", "price_weight_ratio"):
-            cols.append(f"round(f.{c}, 6) as {c}")
+            cols.append(f"round(f.{c}, 6) as {c}" if rounded else f"f.{c}")
         else:
             cols.append(f"f.{c}")
     return with_sales(f"""
@@ -697,3 +697,49 @@ def train_test_union(spark, sf):
     train = s.where("split = 'train'").select(*RETAIL)
     test = s.where("split = 'test'").select(*[c for c in RETAIL if c != "sales"])
     return round_doubles(train.unionByName(test, allowMissingColumns=True))
+
+
+# --------------------------------------------------------------------------
+# A25 on engineered features, FS1-FS4
+
+# E3 output columns that are features (ids, fold, split and target excluded;
+# the outlet id is coded but, as in the reference, not a feature).
+E3_FEATURES = ["weight", "fat_content", "visibility", "item_type", "price", "est_year", "outlet_size",
+               "location_type", "outlet_type", "outlet_age", "visibility_outlet_mean", "visibility_ratio",
+               "price_category", "price_visibility", "weight_visibility", "price_weight_ratio"]
+
+
+def _engineered(spark, sf):
+    train = _train(spark, sf)
+    return FeaturePipeline(R).fit(train).transform(train)
+
+
+def _fscore_sql(k: int | None) -> str:
+    parts = [f"""select '{c}' as feature, {i} as position, corr({c}, sales) as r,
+      count_if({c} is not null and sales is not null) as n from e""" for i, c in enumerate(E3_FEATURES)]
+    body = f"""
+with e as ({_e3_sql(rounded=False)})
+, s as ({" union all ".join(parts)})
+, f as (select feature, position, r, n,
+          case when r is null then 0.0 when r * r >= 1.0 then 1.7976931348623157e308
+               else r * r / (1.0 - r * r) * (n - 2) end as f_score from s)
+"""
+    if k is None:
+        return body + """select feature, cast(position as integer) as position, round(r, 4) as correlation,
+  cast(n as bigint) as n, round(f_score, 4) as f_score from f"""
+    return body + f"""select feature, cast(position as integer) as position, round(abs(r), 4) as abs_correlation,
+  round(f_score, 4) as f_score, cast(row_number() over (order by f_score desc, position) as integer) as rank,
+  row_number() over (order by f_score desc, position) <= {k} as selected from f"""
+
+
+@register("feature_f_scores", _fscore_sql(None))
+def feature_f_scores(spark, sf):
+    """FS1: univariate regression F-score of every engineered feature."""
+    return round_doubles(select.f_scores(_engineered(spark, sf), "sales", E3_FEATURES), 4)
+
+
+@register("select_k_best", _fscore_sql(15))
+def select_k_best(spark, sf):
+    """FS2 + FS3 + L4: correlation and F-score ranking, k = 15 best kept
+    (16 candidates, as in the reference's run)."""
+    return round_doubles(select.analyze_and_select(_engineered(spark, sf), "sales", 15, E3_FEATURES), 4)
