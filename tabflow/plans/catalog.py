@@ -15,7 +15,7 @@ from tabflow.plans.features import FeaturePipeline
 from tabflow.plans.oracle import round_doubles, with_sales
 from tabflow.roles import FIXTURE_ROLES as R
 from tabflow.sources.scan import read_table
-from tabflow.sources.tables import load_table, sales
+from tabflow.sources.tables import SALES_SQL, load_table, sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -743,3 +743,306 @@ def select_k_best(spark, sf):
     """FS2 + FS3 + L4: correlation and F-score ranking, k = 15 best kept
     (16 candidates, as in the reference's run)."""
     return round_doubles(select.analyze_and_select(_engineered(spark, sf), "sales", 15, E3_FEATURES), 4)
+
+
+# --------------------------------------------------------------------------
+# M1-M25 modelling, S2-S8 sinks and contracts
+
+from tabflow.models import ensemble as _ens  # noqa: E402
+from tabflow.models import estimators as _est  # noqa: E402
+from tabflow.models import folds as _folds  # noqa: E402
+from tabflow.models import linear as _lin  # noqa: E402
+from tabflow.models import search as _search  # noqa: E402
+from tabflow.models.metrics import summarize_folds  # noqa: E402
+from tabflow.models.scoring import SelectColumns, compare_predictions, load_and_score  # noqa: E402
+from tabflow.plans import modeling as _modeling  # noqa: E402
+from tabflow.session import scratch_path  # noqa: E402
+from tabflow.sources import schema as _schema  # noqa: E402
+from tabflow.sources import sinks as _sinks  # noqa: E402
+
+_C = _search.Candidate
+METRIC_COLS = "model string, fold int, n bigint, rmse double, mae double, r2 double"
+
+
+@register("hash_folds")
+def hash_folds(spark, sf):
+    """M2: fold = pmod(xxhash64(row key, seed), 5), rows per fold."""
+    return _folds.fold_sizes(_folds.with_folds(_train(spark, sf), 5, KEY, 42))
+
+
+_FOLD_FIT = """
+, t as (select * from sales where split = 'train')
+, folds as (select distinct fold as f from t)"""
+
+
+def _fold_metrics_sql(model: str, fit: str, pred: str, where: str = "") -> str:
+    return f"""
+, fit as ({fit})
+, p as (select t.fold, t.sales as y, {pred} as yhat from t join fit on t.fold = fit.f {where})
+, m as (select '{model}' as model, cast(fold as integer) as fold, count(*) as n,
+          sqrt(avg((y - yhat) * (y - yhat))) as rmse, avg(abs(y - yhat)) as mae,
+          1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) as r2 from p group by fold)"""
+
+
+_MEAN_FIT = "select f, avg(sales) as a from folds join t on t.fold <> folds.f group by f"
+_OLS_FIT = ("select f, regr_slope(sales, price) as b, regr_intercept(sales, price) as a "
+            "from folds join t on t.fold <> folds.f where price is not null group by f")
+_M_SELECT = ("select model, fold, n, round(rmse, 4) as rmse, round(mae, 4) as mae, round(r2, 4) as r2 from m")
+
+
+@register("cv_mean_baseline", with_sales(_FOLD_FIT + _fold_metrics_sql("mean", _MEAN_FIT, "fit.a") + _M_SELECT))
+def cv_mean_baseline(spark, sf):
+    """M3 + M4: per-fold RMSE / MAE / R^2 of the training-fold mean."""
+    fm = _search.cross_validate(_train(spark, sf), [_C("mean", "linear_mean", {"kind": "mean"})], [], "sales")
+    return round_doubles(fm, 4)
+
+
+@register("cv_ols_price", with_sales(_FOLD_FIT + _fold_metrics_sql(
+    "ols_price", _OLS_FIT, "fit.a + fit.b * t.price", "where t.price is not null") + _M_SELECT))
+def cv_ols_price(spark, sf):
+    """M8 + M1 + M3: one-feature OLS (scaled, as the reference) per fold."""
+    fm = _search.cross_validate(_train(spark, sf), [_C("ols_price", "linear_ols", {"kind": "ols"})],
+                                ["price"], "sales")
+    return round_doubles(fm, 4)
+
+
+@register("cv_summary", with_sales(
+    _FOLD_FIT + _fold_metrics_sql("mean", _MEAN_FIT, "fit.a").replace(", fit as", ", fit1 as")
+    .replace("join fit on t.fold = fit.f", "join fit1 fit on t.fold = fit.f").replace(", m as", ", m1 as")
+    + _fold_metrics_sql("ols_price", _OLS_FIT, "fit.a + fit.b * t.price", "where t.price is not null")
+    .replace(", fit as", ", fit2 as").replace("join fit on t.fold = fit.f", "join fit2 fit on t.fold = fit.f")
+    .replace(", p as", ", p2 as").replace("from p group", "from p2 group").replace(", m as", ", m2 as") + """
+, m as (select * from m1 union all select * from m2)
+select model, count(*) as n_folds, round(avg(rmse), 4) as rmse_mean, round(stddev_pop(rmse), 4) as rmse_std,
+  round(avg(mae), 4) as mae_mean, round(stddev_pop(mae), 4) as mae_std, round(avg(r2), 4) as r2_mean,
+  round(stddev_pop(r2), 4) as r2_std, printf('%.2f ± %.2f', avg(rmse), stddev_pop(rmse)) as rmse_text
+from m group by model"""))
+def cv_summary(spark, sf):
+    """M5 + P17: mean and population std over folds, ``mean ± std`` text."""
+    fm = _search.cross_validate(_train(spark, sf), [_C("mean", "linear_mean", {"kind": "mean"}),
+                                                    _C("ols_price", "linear_ols", {"kind": "ols"})],
+                                ["price"], "sales")
+    return round_doubles(summarize_folds(fm), 4)
+
+
+_SCALE_COLS = ["weight", "visibility", "price", "est_year"]
+
+
+@register("scaled_features", with_sales(f"""
+select {KEY_SQL}, """ + ", ".join(
+    f"round((({c}) - avg({c}) over ()) / coalesce(nullif(stddev_pop({c}) over (), 0), 1), 6) as {c}"
+    for c in _SCALE_COLS) + " from sales where split = 'train'"))
+def scaled_features(spark, sf):
+    """M1: population standardization fitted on the training split."""
+    t = _train(spark, sf)
+    return round_doubles(_lin.fit_population_scaler(t, _SCALE_COLS).transform(t).select(*KEY, *_SCALE_COLS))
+
+
+def _small_trees():
+    return [_C(f"tree_{i}", "decision_tree", p)
+            for i, p in enumerate(_search.grid({"maxDepth": [5, 8], "minInstancesPerNode": [1, 4]}))]
+
+
+_FOREST_SMALL = {"numTrees": ("choice", [10, 20]), "maxDepth": ("choice", [6, 8]),
+                 "minInstancesPerNode": ("choice", [1, 2]), "featureSubsetStrategy": ("choice", ["sqrt", "log2"])}
+_BOOSTED_SMALL = {"maxIter": ("int", 5, 15), "stepSize": ("logfloat", 0.05, 0.3), "maxDepth": ("int", 3, 5),
+                  "subsamplingRate": ("float", 0.7, 1.0), "featureSubsetStrategy": ("choice", ["all", "0.8"]),
+                  "minInstancesPerNode": ("int", 1, 20), "minInfoGain": ("float", 0.0, 0.01)}
+
+
+@register("linear_grid_search")
+def linear_grid_search(spark, sf):
+    """M8-M11 + M16: OLS, the reference's ridge and lasso grids and an
+    elastic net, all folds from two passes over the engineered table."""
+    cands = _search.linear_candidates(enet=(0.1, 1.0))
+    trials, _ = _search.search(_engineered(spark, sf), cands, E3_FEATURES, "sales")
+    return trials
+
+
+@register("tree_grid_search")
+def tree_grid_search(spark, sf):
+    """M12 + M16: decision-tree grid (depth x leaf size)."""
+    trials, _ = _search.search(_engineered(spark, sf), _small_trees(), E3_FEATURES, "sales")
+    return trials
+
+
+@register("forest_random_search")
+def forest_random_search(spark, sf):
+    """M13 + M14 + M17: seeded random draws for the forest and the
+    forest without bootstrap."""
+    cands = [_C(f"forest_{i}", "random_forest", p) for i, p in enumerate(_search.draw(_FOREST_SMALL, 2, 42))]
+    cands += [_C(f"extra_{i}", "extra_trees", p) for i, p in enumerate(_search.draw(_FOREST_SMALL, 2, 43))]
+    trials, _ = _search.search(_engineered(spark, sf), cands, E3_FEATURES, "sales")
+    return trials
+
+
+@register("boosted_random_search")
+def boosted_random_search(spark, sf):
+    """M15 + M17: seeded random draws for gradient-boosted trees."""
+    cands = [_C(f"boosted_{i}", "boosted_trees", p) for i, p in enumerate(_search.draw(_BOOSTED_SMALL, 2, 44))]
+    trials, _ = _search.search(_engineered(spark, sf), cands, E3_FEATURES, "sales")
+    return trials
+
+
+@register("quick_model_comparison")
+def quick_model_comparison(spark, sf):
+    """Cross-validated comparison of a named model list."""
+    cands = [_C("ols", "linear_ols", {"kind": "ols"}), _C("tree", "decision_tree", {"maxDepth": 6}),
+             _C("boosted", "boosted_trees", {"maxIter": 10, "maxDepth": 4})]
+    return _search.cross_validate(_engineered(spark, sf), cands, E3_FEATURES, "sales")
+
+
+@register("leaderboard")
+def leaderboard(spark, sf):
+    """M6 + M7 + L3 + J8: leaderboard over linear and tree candidates,
+    the best three that have a trained model."""
+    cands = _search.linear_candidates(ridge=(1.0, 100.0), lasso=(1.0,)) + _small_trees()[:2]
+    trials, _ = _search.search(_engineered(spark, sf), cands, E3_FEATURES, "sales")
+    trained = spark.createDataFrame([(c.name,) for c in cands], "model string")
+    return _ens.best_models(_ens.leaderboard(trials, trained), 3)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    """M19 + J6: normalized importances per tree model, pivoted by model,
+    averaged."""
+    df = _engineered(spark, sf)
+    models = {c.name: _ens.fit_candidate(df, c, E3_FEATURES, "sales") for c in [
+        _C("tree", "decision_tree", {"maxDepth": 6}),
+        _C("forest", "random_forest", {"numTrees": 10, "maxDepth": 6}),
+        _C("boosted", "boosted_trees", {"maxIter": 10, "maxDepth": 4})]}
+    return _ens.importances(models, E3_FEATURES)
+
+
+@register("ensemble_cv")
+def ensemble_cv(spark, sf):
+    """Averaging ensemble of two members, refitted per fold, CV-scored."""
+    members = [_C("ols", "linear_ols", {"kind": "ols"}), _C("tree", "decision_tree", {"maxDepth": 8})]
+    return summarize_folds(_ens.cv_ensemble(_engineered(spark, sf), members, E3_FEATURES, "sales"))
+
+
+@register("prediction_comparison", with_sales(f"""
+, t as (select * from sales where split = 'train')
+, fit as (select avg(sales) as a0, regr_slope(sales, price) as b, regr_intercept(sales, price) as a from t)
+, x as (select {KEY_SQL}, fit.a0 as pred_baseline, fit.a + fit.b * price as pred_ols_price
+        from sales, fit where split = 'test')
+, y as (select *, list_filter([pred_baseline, pred_ols_price], lambda v: v is not null) as l from x)
+select {KEY_SQL}, round(pred_baseline, 4) as pred_baseline, round(pred_ols_price, 4) as pred_ols_price,
+  round(list_avg(l), 4) as pred_mean, round(case when len(l) > 1 then list_stddev_samp(l) end, 4) as pred_std,
+  round(list_min(l), 4) as pred_min, round(list_max(l), 4) as pred_max
+from y"""))
+def prediction_comparison(spark, sf):
+    """M22 + J7: two fitted models side by side on the test split with row
+    statistics."""
+    s = sales(spark, sf)
+    train = s.where("split = 'train'")
+    models = {"baseline": _ens.fit_candidate(train, _C("baseline", "linear_mean", {"kind": "mean"}), [], "sales"),
+              "ols_price": _ens.fit_candidate(train, _C("ols_price", "linear_ols", {"kind": "ols"}),
+                                              ["price"], "sales")}
+    return round_doubles(compare_predictions(s.where("split = 'test'"), models, keep=KEY), 4)
+
+
+def _scoring_model(spark, sf):
+    s = sales(spark, sf)
+    train = s.where("split = 'train'")
+    fm = FeaturePipeline(R, unknown="missing").fit(train)
+    eng = fm.transform(train)
+    _ranked, selected = select.select_k_best(eng, "sales", 15, E3_FEATURES)
+    tree = _ens.fit_candidate(eng, _C("tree", "decision_tree", {"maxDepth": 8}), selected, "sales", "prediction")
+    from pyspark.ml import PipelineModel
+    return PipelineModel([fm, SelectColumns(["item_id"] + selected)] + tree.stages), s
+
+
+@register("batch_scoring")
+def batch_scoring(spark, sf):
+    """M21 + S5 + S3 + T8: feature pipeline, selector and model saved as one
+    PipelineModel, loaded back, test split scored, predictions written as
+    CSV and read back."""
+    model, s = _scoring_model(spark, sf)
+    path = scratch_path(spark, "scoring-model")
+    _sinks.save_model(model, path)
+    scored = load_and_score(path, s.where("split = 'test'"), "item_id", "sales")
+    out = scratch_path(spark, "predictions")
+    _sinks.write_predictions(scored, out, "item_id", "sales")
+    return spark.read.schema("item_id string, sales double").option("header", True).csv(out)
+
+
+@register("model_params")
+def model_params(spark, sf):
+    """Parameter listing of a fitted pipeline."""
+    m = _ens.fit_candidate(_engineered(spark, sf), _C("tree", "decision_tree", {"maxDepth": 6}),
+                           E3_FEATURES, "sales")
+    return spark.createDataFrame(_est.model_params(m), "stage string, param string, value string")
+
+
+@register("modeling_run")
+def modeling_run(spark, sf):
+    """Linear -> tree -> forest -> boosted -> leaderboard with the
+    ensemble of the top three entered -> best model refitted."""
+    b = _modeling.Budget(ridge=(1.0, 100.0), lasso=(1.0,), tree_grid={"maxDepth": [5, 8]},
+                         forest_space=_FOREST_SMALL, forest_trials=1, boosted_space=_BOOSTED_SMALL,
+                         boosted_trials=1)
+    return _modeling.run_modeling(_engineered(spark, sf), E3_FEATURES, "sales", "fold", b)["leaderboard"]
+
+
+@register("eda_feature_run")
+def eda_feature_run(spark, sf):
+    """M25 + S2 + A18: profiles, fitted features for both splits written and
+    resumed, preprocessing validation."""
+    s = sales(spark, sf)
+    out = _modeling.run_eda_and_features(s.where("split = 'train'"),
+                                         s.where("split = 'test'").drop("sales"), R,
+                                         scratch_path(spark, "processed"))
+    return out["validation"]
+
+
+@register("processed_table_roundtrip", _e3_sql("train", "train"))
+def processed_table_roundtrip(spark, sf):
+    """Engineered table written as Parquet and resumed."""
+    path = scratch_path(spark, "processed")
+    _sinks.write_table(_engineered(spark, sf), path)
+    return round_doubles(_sinks.resume_table(spark, path))
+
+
+@register("run_log")
+def run_log(spark, sf):
+    """One-row run record of a small CV run."""
+    import time
+    t0 = time.time()
+    fm = _search.cross_validate(_train(spark, sf), [_C("mean", "linear_mean", {"kind": "mean"})], [], "sales")
+    res = {r["model"]: r["rmse_mean"] for r in summarize_folds(fm).collect()}
+    return _sinks.run_log(spark, {"folds": 5, "target": "sales"}, res, t0, "mean", {"sf": sf})
+
+
+# The fixture against the reference's contract, by role name and type.
+_CONTRACT = {"item_id": "string", "weight": "double", "fat_content": "string", "visibility": "double",
+             "item_type": "string", "price": "double", "outlet_id": "string", "est_year": "int",
+             "outlet_size": "string", "location_type": "string", "outlet_type": "string", "sales": "double"}
+_DUCK_TYPE = ("case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' "
+              "when 'VARCHAR' then 'string' else lower(column_type) end")
+
+
+@register("schema_contract", f"""
+with act as (select column_name as c, {_DUCK_TYPE} as t from (describe ({SALES_SQL})))
+, exp as (select * from (values {", ".join(f"('{c}', '{t}')" for c, t in _CONTRACT.items())}) v(c, t))
+select coalesce(exp.c, act.c) as "column",
+  case when act.c is null then 'missing' when exp.c is null then 'extra'
+       when exp.t <> act.t then 'type_mismatch' else 'ok' end as status,
+  exp.t as expected, act.t as actual
+from exp full outer join act on exp.c = act.c""")
+def schema_contract(spark, sf):
+    """Missing / extra / mismatched columns against the contract."""
+    return _schema.contract_check(spark, sales(spark, sf), _CONTRACT)
+
+
+@register("feature_table_diff", f"""
+with o as (select column_name as c, {_DUCK_TYPE} as t from (describe ({SALES_SQL})))
+, p as (select column_name as c, {_DUCK_TYPE} as t from (describe ({_e3_sql(rounded=False)})))
+select coalesce(o.c, p.c) as "column",
+  case when o.c is not null and p.c is not null then 'kept' when o.c is not null then 'dropped' else 'added' end
+    as status, o.t as original_type, p.t as processed_type, false as selected
+from o full outer join p on o.c = p.c""")
+def feature_table_diff(spark, sf):
+    """Columns kept / added / dropped by the feature pipeline, with types."""
+    train = _train(spark, sf)
+    return _schema.feature_diff(spark, train, FeaturePipeline(R).fit(train).transform(train))
