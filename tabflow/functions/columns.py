@@ -41,6 +41,16 @@ def _arr(cols) -> Column:
                                       for c in cols]))
 
 
+def safe_corr(x, y) -> Column:
+    """Pearson correlation that is null (not an ANSI divide-by-zero error)
+    when either side is constant: ``covar_pop / (stddev_pop * stddev_pop)``
+    over the rows where both are non-null (pairwise deletion, as ``corr``)."""
+    x = q(x) if isinstance(x, str) else x
+    y = q(y) if isinstance(y, str) else y
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(y.isNotNull(), x))
+                        * F.stddev_pop(F.when(x.isNotNull(), y)))
+
+
 def row_mean(cols) -> Column:
     """Null-skipping mean across columns of one row."""
     a = _arr(cols)

@@ -1,6 +1,9 @@
-"""Dictionary lookup (J2): a counted-small dictionary becomes a literal map
-inside the projection (no join, stays in codegen); a large one is joined,
-broadcast only while its counted row number is under a bound."""
+"""Dictionary lookup.
+
+A literal map is searched linearly per row, so only a tiny dictionary
+(``LITERAL_ENTRIES``) is inlined into the projection; a larger one is a
+hash join, broadcast while its *counted* row number is under a bound and a
+shuffle join beyond it."""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.columns import q
 
 BROADCAST_ROWS = 500_000
+LITERAL_ENTRIES = 32
 
 
 def apply_lookup(df: DataFrame, key: str, mapping, out: str, n_rows: int | None = None,
@@ -22,9 +26,14 @@ def apply_lookup(df: DataFrame, key: str, mapping, out: str, n_rows: int | None
     if isinstance(mapping, dict):
         if not mapping:
             return df.withColumn(out, F.lit(None))
-        m = F.create_map(*[F.lit(x) for kv in sorted(mapping.items(), key=lambda t: str(t[0]))
-                           for x in kv])
-        return df.withColumn(out, F.try_element_at(m, q(key)))
+        if len(mapping) <= LITERAL_ENTRIES:
+            m = F.create_map(*[F.lit(x) for kv in sorted(mapping.items(), key=lambda t: str(t[0]))
+                               for x in kv])
+            return df.withColumn(out, F.try_element_at(m, q(key)))
+        kt = df.schema[key].dataType.simpleString() if key in df.columns else "string"
+        vt = "int" if all(isinstance(v, int) for v in mapping.values()) else "double"
+        n_rows = len(mapping)
+        mapping = df.sparkSession.createDataFrame(list(mapping.items()), f"k {kt}, v {vt}")
     t = mapping.select(F.col("k").alias("__lk"), F.col("v").alias("__lv"))
     if n_rows is not None and n_rows <= broadcast_rows:
         t = F.broadcast(t)

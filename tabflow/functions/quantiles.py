@@ -105,19 +105,29 @@ def select_ranks(values: DataFrame, n: int, ranks, max_collect: int = MAX_COLLEC
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, max_exact_distinct: int = MAX_EXACT_DISTINCT,
-                    max_collect: int = MAX_COLLECT) -> list:
+                    max_collect: int = MAX_COLLECT, max_rows: int | None = None) -> list:
     """Exact interpolated quantiles of one column; nulls ignored."""
-    return quantile_columns(df, [col], probs, max_exact_distinct, max_collect)[col]
+    return quantile_columns(df, [col], probs, max_exact_distinct, max_collect, max_rows)[col]
 
 
 def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_EXACT_DISTINCT,
-                     max_collect: int = MAX_COLLECT) -> dict:
+                     max_collect: int = MAX_COLLECT, max_rows: int | None = None) -> dict:
     """Exact quantiles for several columns: one pass for counts and distinct
-    estimates, one pass for all columns under the guard, refinement for the rest."""
+    estimates, one pass for all columns under the guard, refinement for the rest.
+
+    ``max_rows``: a known bound on the row count (e.g. from an aggregate the
+    caller already ran); when it is under the guard no column can exceed it,
+    so the estimate pass is skipped.
+    """
     probs = [float(p) for p in probs]
     cols = list(cols)
     if not cols:
         return {}
+    if max_rows is not None and max_rows <= max_exact_distinct:
+        parr = F.array(*[F.lit(p) for p in probs])
+        row = df.agg(*[F.percentile(q(c).cast("double"), parr).alias(f"p{i}") for i, c in enumerate(cols)]).first()
+        return {c: (list(row[f"p{i}"]) if row[f"p{i}"] is not None else [None] * len(probs))
+                for i, c in enumerate(cols)}
     pre = df.agg(*[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)],
                  *[F.approx_count_distinct(q(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]
                  ).first()

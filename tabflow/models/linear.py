@@ -80,11 +80,16 @@ def complete_rows(df: DataFrame, features, target: str) -> DataFrame:
     return df.where(cond)
 
 
-def column_shift(df: DataFrame, features, target: str) -> tuple[np.ndarray, float]:
-    """Global means used as shift, so cross-product sums do not cancel
-    catastrophically for columns with a large mean (one aggregate)."""
-    row = df.agg(*[F.avg(q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)],
-                 F.avg(q(target).cast("double")).alias("my")).first()
+SHIFT_SAMPLE = 10_000
+
+
+def column_shift(df: DataFrame, features, target: str, sample: int = SHIFT_SAMPLE) -> tuple[np.ndarray, float]:
+    """Centering values so cross-product sums do not cancel catastrophically
+    for columns with a large mean.  Any value near the centre of the data
+    works, so the means of a bounded leading sample are used (a limit job
+    reads only the first partitions, not the table)."""
+    row = df.limit(sample).agg(*[F.avg(q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)],
+                               F.avg(q(target).cast("double")).alias("my")).first()
     return (np.array([row[f"m{i}"] or 0.0 for i in range(len(features))], dtype=float),
             float(row["my"] or 0.0))
 

@@ -13,9 +13,9 @@ PRICE_EDGES = (0, 69, 136, 203, 270)
 PRICE_LABELS = ("Low", "Medium", "High", "Very High")
 
 
-def quantile_edges(df: DataFrame, col: str, q_bins: int = 4) -> list:
+def quantile_edges(df: DataFrame, col: str, q_bins: int = 4, max_rows: int | None = None) -> list:
     """Exact quantile edges 0, 1/q, ..., 1; duplicate edges raise (as qcut)."""
-    edges = exact_quantiles(df, col, [i / q_bins for i in range(q_bins + 1)])
+    edges = exact_quantiles(df, col, [i / q_bins for i in range(q_bins + 1)], max_rows=max_rows)
     if any(e is None for e in edges):
         raise ValueError(f"no non-null values in {col!r} to bin")
     if len(set(edges)) != len(edges):

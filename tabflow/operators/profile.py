@@ -135,11 +135,19 @@ def value_counts(df: DataFrame, cols) -> DataFrame:
 
 def sorted_distinct(df: DataFrame, cols) -> DataFrame:
     """A10: ``(column, value, position)`` -- sorted distinct non-null values.
-    The window sorts only the already-distinct values of each column."""
-    from pyspark.sql import Window as W
+
+    Positions come from a distributed global sort of the distinct pairs and
+    ``zipWithIndex`` (one counting job), minus each column's offset; no
+    column's values are ever gathered into a single window partition."""
+    spark = df.sparkSession
     d = stacked(df, cols).where(F.col("value").isNotNull()).distinct()
-    return d.withColumn("position", (F.row_number().over(
-        W.partitionBy("column").orderBy("value")) - 1).cast("int"))
+    idx = (d.orderBy("column", "value").rdd.zipWithIndex()
+           .map(lambda t: (t[0][0], t[0][1], int(t[1]))))
+    ranked = spark.createDataFrame(idx, "column string, value string, gpos long")
+    # one row per column (bounded by the number of columns): first global index
+    first = ranked.groupBy("column").agg(F.min("gpos").alias("first"))
+    return (ranked.join(F.broadcast(first), "column")
+            .select("column", "value", (F.col("gpos") - F.col("first")).cast("int").alias("position")))
 
 
 def category_target_means(df: DataFrame, cols, target: str) -> DataFrame:
@@ -174,19 +182,39 @@ def histogram(df: DataFrame, col: str, bins: int = 50, transform=None) -> DataFr
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float = 1.5) -> DataFrame:
+MAX_GROUP_DISTINCT = 1_000_000   # exact per-group percentile map size we accept
+APPROX_ACCURACY = 1_000_000
+
+
+def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float = 1.5,
+              max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
     """A22 (+J5): quartiles, IQR, whiskers (furthest value inside the
     fences), number outside the fences; globally or per group.
 
-    Two jobs: exact quartiles (grouped ``percentile``), then the fences
-    joined back on the group key for the whisker / outlier aggregate.
+    Global quartiles are exact at any size (bounded-memory selection).  Per
+    group, the exact ``percentile`` keeps one value->count map per group in
+    one task, so it is used only while every group's distinct count is under
+    ``max_group_distinct`` (estimated in one partial aggregate); above that
+    ``approx_percentile`` with high accuracy is used and ``exact`` says so.
+    The fences are then joined back on the group key (a small table: one row
+    per group) for the whisker / outlier aggregate.
     """
     x = q(col)
-    keys = [q(group).alias(group)] if group else []
-    qs = (df.groupBy(*keys).agg(F.percentile(x.cast("double"), F.array(
-        F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p"))
-        .select(*([group] if group else []), F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"),
-                F.col("p")[2].alias("q3")))
+    spark = df.sparkSession
+    if group:
+        nd = (df.groupBy(q(group).alias(group)).agg(F.approx_count_distinct(x, 0.05).alias("nd"))
+              .agg(F.max("nd")).first()[0] or 0)
+        exact = nd <= max_group_distinct
+        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+        pct = (F.percentile(x.cast("double"), probs) if exact
+               else F.percentile_approx(x.cast("double"), probs, APPROX_ACCURACY))
+        qs = (df.groupBy(q(group).alias(group)).agg(pct.alias("p"))
+              .select(group, F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3")))
+    else:
+        exact = True
+        v = quantile_columns(df, [col], [0.25, 0.5, 0.75])[col]
+        qs = spark.createDataFrame([tuple(None if e is None else float(e) for e in v)],
+                                   "q1 double, median double, q3 double")
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     qs = (qs.withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr")))
@@ -199,9 +227,8 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
         F.min(F.when(inside, F.col("__x"))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col("__x"))).cast("double").alias("whisker_high"),
         F.count_if(F.col("__x").isNotNull() & ~inside).alias("n_outliers"))
-    if group:
-        return qs.join(agg, group, "left")
-    return qs.crossJoin(agg)
+    out = qs.join(agg, group, "left") if group else qs.crossJoin(agg)
+    return out if exact else out.withColumn("exact", F.lit(False))
 
 
 def qq_table(df: DataFrame, col: str, n_points: int = 100) -> DataFrame:

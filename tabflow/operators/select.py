@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.columns import numeric_columns, q
+from tabflow.functions.columns import numeric_columns, q, safe_corr
 from tabflow.operators.encode import category_codes
 from tabflow.operators.profile import _long
 
@@ -18,7 +18,7 @@ def target_correlations(df: DataFrame, target: str, cols=None) -> DataFrame:
     """``(feature, correlation, abs_correlation)`` of every numeric
     feature with the target (pairwise null drop), strongest first; one job."""
     cols = [c for c in (cols or numeric_columns(df)) if c != target]
-    agg = df.agg(*[F.corr(q(c).cast("double"), q(target).cast("double")).alias(f"correlation_{i}")
+    agg = df.agg(*[safe_corr(q(c).cast("double"), q(target).cast("double")).alias(f"correlation_{i}")
                    for i, c in enumerate(cols)])
     return (_long(agg, cols, ["correlation"]).withColumnRenamed("column", "feature")
             .withColumn("abs_correlation", F.abs("correlation"))
@@ -30,7 +30,7 @@ def correlation_matrix(df: DataFrame, cols) -> DataFrame:
     aggregate (n(n-1)/2 cells computed once, mirrored)."""
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    agg = df.agg(*[(F.lit(1.0) if i == j else F.corr(q(cols[i]).cast("double"), q(cols[j]).cast("double")))
+    agg = df.agg(*[(F.lit(1.0) if i == j else safe_corr(q(cols[i]).cast("double"), q(cols[j]).cast("double")))
                    .alias(f"c_{i}_{j}") for i, j in pairs])
     structs = []
     for i, j in pairs:
@@ -51,7 +51,7 @@ def f_scores(df: DataFrame, target: str, cols=None) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         x = q(c).cast("double")
-        aggs += [F.corr(x, y).alias(f"corr_{i}"),
+        aggs += [safe_corr(x, y).alias(f"corr_{i}"),
                  F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n_{i}")]
     long = _long(df.agg(*aggs), cols, ["corr", "n"]).withColumnRenamed("column", "feature")
     r2 = F.col("corr") * F.col("corr")
@@ -70,8 +70,12 @@ def select_k_best(df: DataFrame, target: str, k: int = 15, cols=None):
     the k best names in their original column order (k = min(k, n))."""
     from pyspark.sql import Window as W
     s = f_scores(df, target, cols)
+    # scores equal up to rounding noise (e.g. perfectly collinear features)
+    # tie, and ties go to the earlier column; the window sorts one row per
+    # feature (bounded by the number of columns)
+    key = F.round(F.col("f_score") * F.lit(1e6), 0) / F.lit(1e6)
     ranked = s.withColumn("rank", F.row_number().over(
-        W.orderBy(F.desc("f_score"), F.asc("position"))).cast("int"))  # one row per feature
+        W.orderBy(key.desc(), F.asc("position"))).cast("int"))
     ranked = ranked.withColumn("selected", F.col("rank") <= F.lit(k))
     names = [r["feature"] for r in ranked.where("selected").orderBy("position").collect()]
     return ranked, names

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.columns import q, row_max, row_mean, row_min, row_std, safe_ratio
 from tabflow.operators import binning, clean, derive, encode, profile, quality, select
 from tabflow.plans.features import FeaturePipeline
-from tabflow.plans.oracle import round_doubles, with_sales
+from tabflow.plans.oracle import bigint_counts, round_doubles, with_sales
 from tabflow.roles import FIXTURE_ROLES as R
 from tabflow.sources.scan import read_table
 from tabflow.sources.tables import SALES_SQL, load_table, sales
@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = bigint_counts(sql)
         return fn
     return deco
 
@@ -728,8 +728,9 @@ with e as ({_e3_sql(rounded=False)})
         return body + """select feature, cast(position as integer) as position, round(r, 4) as correlation,
   cast(n as bigint) as n, round(f_score, 4) as f_score from f"""
     return body + f"""select feature, cast(position as integer) as position, round(abs(r), 4) as abs_correlation,
-  round(f_score, 4) as f_score, cast(row_number() over (order by f_score desc, position) as integer) as rank,
-  row_number() over (order by f_score desc, position) <= {k} as selected from f"""
+  round(f_score, 4) as f_score,
+  cast(row_number() over (order by round(f_score, 6) desc, position) as integer) as rank,
+  row_number() over (order by round(f_score, 6) desc, position) <= {k} as selected from f"""
 
 
 @register("feature_f_scores", _fscore_sql(None))
@@ -1019,7 +1020,7 @@ _CONTRACT = {"item_id": "string", "weight": "double", "fat_content": "string", "
              "item_type": "string", "price": "double", "outlet_id": "string", "est_year": "int",
              "outlet_size": "string", "location_type": "string", "outlet_type": "string", "sales": "double"}
 _DUCK_TYPE = ("case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' "
-              "when 'VARCHAR' then 'string' else lower(column_type) end")
+              "when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' else lower(column_type) end")
 
 
 @register("schema_contract", f"""
@@ -1046,3 +1047,85 @@ def feature_table_diff(spark, sf):
     """Columns kept / added / dropped by the feature pipeline, with types."""
     train = _train(spark, sf)
     return _schema.feature_diff(spark, train, FeaturePipeline(R).fit(train).transform(train))
+
+
+@register("column_type_counts", f"""
+select {_DUCK_TYPE.replace("column_type", "column_type")} as type, count(*) as n_columns
+from (describe lineitem) group by 1""")
+def column_type_counts(spark, sf):
+    """A1: number of columns per type."""
+    return profile.type_counts(load_table(spark, sf, "lineitem"))
+
+
+# E3 output columns in order; all but these two strings are numeric.
+E3_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "fold", "split",
+              "item_id", "weight", "fat_content", "visibility", "item_type", "price", "outlet_id", "est_year",
+              "outlet_size", "location_type", "outlet_type", "sales", "outlet_age", "visibility_outlet_mean",
+              "visibility_ratio", "price_category", "price_visibility", "weight_visibility", "price_weight_ratio"]
+SALES_COLUMNS = E3_COLUMNS[:19]
+
+
+def _validation_sql() -> str:
+    num = [c for c in E3_COLUMNS if c not in ("split", "item_id")]
+    miss_o = " + ".join(f"count_if({c} is null)" for c in SALES_COLUMNS)
+    miss_p = " + ".join(f"count_if({c} is null)" for c in E3_COLUMNS)
+    inf_p = " + ".join(f"count_if(isinf({c}::double))" for c in num)
+    neg = " union all ".join(f"select 'negative_values' as c, '{c}' as s, count_if({c} < 0) as n from e"
+                             for c in num if c != "sales")
+    return f"""
+with e as ({_e3_sql(rounded=False)})
+, o as (select * from ({SALES_SQL}) where split = 'train')
+select 'missing_total' as "check", 'original' as subject, cast({miss_o} as bigint) as n from o
+union all select 'missing_total', 'processed', cast({miss_p} as bigint) from e
+union all select 'infinite_total', 'processed', cast({inf_p} as bigint) from e
+union all select 'columns_of_type', {_DUCK_TYPE}, count(*) from (describe ({_e3_sql(rounded=False)})) group by 2
+union all select * from ({neg}) where n > 0"""
+
+
+@register("preprocessing_validation", _validation_sql())
+def preprocessing_validation(spark, sf):
+    """Missing cells before/after, infinite cells, columns per type,
+    unexpected negatives (target excluded)."""
+    train = _train(spark, sf)
+    return quality.validate_preprocessing(train, FeaturePipeline(R).fit(train).transform(train), "sales")
+
+
+@register("result_sinks")
+def result_sinks(spark, sf):
+    """Leaderboard and fold metrics written as tables and read back."""
+    trials, fm = _search.search(_train(spark, sf), [_C("mean", "linear_mean", {"kind": "mean"}),
+                                                   _C("ols_price", "linear_ols", {"kind": "ols"})],
+                                ["price"], "sales")
+    paths = _sinks.write_results({"leaderboard": _ens.leaderboard(trials), "fold_metrics": fm},
+                                 scratch_path(spark, "results"))
+    return _sinks.resume_table(spark, paths["leaderboard"])
+
+
+_RIDGE_ALPHA, _LASSO_ALPHA = 100.0, 10.0
+_MOMENT_FIT = ("select f, count(*) as n, avg(price) as mx, avg(sales) as my, covar_pop(sales, price) as cv, "
+               "var_pop(price) as vx from folds join t on t.fold <> folds.f where price is not null group by f")
+
+
+@register("cv_ridge_price", with_sales(_FOLD_FIT + _fold_metrics_sql(
+    "ridge_price", f"""select f, n * cv / (vx * (n + {_RIDGE_ALPHA})) as b,
+      my - n * cv / (vx * (n + {_RIDGE_ALPHA})) * mx as a from ({_MOMENT_FIT})""",
+    "fit.a + fit.b * t.price", "where t.price is not null") + _M_SELECT))
+def cv_ridge_price(spark, sf):
+    """M9 (+M1): ridge on one population-scaled feature, per fold; closed
+    form in the oracle."""
+    fm = _search.cross_validate(_train(spark, sf), [_C("ridge_price", "linear_ridge",
+                                                       {"kind": "ridge", "alpha": _RIDGE_ALPHA})], ["price"], "sales")
+    return round_doubles(fm, 4)
+
+
+@register("cv_lasso_price", with_sales(_FOLD_FIT + _fold_metrics_sql(
+    "lasso_price", f"""select f, sign(cv / sqrt(vx)) * greatest(abs(cv / sqrt(vx)) - {_LASSO_ALPHA}, 0) / sqrt(vx)
+      as b, my - sign(cv / sqrt(vx)) * greatest(abs(cv / sqrt(vx)) - {_LASSO_ALPHA}, 0) / sqrt(vx) * mx as a
+      from ({_MOMENT_FIT})""",
+    "fit.a + fit.b * t.price", "where t.price is not null") + _M_SELECT))
+def cv_lasso_price(spark, sf):
+    """M10 (+M1): lasso on one population-scaled feature (soft threshold),
+    per fold."""
+    fm = _search.cross_validate(_train(spark, sf), [_C("lasso_price", "linear_lasso",
+                                                       {"kind": "lasso", "alpha": _LASSO_ALPHA})], ["price"], "sales")
+    return round_doubles(fm, 4)

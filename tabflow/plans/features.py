@@ -61,22 +61,24 @@ def roles_json(r: Roles) -> str:
     return json.dumps(asdict(r))
 
 
-def visibility_stats(df: DataFrame, r: Roles) -> tuple:
+def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None) -> tuple:
     """One grouped pass by outlet -> (weight mean, positive-visibility mean,
-    outlet means as dict or table, number of outlets)."""
+    outlet means as dict or table, number of outlets).  ``counts`` (if given)
+    receives the total row count of the pass."""
     has = set(df.columns)
     v, o = q(r.visibility), q(r.outlet_id)
-    aggs = [F.sum(q(r.weight)).alias("sw"), F.count(q(r.weight)).alias("nw")] if r.weight in has else []
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.sum(q(r.weight)).alias("sw"), F.count(q(r.weight)).alias("nw")] if r.weight in has else []
     if r.visibility in has:
         aggs += [F.sum(F.when(v > 0, v)).alias("sp"), F.count_if(v > 0).alias("np"),
                  F.sum(F.when(v != 0, v)).alias("snz"), F.count_if(v == 0).alias("nz"),
                  F.count(v).alias("nv")]
-    if not aggs:
-        return None, None, None, None, 0
     key = o if r.outlet_id in has else F.lit(None).cast("string")
     g = df.groupBy(key.alias("k")).agg(*aggs).persist()
     try:
         tot = g.agg(*[F.sum(c).alias(c) for c in g.columns if c != "k"]).first().asDict()
+        if counts is not None:
+            counts["rows"] = tot["rows"] or 0
         wmean = (tot["sw"] / tot["nw"]) if r.weight in has and tot["nw"] else None
         if r.visibility not in has:
             return wmean, None, None, None, 0
@@ -128,10 +130,11 @@ def category_stats(df: DataFrame, r: Roles, encode_cats: bool = True):
 
 def fit_stats(df: DataFrame, r: Roles, q_bins: int = 4, encode_cats: bool = True) -> FeatureStats:
     s = FeatureStats()
-    s.weight_mean, s.vis_pos_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(df, r)
+    counts = {}
+    s.weight_mean, s.vis_pos_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(df, r, counts)
     s.size_mode, s.dictionaries = category_stats(df, r, encode_cats)
     if r.price in df.columns:
-        s.price_edges = quantile_edges(df, r.price, q_bins)
+        s.price_edges = quantile_edges(df, r.price, q_bins, max_rows=counts.get("rows"))
     return s
 
 
@@ -140,9 +143,10 @@ def _batch_stats(df: DataFrame, r: Roles, s: FeatureStats, q_bins: int) -> Featu
     the batch (after the fitted imputation); the rest stays fitted."""
     b = FeatureStats(**{**s.__dict__})
     base = _impute(df, r, s)
-    _w, b.vis_pos_mean, b.outlet_means, b.outlet_table, b.n_outlets = visibility_stats(base, r)
+    counts = {}
+    _w, b.vis_pos_mean, b.outlet_means, b.outlet_table, b.n_outlets = visibility_stats(base, r, counts)
     if r.price in df.columns:
-        b.price_edges = quantile_edges(base, r.price, q_bins)
+        b.price_edges = quantile_edges(base, r.price, q_bins, max_rows=counts.get("rows"))
     return b
 
 

@@ -31,3 +31,23 @@ def with_sales(body: str) -> str:
 
 def r6(expr: str, alias: str, d: int = 6) -> str:
     return f"round({expr}, {d}) as {alias}"
+
+
+def bigint_counts(sql: str) -> str:
+    """Rewrite ``count_if(expr)`` as ``(count(*) filter (where expr))``: the
+    same count, typed BIGINT in DuckDB (``count_if`` is HUGEINT there),
+    matching Spark's ``count_if`` (bigint)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth = j + len(key), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(key):k - 1])
+        out.append(f"(count(*) filter (where {inner}))")
+        i = k

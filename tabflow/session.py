@@ -35,6 +35,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def balanced(df):
+    """Spread an under-partitioned scan over the cluster's cores.
+
+    A small table stored as one Parquet row group is read by one task no
+    matter how many splits are planned, and every narrow stage after it
+    (joins against broadcast sides, projections, partial aggregates, model
+    fits on a persisted copy) inherits that single partition.  When a scan
+    yields fewer partitions than the default parallelism it is
+    round-robin repartitioned (Spark sorts before a round-robin exchange, so
+    a retried task gets the same rows).  Large inputs already have many more
+    partitions than cores and pass through untouched: no extra shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage: the cluster's ``spark.checkpoint.dir``.
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.session import balanced
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """One driver table; an under-partitioned scan is spread over the cores
+    (see :func:`tabflow.session.balanced`) unless it is only a broadcast side."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df) if balance else df
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +26,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_quantity", "l_discount")
-    part = load_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    part = load_table(spark, sf_dir, "part", balance=False).select("p_partkey", "p_type", "p_retailprice")
     b = li.join(part, li.l_partkey == part.p_partkey).withColumn("k", F.col("l_suppkey") % 10)
     k = F.col("k")
     price = (F.col("p_retailprice") - F.lit(900.0)) * F.lit(2.7)
