@@ -98,9 +98,11 @@ def test_feature_pipeline_fit_transform_property_and_persistence(spark, tmp_path
 
 
 def test_feature_pipeline_partition_invariant(spark):
+    """Same result with 1 and 13 partitions (up to floating summation order)."""
+    from tabflow.plans.oracle import round_doubles
     s = sales(spark, SF).where("split = 'train'")
-    a = sorted(FeaturePipeline(R).fit(s.repartition(1)).transform(s).collect())
-    b = sorted(FeaturePipeline(R).fit(s.repartition(13)).transform(s).collect())
+    a = sorted(round_doubles(FeaturePipeline(R).fit(s.repartition(1)).transform(s), 8).collect())
+    b = sorted(round_doubles(FeaturePipeline(R).fit(s.repartition(13)).transform(s), 8).collect())
     assert a == b
 
 
