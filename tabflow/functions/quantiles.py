@@ -111,13 +111,15 @@ def exact_quantiles(df: DataFrame, col: str, probs, max_exact_distinct: int = MA
 
 
 def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_EXACT_DISTINCT,
-                     max_collect: int = MAX_COLLECT, max_rows: int | None = None) -> dict:
+                     max_collect: int = MAX_COLLECT, max_rows: int | None = None,
+                     stats: dict | None = None) -> dict:
     """Exact quantiles for several columns: one pass for counts and distinct
     estimates, one pass for all columns under the guard, refinement for the rest.
 
     ``max_rows``: a known bound on the row count (e.g. from an aggregate the
     caller already ran); when it is under the guard no column can exceed it,
-    so the estimate pass is skipped.
+    so the estimate pass is skipped.  ``stats``: ``{col: (non-null count,
+    distinct estimate)}`` from the caller's own aggregate, same effect.
     """
     probs = [float(p) for p in probs]
     cols = list(cols)
@@ -128,9 +130,13 @@ def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_E
         row = df.agg(*[F.percentile(q(c).cast("double"), parr).alias(f"p{i}") for i, c in enumerate(cols)]).first()
         return {c: (list(row[f"p{i}"]) if row[f"p{i}"] is not None else [None] * len(probs))
                 for i, c in enumerate(cols)}
-    pre = df.agg(*[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                 *[F.approx_count_distinct(q(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]
-                 ).first()
+    if stats is not None and all(c in stats for c in cols):
+        pre = {**{f"n{i}": stats[c][0] for i, c in enumerate(cols)},
+               **{f"d{i}": stats[c][1] for i, c in enumerate(cols)}}
+    else:
+        pre = df.agg(*[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(q(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]
+                     ).first()
     res = {}
     cheap = [i for i, _ in enumerate(cols) if pre[f"d{i}"] <= max_exact_distinct]
     if cheap:

@@ -80,35 +80,43 @@ def missing_total(df: DataFrame, cols=None) -> DataFrame:
 
 
 def describe(df: DataFrame, cols=None) -> DataFrame:
-    """A5: count, mean, sample std, min, exact 25/50/75 %, max per column
-    (one moments job + the exact quantile jobs)."""
+    """A5: count, mean, sample std, min, exact 25/50/75 %, max per column.
+    The moments pass also carries each column's distinct estimate, so the
+    exact quantiles need one more pass (or bounded refinement passes for a
+    column above the exact-map guard)."""
     cols = list(cols or numeric_columns(df))
     fields = ["count", "mean", "std", "min", "max"]
-    agg = df.agg(*[e for i, c in enumerate(cols) for e in (
+    row = df.agg(*[e for i, c in enumerate(cols) for e in (
         F.count(q(c)).alias(f"count_{i}"), F.avg(q(c)).alias(f"mean_{i}"),
         F.stddev_samp(q(c)).alias(f"std_{i}"), F.min(q(c)).cast("double").alias(f"min_{i}"),
-        F.max(q(c)).cast("double").alias(f"max_{i}"))])
-    qs = quantile_columns(df, cols, [0.25, 0.5, 0.75])
+        F.max(q(c)).cast("double").alias(f"max_{i}"),
+        F.approx_count_distinct(q(c), 0.05).alias(f"ndv_{i}"))]).first()
+    qs = quantile_columns(df, cols, [0.25, 0.5, 0.75],
+                          stats={c: (row[f"count_{i}"], row[f"ndv_{i}"]) for i, c in enumerate(cols)})
     spark = df.sparkSession
-    qdf = spark.createDataFrame([(c, *[None if v is None else float(v) for v in qs[c]]) for c in cols],
-                                "column string, q25 double, q50 double, q75 double")
-    return (_long(agg, cols, fields).join(qdf, "column")
-            .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
+    rows = [(c, *[row[f"{f}_{i}"] for f in fields], *[None if v is None else float(v) for v in qs[c]])
+            for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, "
+                                       "max double, q25 double, q50 double, q75 double").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def target_report(df: DataFrame, target: str) -> DataFrame:
     """A20 (with A6, A7): describe + adjusted skewness and kurtosis + zero and
-    negative counts, one row."""
+    negative counts, one row; the moments pass carries the distinct
+    estimate, so the exact quartiles need one more pass."""
     t = q(target)
-    agg = df.agg(F.count(t).alias("count"), F.avg(t).alias("mean"), F.stddev_samp(t).alias("std"),
-                 F.min(t).alias("min"), F.max(t).alias("max"),
+    row = df.agg(F.count(t).alias("count"), F.avg(t).alias("mean"), F.stddev_samp(t).alias("std"),
+                 F.min(t).cast("double").alias("min"), F.max(t).cast("double").alias("max"),
                  adjusted_skewness(t).alias("skewness"), adjusted_kurtosis(t).alias("kurtosis"),
                  F.count_if(t == 0).alias("zeros"), F.count_if(t < 0).alias("negatives"),
-                 F.count_if(t.isNull()).alias("missing"))
-    qs = quantile_columns(df, [target], [0.25, 0.5, 0.75])[target]
-    return agg.select("count", "mean", "std", "min", F.lit(qs[0]).cast("double").alias("q25"),
-                      F.lit(qs[1]).cast("double").alias("q50"), F.lit(qs[2]).cast("double").alias("q75"),
-                      "max", "skewness", "kurtosis", "zeros", "negatives", "missing")
+                 F.count_if(t.isNull()).alias("missing"), F.approx_count_distinct(t, 0.05).alias("ndv")).first()
+    qs = quantile_columns(df, [target], [0.25, 0.5, 0.75], stats={target: (row["count"], row["ndv"])})[target]
+    vals = (row["count"], row["mean"], row["std"], row["min"], *[None if v is None else float(v) for v in qs],
+            row["max"], row["skewness"], row["kurtosis"], row["zeros"], row["negatives"], row["missing"])
+    return df.sparkSession.createDataFrame([vals], (
+        "count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double, "
+        "skewness double, kurtosis double, zeros bigint, negatives bigint, missing bigint"))
 
 
 def stacked(df: DataFrame, cols, extra=()) -> DataFrame:
