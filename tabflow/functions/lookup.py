@@ -39,3 +39,13 @@ def apply_lookup(df: DataFrame, key: str, mapping, out: str, n_rows: int | None
         t = F.broadcast(t)
     return (df.join(t, q(key) == F.col("__lk"), "left").drop("__lk")
             .withColumnRenamed("__lv", out))
+
+
+def counted_broadcast(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived side table (group statistics, dictionaries) for a join back
+    to the rows: it is persisted and counted, and broadcast when the count
+    is under ``bound`` -- so the large side is never shuffled by a key that
+    may hold a third of the rows.  Above the bound it is left to a shuffle
+    join (AQE splits skewed partitions)."""
+    small = small.persist()
+    return F.broadcast(small) if small.count() <= bound else small

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import q
+from tabflow.functions.lookup import counted_broadcast
 
 
 def fit_mean(df: DataFrame, cols) -> dict:
@@ -111,12 +112,12 @@ def replace_unknown(df: DataFrame, col: str, known: DataFrame | list, token: str
     """Values not in the known set -> ``token`` (nulls stay null).
 
     A list becomes an IN-set in the projection; a DataFrame dictionary is a
-    left join (broadcast left to the optimizer's size check).
+    left join, broadcast when its counted size is under the bound.
     """
     c = q(col)
     if isinstance(known, (list, tuple, set)):
         return df.withColumn(col, F.when(c.isNull() | c.isin(*list(known)), c).otherwise(F.lit(token)))
-    k = known.select(F.col(known_col).alias("__known")).distinct()
+    k = counted_broadcast(known.select(F.col(known_col).alias("__known")).distinct())
     j = df.join(k, c == F.col("__known"), "left")
     return j.withColumn(col, F.when(c.isNull() | F.col("__known").isNotNull(), c)
                         .otherwise(F.lit(token))).drop("__known")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import q, safe_ratio
+from tabflow.functions.lookup import counted_broadcast
 
 
 def age(df: DataFrame, year_col: str, out: str, reference_year: int = 2013) -> DataFrame:
@@ -41,13 +42,13 @@ def attach_group_mean(df: DataFrame, group_col: str, value_col: str, out: str,
 
     Written as grouped aggregate + join instead of ``avg().over(partitionBy)``:
     the aggregate is partial per task, so a hot key holding a third of the rows
-    costs one row per task rather than one giant window partition, and AQE
-    turns the join into a broadcast when the aggregated side is small at run
-    time (else a sort-merge join with skew splitting).  Column order of
-    ``df`` is kept.
+    costs one row per task rather than one giant window partition.  The
+    means table is counted and broadcast below a bound, so the rows are
+    never shuffled by the (possibly skewed) group key; above it, a shuffle
+    join with AQE skew splitting.  Column order of ``df`` is kept.
     """
     m = means if means is not None else group_means(df, group_col, value_col, out)
-    m = m.select(q(group_col).alias("__g"), q(out).alias("__m"))
+    m = counted_broadcast(m.select(q(group_col).alias("__g"), q(out).alias("__m")))
     return (df.join(m, q(group_col) == F.col("__g"), "left").drop("__g")
             .withColumnRenamed("__m", out))
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import adjusted_kurtosis, adjusted_skewness, numeric_columns, q
+from tabflow.functions.lookup import counted_broadcast
 from tabflow.functions.quantiles import quantile_columns
 
 
@@ -227,6 +228,7 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
     qs = (qs.withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr")))
     if group:
+        qs = counted_broadcast(qs)   # one row per group: rows are not shuffled by the group key
         j = df.select(q(group).alias(group), x.alias("__x")).join(qs, group)
     else:
         j = df.select(x.alias("__x")).crossJoin(F.broadcast(qs))
