@@ -95,13 +95,16 @@ def _linear_config(c: Candidate) -> linear.LinearConfig:
 
 
 def _cv_tree(data: DataFrame, c: Candidate, features, target: str, fold_col: str, folds,
-             pool: ThreadPoolExecutor) -> DataFrame:
+             pool: ThreadPoolExecutor, keep: dict | None = None) -> DataFrame:
     pipe = tree_pipeline(c.family, c.params, features, target, name=c.name, prediction_col="__p")
 
     def fit(f):
         return pipe.fit(data.where(q(fold_col) != F.lit(f)))
 
     models = list(pool.map(fit, folds))
+    if keep is not None:
+        for f, m in zip(folds, models):
+            keep[(c.name, f)] = m
     preds = [m.transform(data.where(q(fold_col) == F.lit(f))).select(
         F.lit(c.name).alias("model"), q(fold_col).cast("int").alias("fold"), q(target).alias("__y"), "__p")
         for f, m in zip(folds, models)]
@@ -109,9 +112,11 @@ def _cv_tree(data: DataFrame, c: Candidate, features, target: str, fold_col: str
 
 
 def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
-                   parallelism: int = 4) -> DataFrame:
+                   parallelism: int = 4, keep_models: dict | None = None) -> DataFrame:
     """Fold metrics ``(model, fold, n, rmse, mae, r2)`` for every
-    candidate (collected: candidates x folds rows)."""
+    candidate (collected: candidates x folds rows).  ``keep_models`` (a
+    dict) receives every fold model as ``(name, fold) -> model`` so an
+    ensemble can be scored without refitting its members."""
     features = list(features)
     spark = df.sparkSession
     data = linear.complete_rows(df.select(*[q(c) for c in dict.fromkeys(features + [target, fold_col])]),
@@ -121,15 +126,21 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         out = []
         lin = [c for c in candidates if c.family.startswith("linear_")]
         if lin:
-            m, _ = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin])
+            m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin])
             out += m.collect()
+            if keep_models is not None:
+                for c in lin:
+                    for f in folds:
+                        b, w = sol[(c.name, f)]
+                        keep_models[(c.name, f)] = linear.LinearFormulaModel(features, list(w), b, "__p")
         trees = [c for c in candidates if c.family in TREE_FAMILIES]
         if trees:
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
                 # configurations in parallel too: each submits its fold fits to the same pool
                 with ThreadPoolExecutor(max_workers=max(1, parallelism)) as outer:
                     parts = list(outer.map(
-                        lambda c: _cv_tree(data, c, features, target, fold_col, folds, pool).collect(), trees))
+                        lambda c: _cv_tree(data, c, features, target, fold_col, folds, pool,
+                                           keep_models).collect(), trees))
             for p in parts:
                 out += p
         schema = "model string, fold int, n bigint, rmse double, mae double, r2 double"
@@ -139,11 +150,11 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
 
 
 def search(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
-           parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+           parallelism: int = 4, keep_models: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``(trials, fold_metrics)``; ``trials`` = one row per
     candidate with family, params JSON and the fold summary."""
     candidates = list(candidates)
-    fm = cross_validate(df, candidates, features, target, fold_col, parallelism)
+    fm = cross_validate(df, candidates, features, target, fold_col, parallelism, keep_models)
     spark = df.sparkSession
     meta = spark.createDataFrame([(c.name, c.family, c.params_json()) for c in candidates],
                                  "model string, family string, params string")

@@ -160,3 +160,17 @@ def test_streaming_scoring_matches_batch(spark, tmp_path):
     streamed = sorted(spark.read.parquet(str(tmp_path / "out")).collect())
     batch = sorted(load_and_score(str(tmp_path / "m"), test, "item_id", "sales").collect())
     assert streamed == batch and len(batch) > 0
+
+
+def test_ensemble_cv_reuses_search_fold_models(xy):
+    df, X, y = xy
+    members = [S.Candidate("ols", "linear_ols", {"kind": "ols"}),
+               S.Candidate("tree", "decision_tree", {"maxDepth": 3})]
+    kept = {}
+    S.cross_validate(df, members, ["a", "b", "c"], "y", "fold", keep_models=kept)
+    assert len(kept) == 2 * 4
+    refit = sorted(E.cv_ensemble(df, members, ["a", "b", "c"], "y", "fold").collect())
+    reused = sorted(E.cv_ensemble(df, members, ["a", "b", "c"], "y", "fold", fold_models=kept).collect())
+    for a, b in zip(refit, reused):
+        assert a["fold"] == b["fold"] and a["n"] == b["n"]
+        assert abs(a["rmse"] - b["rmse"]) < 1e-6 * max(1.0, a["rmse"])
