@@ -1,12 +1,13 @@
 """The whole fitted feature pipeline as a Spark ML Estimator/Model.
 
-fit      -> statistics in four column-pruned scans:
-            (1) one grouped pass by outlet gives the weight mean, the
-                positive-visibility mean and every outlet's mean of the
-                repaired visibility (algebraically, no second pass);
-            (2) one stacked value count of all categoricals gives the size
-                mode and every code dictionary;
-            (3-4) exact price quartiles (count/ndv pass + percentile pass).
+fit      -> statistics in two column-pruned scans:
+            (1) one stacked aggregate over (column, value) gives the value
+                counts of every categorical (size mode, code dictionaries)
+                and, on the outlet entries, the sums from which the weight
+                mean, the positive-visibility mean and every outlet's mean
+                of the repaired visibility follow algebraically;
+            (2) exact price quartiles (the estimate pass is skipped when the
+                row count from (1) is under the exact-map guard).
 transform-> one projection chain (literal lookups for counted-small state,
             joins for large state); no shuffle when state is small.
 
@@ -61,20 +62,30 @@ def roles_json(r: Roles) -> str:
     return json.dumps(asdict(r))
 
 
-def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None) -> tuple:
-    """One grouped pass by outlet -> (weight mean, positive-visibility mean,
-    outlet means as dict or table, number of outlets).  ``counts`` (if given)
-    receives the total row count of the pass."""
+def _outlet_aggs(w, v) -> list:
+    """Per-outlet sums from which every weight / visibility statistic of the
+    fit is derived (row count, weight sum/count, positive, non-zero and
+    zero visibility sums/counts)."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(w).alias("sw"), F.count(w).alias("nw"),
+            F.sum(F.when(v > 0, v)).alias("sp"), F.count_if(v > 0).alias("np"),
+            F.sum(F.when(v != 0, v)).alias("snz"), F.count_if(v == 0).alias("nz"), F.count(v).alias("nv")]
+
+
+def _numeric(df: DataFrame, c: str):
+    return q(c).cast("double") if c in df.columns else F.lit(None).cast("double")
+
+
+def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None,
+                     grouped: DataFrame | None = None) -> tuple:
+    """Outlet-grouped sums -> (weight mean, positive-visibility mean, outlet
+    means as dict or table, number of outlets).  ``grouped`` (``k`` + the
+    :func:`_outlet_aggs` columns) is computed here unless the caller already
+    has it from a combined pass.  ``counts`` receives the total row count."""
     has = set(df.columns)
-    v, o = q(r.visibility), q(r.outlet_id)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.sum(q(r.weight)).alias("sw"), F.count(q(r.weight)).alias("nw")] if r.weight in has else []
-    if r.visibility in has:
-        aggs += [F.sum(F.when(v > 0, v)).alias("sp"), F.count_if(v > 0).alias("np"),
-                 F.sum(F.when(v != 0, v)).alias("snz"), F.count_if(v == 0).alias("nz"),
-                 F.count(v).alias("nv")]
-    key = o if r.outlet_id in has else F.lit(None).cast("string")
-    g = df.groupBy(key.alias("k")).agg(*aggs).persist()
+    if grouped is None:
+        key = q(r.outlet_id).cast("string") if r.outlet_id in has else F.lit(None).cast("string")
+        grouped = df.groupBy(key.alias("k")).agg(*_outlet_aggs(_numeric(df, r.weight), _numeric(df, r.visibility)))
+    g = grouped.persist()
     try:
         tot = g.agg(*[F.sum(c).alias(c) for c in g.columns if c != "k"]).first().asDict()
         if counts is not None:
@@ -101,12 +112,13 @@ def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None) -> tup
         g.unpersist()
 
 
-def category_stats(df: DataFrame, r: Roles, encode_cats: bool = True):
-    """One stacked value count of all categoricals -> (size mode, dictionaries)."""
+def category_stats(df: DataFrame, r: Roles, encode_cats: bool = True, vc: DataFrame | None = None):
+    """Stacked value counts of all categoricals -> (size mode, dictionaries);
+    ``vc`` (``column, value, count``) is computed here unless given."""
     cats = [c for c in r.categoricals if c in df.columns]
     if not cats:
         return None, {}
-    vc = stacked_value_counts(df, cats).persist()
+    vc = (vc if vc is not None else stacked_value_counts(df, cats)).persist()
     try:
         mode = None
         if r.size in cats:
@@ -128,11 +140,53 @@ def category_stats(df: DataFrame, r: Roles, encode_cats: bool = True):
         vc.unpersist()
 
 
+OUTLET_ENTRY = "__outlet"
+
+
+def fit_table(df: DataFrame, r: Roles) -> tuple[DataFrame, str]:
+    """One scan for both the categorical value counts and the outlet sums.
+
+    Every row is stacked into one ``(column, value, w, v)`` entry per
+    categorical; the outlet entry also carries weight and visibility (the
+    others carry nulls), and one grouped aggregate over ``(column, value)``
+    yields value counts for every categorical and the outlet sums at once.
+    Partial aggregation per task keeps the shuffle at one row per
+    (column, value) per task, whatever the skew.  Returns the table and the
+    name of the outlet entry."""
+    has = set(df.columns)
+    cats = [c for c in r.categoricals if c in has]
+    entry = r.outlet_id if r.outlet_id in cats else OUTLET_ENTRY
+    w, v, none = _numeric(df, r.weight), _numeric(df, r.visibility), F.lit(None).cast("double")
+
+    def item(name, value, carry):
+        return F.struct(F.lit(name).alias("column"), value.alias("value"),
+                        (w if carry else none).alias("w"), (v if carry else none).alias("v"))
+
+    items = [item(c, q(c).cast("string"), c == entry) for c in cats]
+    if entry == OUTLET_ENTRY:
+        key = q(r.outlet_id).cast("string") if r.outlet_id in has else F.lit(None).cast("string")
+        items.append(item(OUTLET_ENTRY, key, True))
+    pairs = df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
+    return pairs.groupBy("column", "value").agg(*_outlet_aggs(F.col("w"), F.col("v"))), entry
+
+
 def fit_stats(df: DataFrame, r: Roles, q_bins: int = 4, encode_cats: bool = True) -> FeatureStats:
+    """All fitted statistics in two scans: the combined stacked aggregate
+    (:func:`fit_table`) and the exact price quantiles (whose estimate pass is
+    skipped when the row count from the first scan is under the guard)."""
     s = FeatureStats()
     counts = {}
-    s.weight_mean, s.vis_pos_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(df, r, counts)
-    s.size_mode, s.dictionaries = category_stats(df, r, encode_cats)
+    t, entry = fit_table(df, r)
+    t = t.persist()
+    try:
+        grouped = t.where(F.col("column") == entry).select(F.col("value").alias("k"), *[
+            c for c in t.columns if c not in ("column", "value")])
+        s.weight_mean, s.vis_pos_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(
+            df, r, counts, grouped)
+        vc = t.where(F.col("column") != OUTLET_ENTRY).select("column", "value", F.col("rows").alias("count"))
+        s.size_mode, s.dictionaries = category_stats(df, r, encode_cats, vc)
+    finally:
+        t.unpersist()
     if r.price in df.columns:
         s.price_edges = quantile_edges(df, r.price, q_bins, max_rows=counts.get("rows"))
     return s
