@@ -166,8 +166,19 @@ def _coordinate_descent(G: np.ndarray, c: np.ndarray, l1: float, l2: float,
     return w
 
 
-def solve(m: Moments, cfg: LinearConfig, shift=None) -> tuple[float, np.ndarray]:
-    """Coefficients ``(intercept, w)`` in raw units for one configuration."""
+def _pop_std(m: Moments, shift) -> np.ndarray:
+    d = len(m.sx)
+    cx = shift[0] if shift is not None else np.zeros(d)
+    mx = m.sx / m.n
+    s = np.sqrt(np.maximum(np.diag(m.sxx - m.n * np.outer(mx, mx)), 0.0) / m.n)
+    s[s <= 1e-12 * np.maximum(1.0, np.abs(mx + cx))] = 1.0   # constant column -> divisor 1
+    return s
+
+
+def solve(m: Moments, cfg: LinearConfig, shift=None, scale_std=None) -> tuple[float, np.ndarray]:
+    """Coefficients ``(intercept, w)`` in raw units for one configuration.
+    ``scale_std``: population stds to scale by instead of the training
+    rows' own (the reference's scaler fitted on all rows, T10)."""
     d = len(m.sx)
     cx, cy = shift if shift is not None else (np.zeros(d), 0.0)
     if m.n <= 0:
@@ -178,8 +189,7 @@ def solve(m: Moments, cfg: LinearConfig, shift=None) -> tuple[float, np.ndarray]
     C = m.sxx - m.n * np.outer(mx, mx)           # centered cross-products
     cxy = m.sxy - m.n * mx * my
     if cfg.scale:
-        s = np.sqrt(np.maximum(np.diag(C), 0.0) / m.n)
-        s[s <= 1e-12 * np.maximum(1.0, np.abs(mx + cx))] = 1.0   # constant column -> divisor 1
+        s = np.array(scale_std, dtype=float) if scale_std is not None else _pop_std(m, shift)
     else:
         s = np.ones(d)
     Cs = C / np.outer(s, s)
@@ -206,12 +216,15 @@ def prediction_expr(features, intercept: float, coef) -> F.Column:
     return e
 
 
-def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs) -> tuple[DataFrame, dict]:
+def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs,
+              fit_scope: str = "fold") -> tuple[DataFrame, dict]:
     """M3 for the linear family: ``(fold_metrics, solutions)``.
 
     ``fold_metrics``: ``(model, fold, n, rmse, mae, r2)`` for every config
     and fold, from one scoring pass; ``solutions[(name, fold)] =
     (intercept, coef)`` plus ``solutions[(name, None)]`` fitted on all rows.
+    ``fit_scope``: ``"fold"`` scales on each training fold (default, no
+    leak); ``"global"`` scales on all rows first, as the reference does (T10).
     """
     features, configs = list(features), list(configs)
     data = complete_rows(df, features, target)
@@ -220,11 +233,14 @@ def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs) -> t
     total = None
     for m in per_fold.values():
         total = m if total is None else total + m
+    if fit_scope not in ("fold", "global"):
+        raise ValueError(f"fit_scope must be 'fold' or 'global', not {fit_scope!r}")
+    glob = _pop_std(total, shift) if fit_scope == "global" else None
     sol = {}
     for cfg in configs:
         sol[(cfg.name, None)] = solve(total, cfg, shift)
         for f, m in per_fold.items():
-            sol[(cfg.name, f)] = solve(total - m, cfg, shift)
+            sol[(cfg.name, f)] = solve(total - m, cfg, shift, glob)
     rows = [(cfg.name, int(f), float(sol[(cfg.name, f)][0]), [float(x) for x in sol[(cfg.name, f)][1]])
             for cfg in configs for f in per_fold]
     spark = df.sparkSession

@@ -112,11 +112,12 @@ def _cv_tree(data: DataFrame, c: Candidate, features, target: str, fold_col: str
 
 
 def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
-                   parallelism: int = 4, keep_models: dict | None = None) -> DataFrame:
+                   parallelism: int = 4, keep_models: dict | None = None, fit_scope: str = "fold") -> DataFrame:
     """Fold metrics ``(model, fold, n, rmse, mae, r2)`` for every
     candidate (collected: candidates x folds rows).  ``keep_models`` (a
     dict) receives every fold model as ``(name, fold) -> model`` so an
-    ensemble can be scored without refitting its members."""
+    ensemble can be scored without refitting its members.  ``fit_scope``
+    for linear scaling: ``"fold"`` (default) or ``"global"`` (T10)."""
     features = list(features)
     spark = df.sparkSession
     data = linear.complete_rows(df.select(*[q(c) for c in dict.fromkeys(features + [target, fold_col])]),
@@ -126,7 +127,8 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         out = []
         lin = [c for c in candidates if c.family.startswith("linear_")]
         if lin:
-            m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin])
+            m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin],
+                                      fit_scope)
             out += m.collect()
             if keep_models is not None:
                 for c in lin:

@@ -174,3 +174,14 @@ def test_ensemble_cv_reuses_search_fold_models(xy):
     for a, b in zip(refit, reused):
         assert a["fold"] == b["fold"] and a["n"] == b["n"]
         assert abs(a["rmse"] - b["rmse"]) < 1e-6 * max(1.0, a["rmse"])
+
+
+def test_global_fit_scope_changes_only_penalized_models(xy):
+    df, X, y = xy
+    cands = [S.Candidate("ols", "linear_ols", {"kind": "ols"}),
+             S.Candidate("ridge", "linear_ridge", {"kind": "ridge", "alpha": 200.0})]
+    a = {(r["model"], r["fold"]): r["rmse"] for r in S.cross_validate(df, cands, ["a", "b", "c"], "y").collect()}
+    b = {(r["model"], r["fold"]): r["rmse"] for r in
+         S.cross_validate(df, cands, ["a", "b", "c"], "y", fit_scope="global").collect()}
+    assert all(abs(a[k] - b[k]) < 1e-8 for k in a if k[0] == "ols")      # scaling cannot change OLS
+    assert any(abs(a[k] - b[k]) > 1e-9 for k in a if k[0] == "ridge")
