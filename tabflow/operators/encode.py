@@ -5,7 +5,7 @@ columns' value counts come from one scan (the columns are stacked into
 ``(column, value)`` pairs and partially aggregated per task).  A dictionary
 that is small by count is held as a Python dict and applied as a literal map
 inside the projection; a large one is ranked on executors (distributed sort
-+ ``zipWithIndex``), checkpointed so its codes are stable on recompute, and
++ per-partition row numbers and offsets), checkpointed so its codes are stable on recompute, and
 applied by join.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.columns import q
 from tabflow.functions.lookup import apply_lookup
+from tabflow.functions.ranking import global_index
 from tabflow.session import checkpoint_dir
 
 LITERAL_LIMIT = 20_000
@@ -46,12 +47,11 @@ def stacked_value_counts(df: DataFrame, cols) -> DataFrame:
 
 
 def _rank_table(values: DataFrame) -> DataFrame:
-    """Distributed ordinal codes for a large sorted set ``(value)``."""
-    spark = values.sparkSession
-    checkpoint_dir(spark)
-    ranked = (values.orderBy("value").rdd.zipWithIndex()
-              .map(lambda t: (t[0][0], int(t[1]))))
-    return spark.createDataFrame(ranked, "k string, v int").checkpoint()
+    """Distributed ordinal codes for a large sorted set ``(value)``,
+    checkpointed so the codes are fixed once fitted."""
+    checkpoint_dir(values.sparkSession)
+    ranked = global_index(values.select(F.col("value").cast("string").alias("k")), ["k"], "v")
+    return ranked.select("k", F.col("v").cast("int").alias("v")).checkpoint()
 
 
 def dictionaries_from_values(distinct: DataFrame, cols, literal_limit: int = LITERAL_LIMIT) -> dict:

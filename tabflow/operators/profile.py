@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.columns import adjusted_kurtosis, adjusted_skewness, numeric_columns, q
 from tabflow.functions.lookup import counted_broadcast
 from tabflow.functions.quantiles import quantile_columns
+from tabflow.functions.ranking import global_index
 
 
 def _long(row_df: DataFrame, cols, fields, common=()) -> DataFrame:
@@ -145,14 +146,11 @@ def value_counts(df: DataFrame, cols) -> DataFrame:
 def sorted_distinct(df: DataFrame, cols) -> DataFrame:
     """A10: ``(column, value, position)`` -- sorted distinct non-null values.
 
-    Positions come from a distributed global sort of the distinct pairs and
-    ``zipWithIndex`` (one counting job), minus each column's offset; no
-    column's values are ever gathered into a single window partition."""
-    spark = df.sparkSession
+    Positions come from a distributed global sort of the distinct pairs
+    (:func:`tabflow.functions.ranking.global_index`) minus each column's
+    first index; no column's values are gathered into one task."""
     d = stacked(df, cols).where(F.col("value").isNotNull()).distinct()
-    idx = (d.orderBy("column", "value").rdd.zipWithIndex()
-           .map(lambda t: (t[0][0], t[0][1], int(t[1]))))
-    ranked = spark.createDataFrame(idx, "column string, value string, gpos long")
+    ranked = global_index(d, ["column", "value"], "gpos")
     # one row per column (bounded by the number of columns): first global index
     first = ranked.groupBy("column").agg(F.min("gpos").alias("first"))
     return (ranked.join(F.broadcast(first), "column")

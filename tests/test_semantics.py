@@ -129,3 +129,15 @@ def test_standardization_counts(spark):
     out = {r["value"]: (r["before"], r["after"]) for r in
            clean.standardization_counts(df, "f", (("LF", "Low Fat"), ("reg", "Regular"))).collect()}
     assert out == {"LF": (1, 0), "Low Fat": (1, 2), "reg": (1, 0), "Regular": (1, 2)}
+
+
+def test_global_index_and_large_dictionary_ranking(spark):
+    from tabflow.functions.ranking import global_index
+    vals = [f"v{i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in reversed(vals)], "value string").repartition(7)
+    got = {r["value"]: r["idx"] for r in global_index(df, ["value"]).collect()}
+    assert got == {v: i for i, v in enumerate(vals)}
+    d = encode.fit_dictionaries(df.withColumnRenamed("value", "c"), ["c"], missing_token=None, literal_limit=10)
+    assert d["c"].values is None and d["c"].size == 3000
+    codes = {r["k"]: r["v"] for r in d["c"].table.collect()}
+    assert codes == {v: i for i, v in enumerate(vals)}
