@@ -70,6 +70,9 @@ def select_k_best(df: DataFrame, target: str, k: int = 15, cols=None):
     the k best names in their original column order (k = min(k, n))."""
     from pyspark.sql import Window as W
     s = f_scores(df, target, cols)
+    # the score table has one row per feature: materialize it once, so the
+    # selected names and the returned ranking do not each rescan the data
+    s = df.sparkSession.createDataFrame(s.collect(), s.schema)
     # scores equal up to rounding noise (e.g. perfectly collinear features)
     # tie, and ties go to the earlier column; the window sorts one row per
     # feature (bounded by the number of columns)
