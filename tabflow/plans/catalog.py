@@ -500,9 +500,9 @@ def price_bin_profile(spark, sf):
 
 
 @register("price_quartiles", with_sales("""
-select 0.25 as p, round(quantile_cont(price, 0.25), 6) as value from sales
-union all select 0.5, round(quantile_cont(price, 0.5), 6) from sales
-union all select 0.75, round(quantile_cont(price, 0.75), 6) from sales"""))
+select 0.25::double as p, round(quantile_cont(price, 0.25), 6) as value from sales
+union all select 0.5::double, round(quantile_cont(price, 0.5), 6) from sales
+union all select 0.75::double, round(quantile_cont(price, 0.75), 6) from sales"""))
 def price_quartiles(spark, sf):
     """Exact interpolated quantiles (bounded-memory selection at scale)."""
     from tabflow.functions.quantiles import exact_quantiles
