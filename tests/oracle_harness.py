@@ -19,6 +19,11 @@ def duck(sf_dir: str):
     return con
 
 
+# DuckDB type names -> Spark simple strings, for the schema part of the compare
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "FLOAT": "float", "TIMESTAMP": "timestamp_ntz", "SMALLINT": "smallint"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -40,6 +45,8 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None):
     s_rows = [tuple(_norm(r[c]) for c in s_cols) for r in sdf.collect()]
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
+    d_types = {d[0]: DUCK_TYPES.get(str(d[1]).split("(")[0], str(d[1])) for d in rel.description}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     d_raw = rel.fetchall()
     order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
     d_rows = [tuple(_norm(r[i]) for i in order) for r in d_raw]
@@ -56,7 +63,10 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None):
     except TypeError:
         a, b = sorted(s_rows, key=str), sorted(d_rows, key=str)
     diff = [(x, y) for x, y in zip(a, b) if x != y]
-    res["match"] = len(a) == len(b) and not diff
+    tdiff = {k: (s_types.get(k), d_types.get(k)) for k in s_types if s_types.get(k) != d_types.get(k)}
+    res["match"] = len(a) == len(b) and not diff and not tdiff
+    if tdiff:
+        res["type_diff"] = tdiff
     if diff:
         res["n_diff"] = len(diff)
         res["first_diff"] = diff[:2]
