@@ -141,3 +141,26 @@ def test_global_index_and_large_dictionary_ranking(spark):
     assert d["c"].values is None and d["c"].size == 3000
     codes = {r["k"]: r["v"] for r in d["c"].table.collect()}
     assert codes == {v: i for i, v in enumerate(vals)}
+
+
+def test_dictionaries_are_bijections(spark):
+    from tabflow.roles import FIXTURE_ROLES as R
+    from tabflow.sources.tables import sales
+    s = sales(spark, "/root/testdata/sf0.001")
+    cats = list(R.categoricals)
+    dicts = encode.fit_dictionaries(s, cats)
+    for c, d in dicts.items():
+        assert d.values == sorted(set(d.values))
+        assert sorted(d.mapping().values()) == list(range(d.size))
+
+
+def test_outlier_count_independent_of_row_order(spark):
+    from tabflow.operators import quality
+    rng = np.random.default_rng(3)
+    xs = rng.standard_t(3, size=2000)
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    a = quality.iqr_outliers(df, ["x"]).first()["n_outliers"]
+    b = quality.iqr_outliers(df.orderBy(F.rand(5)).repartition(9), ["x"]).first()["n_outliers"]
+    q1, q3 = np.quantile(xs, [0.25, 0.75])
+    ref = int(((xs < q1 - 1.5 * (q3 - q1)) | (xs > q3 + 1.5 * (q3 - q1))).sum())
+    assert a == b == ref
