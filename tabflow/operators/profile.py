@@ -274,6 +274,12 @@ def scatter_bins(df: DataFrame, x: str, y: str, nx: int = 20, ny: int = 20) -> D
             .groupBy("bx", "by").agg(F.count(F.lit(1)).alias("count")))
 
 
+def scatter_sample(df: DataFrame, x: str, y: str, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A seeded Bernoulli sample of complete ``(x, y)`` pairs (the
+    scatter plot's points); each task samples its own rows, no shuffle."""
+    return df.select(q(x).alias(x), q(y).alias(y)).dropna().sample(fraction=fraction, seed=seed)
+
+
 def range_report(df: DataFrame, col: str) -> DataFrame:
     """A27."""
     return df.agg(F.min(q(col)).alias("min"), F.max(q(col)).alias("max"))

@@ -1131,3 +1131,9 @@ def cv_lasso_price(spark, sf):
     fm = _search.cross_validate(_train(spark, sf), [_C("lasso_price", "linear_lasso",
                                                        {"kind": "lasso", "alpha": _LASSO_ALPHA})], ["price"], "sales")
     return round_doubles(fm, 4)
+
+
+@register("price_sales_sample")
+def price_sales_sample(spark, sf):
+    """Seeded 10 % sample of (price, target) pairs for the scatter plot."""
+    return profile.scatter_sample(_retail(spark, sf), "price", "sales", 0.1, 42)
