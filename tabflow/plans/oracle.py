@@ -29,9 +29,6 @@ def with_sales(body: str) -> str:
     return f"with sales as ({SALES_SQL})\n{body}"
 
 
-def r6(expr: str, alias: str, d: int = 6) -> str:
-    return f"round({expr}, {d}) as {alias}"
-
 
 def bigint_counts(sql: str) -> str:
     """Rewrite ``count_if(expr)`` as ``(count(*) filter (where expr))``: the
