@@ -173,19 +173,24 @@ def group_stats(df: DataFrame, group: str, target: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 50, transform=None) -> DataFrame:
     """Equal-width bins between min and max, last bin closed; every bin
-    listed (empty bins count 0).  ``transform`` e.g. ``F.log1p``."""
+    listed (empty bins count 0).  ``transform`` e.g. ``F.log1p``.  The range
+    is one small aggregate; bin ids are then literal arithmetic per row and
+    one grouped count (no join of the rows with anything)."""
     x = q(col) if transform is None else transform(q(col))
     v = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    mm = v.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    idx = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)) + 1
-    counts = (v.crossJoin(F.broadcast(mm)).select(
-        F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(idx).cast("int").alias("bin"))
-        .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    ids = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return (ids.crossJoin(F.broadcast(mm)).join(counts, "bin", "left")
-            .select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("lower"),
-                    (F.col("lo") + F.col("bin") * width).alias("upper"),
+    lo, hi = v.agg(F.min("x"), F.max("x")).first()
+    spark = df.sparkSession
+    ids = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if lo is None:
+        return ids.select("bin", F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"),
+                          F.lit(0).cast("bigint").alias("count"))
+    width = (hi - lo) / float(bins)
+    idx = (F.lit(1) if hi == lo else
+           F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) + 1)
+    counts = v.select(idx.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    return (ids.join(counts, "bin", "left")
+            .select("bin", (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lower"),
+                    (F.lit(lo) + F.col("bin") * F.lit(width)).alias("upper"),
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
@@ -208,34 +213,40 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
     """
     x = q(col)
     spark = df.sparkSession
-    if group:
-        nd = (df.groupBy(q(group).alias(group)).agg(F.approx_count_distinct(x, 0.05).alias("nd"))
-              .agg(F.max("nd")).first()[0] or 0)
-        exact = nd <= max_group_distinct
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        pct = (F.percentile(x.cast("double"), probs) if exact
-               else F.percentile_approx(x.cast("double"), probs, APPROX_ACCURACY))
-        qs = (df.groupBy(q(group).alias(group)).agg(pct.alias("p"))
-              .select(group, F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3")))
-    else:
-        exact = True
-        v = quantile_columns(df, [col], [0.25, 0.5, 0.75])[col]
-        qs = spark.createDataFrame([tuple(None if e is None else float(e) for e in v)],
-                                   "q1 double, median double, q3 double")
+    if not group:
+        # global: exact quartiles at any size, fences as literals, one count pass
+        q1, median, q3 = [None if e is None else float(e) for e in quantile_columns(df, [col], [0.25, 0.5, 0.75])[col]]
+        if q1 is None:
+            row = (None,) * 6 + (None, None, 0)
+        else:
+            iqr = q3 - q1
+            lower, upper = q1 - whisker * iqr, q3 + whisker * iqr
+            inside = (x >= F.lit(lower)) & (x <= F.lit(upper))
+            a = df.agg(F.min(F.when(inside, x)).cast("double"), F.max(F.when(inside, x)).cast("double"),
+                       F.count_if(x.isNotNull() & ~inside)).first()
+            row = (q1, median, q3, iqr, lower, upper, a[0], a[1], a[2])
+        return spark.createDataFrame([row], "q1 double, median double, q3 double, iqr double, lower_fence double, "
+                                            "upper_fence double, whisker_low double, whisker_high double, "
+                                            "n_outliers bigint")
+    nd = (df.groupBy(q(group).alias(group)).agg(F.approx_count_distinct(x, 0.05).alias("nd"))
+          .agg(F.max("nd")).first()[0] or 0)
+    exact = nd <= max_group_distinct
+    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    pct = (F.percentile(x.cast("double"), probs) if exact
+           else F.percentile_approx(x.cast("double"), probs, APPROX_ACCURACY))
+    qs = (df.groupBy(q(group).alias(group)).agg(pct.alias("p"))
+          .select(group, F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3")))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     qs = (qs.withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr")))
-    if group:
-        qs = counted_broadcast(qs)   # one row per group: rows are not shuffled by the group key
-        j = df.select(q(group).alias(group), x.alias("__x")).join(qs, group)
-    else:
-        j = df.select(x.alias("__x")).crossJoin(F.broadcast(qs))
+    qs = counted_broadcast(qs)   # one row per group: rows are not shuffled by the group key
+    j = df.select(q(group).alias(group), x.alias("__x")).join(qs, group)
     inside = (F.col("__x") >= F.col("lower_fence")) & (F.col("__x") <= F.col("upper_fence"))
-    agg = j.groupBy(*([group] if group else [])).agg(
+    agg = j.groupBy(group).agg(
         F.min(F.when(inside, F.col("__x"))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col("__x"))).cast("double").alias("whisker_high"),
         F.count_if(F.col("__x").isNotNull() & ~inside).alias("n_outliers"))
-    out = qs.join(agg, group, "left") if group else qs.crossJoin(agg)
+    out = qs.join(agg, group, "left")
     return out if exact else out.withColumn("exact", F.lit(False))
 
 
@@ -254,23 +265,23 @@ def qq_table(df: DataFrame, col: str, n_points: int = 100) -> DataFrame:
         return p.map(nd.inv_cdf)
 
     pts = pts.withColumn("theoretical", norm_ppf("p"))
-    fit = pts.agg(F.regr_slope("sample", "theoretical").alias("slope"),
-                  F.regr_intercept("sample", "theoretical").alias("intercept"))
-    return pts.crossJoin(fit)
+    slope, intercept = pts.agg(F.regr_slope("sample", "theoretical"),
+                               F.regr_intercept("sample", "theoretical")).first()
+    return pts.withColumns({"slope": F.lit(slope).cast("double"), "intercept": F.lit(intercept).cast("double")})
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, nx: int = 20, ny: int = 20) -> DataFrame:
-    """2-D equal-width bin counts (the scatter plot's data, distributed)."""
+    """2-D equal-width bin counts (the scatter plot's data, distributed);
+    the ranges are one small aggregate, bin ids literal arithmetic per row."""
     v = df.select(q(x).alias("x"), q(y).alias("y")).dropna()
-    mm = v.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    x0, x1, y0, y1 = v.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
 
     def b(c, lo, hi, n):
-        w = (F.col(hi) - F.col(lo)) / F.lit(float(n))
-        return F.when(F.col(hi) == F.col(lo), F.lit(1)).otherwise(
-            F.least(F.floor((F.col(c) - F.col(lo)) / w), F.lit(n - 1)) + 1).cast("int")
+        if lo is None or hi == lo:
+            return F.lit(1)
+        return (F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit((hi - lo) / float(n))), F.lit(n - 1)) + 1).cast("int")
 
-    return (v.crossJoin(F.broadcast(mm)).select(b("x", "x0", "x1", nx).alias("bx"),
-                                                 b("y", "y0", "y1", ny).alias("by"))
+    return (v.select(b("x", x0, x1, nx).alias("bx"), b("y", y0, y1, ny).alias("by"))
             .groupBy("bx", "by").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -119,8 +119,7 @@ def quality_report(df: DataFrame, target: str | None = None) -> DataFrame:
         aggs += [F.count_if(t.isNull()).alias("target_missing"), F.count_if(t == 0).alias("target_zeros"),
                  F.count_if(t < 0).alias("target_negatives"), F.avg(t).alias("target_mean"),
                  F.stddev_samp(t).alias("target_std"), adjusted_skewness(t).alias("target_skewness")]
-    main = df.agg(*aggs)
-    dup = duplicate_count(df).select("n_duplicates")
-    return (main.crossJoin(dup)
+    n_dup = duplicate_count(df).first()["n_duplicates"]
+    return (df.agg(*aggs).withColumn("n_duplicates", F.lit(n_dup).cast("bigint"))
             .withColumn("columns", F.lit(len(df.columns)))
             .withColumn("numeric_columns", F.lit(len(num))))
