@@ -120,23 +120,26 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
     for linear scaling: ``"fold"`` (default) or ``"global"`` (T10)."""
     features = list(features)
     spark = df.sparkSession
+    lin = [c for c in candidates if c.family.startswith("linear_")]
+    trees = [c for c in candidates if c.family in TREE_FAMILIES]
     data = linear.complete_rows(df.select(*[q(c) for c in dict.fromkeys(features + [target, fold_col])]),
-                                features, target).persist(StorageLevel.MEMORY_AND_DISK)
+                                features, target)
+    # the linear family needs exactly two passes and no cache; only tree fits
+    # (many passes each) read a persisted copy
+    if trees:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
         out = []
-        lin = [c for c in candidates if c.family.startswith("linear_")]
         if lin:
             m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin],
                                       fit_scope)
             out += m.collect()
             if keep_models is not None:
-                for c in lin:
-                    for f in folds:
-                        b, w = sol[(c.name, f)]
-                        keep_models[(c.name, f)] = linear.LinearFormulaModel(features, list(w), b, "__p")
-        trees = [c for c in candidates if c.family in TREE_FAMILIES]
+                for (name, f), (b, w) in sol.items():
+                    if f is not None:
+                        keep_models[(name, f)] = linear.LinearFormulaModel(features, list(w), b, "__p")
         if trees:
+            folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
                 # configurations in parallel too: each submits its fold fits to the same pool
                 with ThreadPoolExecutor(max_workers=max(1, parallelism)) as outer:
@@ -148,7 +151,8 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         schema = "model string, fold int, n bigint, rmse double, mae double, r2 double"
         return spark.createDataFrame([tuple(r) for r in out], schema)
     finally:
-        data.unpersist()
+        if trees:
+            data.unpersist()
 
 
 def search(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
