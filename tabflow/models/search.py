@@ -5,9 +5,11 @@ Linear configurations are scored all at once from per-fold moments
 Spark ML pipeline per (configuration, fold); the driver submits those fits
 from a thread pool so several Spark jobs share the cluster, and the
 held-out predictions of all folds of a configuration are scored in one
-aggregate.  The training table is persisted (memory and disk) for the
-duration of a search and released after; a lost executor recomputes its
-partitions from the short lineage (scan + projections).
+aggregate.  When tree configurations are searched the training table is
+persisted (memory and disk) for the duration of the search and released
+after; a lost executor recomputes its partitions from the short lineage
+(scan + projections).  A linear-only search reads its input twice and
+caches nothing.
 """
 
 from __future__ import annotations
