@@ -41,69 +41,99 @@ def _in(x, lo, hi):
     return c
 
 
-def select_ranks(values: DataFrame, n: int, ranks, max_collect: int = MAX_COLLECT,
-                 accuracy: int = ACCURACY, max_passes: int = 40) -> dict:
-    """Exact order statistics (0-based ranks among non-null ``x``) of a
-    one-column DataFrame ``values(x double)`` with ``n`` non-null rows."""
-    x = F.col("x")
-    # bracket per rank: inclusive [lo, hi] (None = open), rows below lo, rows inside
-    br = {r: [None, None, 0, n] for r in ranks}
-    out = {}
-    mult = {r: 2.0 for r in ranks}
-    for _ in range(max_passes):
-        todo = [r for r in ranks if r not in out]
+def select_ranks_multi(df: DataFrame, targets: dict, max_collect: int = MAX_COLLECT,
+                       accuracy: int = ACCURACY, max_rounds: int = 40) -> dict:
+    """Exact order statistics for several columns at once.
+
+    ``targets``: ``{column: (n non-null rows, [0-based ranks])}``; returns
+    ``{column: {rank: value}}``.  Every (column, rank) keeps an inclusive
+    value bracket with the number of rows below and inside it.  Each round
+    runs at most three aggregate jobs for *all* columns together: one
+    stacked grouped count reads the brackets that are small enough to walk
+    (their sizes summed stay under ``max_collect``), one ``percentile_approx``
+    job proposes narrower brackets for the rest, one ``count_if`` job
+    verifies them (a proposal that misses its rank is widened and retried).
+    """
+    xs = {c: q(c).cast("double") for c in targets}
+    br = {(c, r): [None, None, 0, n] for c, (n, ranks) in targets.items() for r in ranks}
+    mult = {k: 2.0 for k in br}
+    out = {c: {} for c in targets}
+    for _ in range(max_rounds):
+        todo = [k for k in br if k[1] not in out[k[0]]]
         if not todo:
             return out
-        small = [r for r in todo if br[r][3] <= max_collect]
+        # walk the smallest brackets first while their summed size stays under max_collect
+        small, budget = [], max_collect
+        for k in sorted(todo, key=lambda k: br[k][3]):
+            if br[k][3] <= budget:
+                small.append(k)
+                budget -= br[k][3]
         if small:
-            cond = F.lit(False)
-            for r in small:
-                cond = cond | _in(x, br[r][0], br[r][1])
-            rows = (values.where(cond).groupBy("x").count().orderBy("x").collect())
-            for r in small:
-                lo, hi, below, _m = br[r]
+            cols = sorted({c for c, _ in small})
+            items = []
+            for c in cols:
+                cond = F.lit(False)
+                for k in small:
+                    if k[0] == c:
+                        cond = cond | _in(xs[c], br[k][0], br[k][1])
+                items.append(F.struct(F.lit(c).alias("c"), F.when(cond, xs[c]).alias("v")))
+            rows = (df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
+                    .where(F.col("v").isNotNull()).groupBy("c", "v").count().collect())
+            by_col = {}
+            for row in rows:
+                by_col.setdefault(row["c"], []).append((row["v"], row["count"]))
+            for c in by_col:
+                by_col[c].sort()
+            for k in small:
+                c, r = k
+                lo, hi, below, _m = br[k]
                 cum = below
-                for row in rows:
-                    v = row["x"]
+                for v, cnt in by_col.get(c, []):
                     if (lo is not None and v < lo) or (hi is not None and v > hi):
                         continue
-                    if r < cum + row["count"]:
-                        out[r] = v
+                    if r < cum + cnt:
+                        out[c][r] = v
                         break
-                    cum += row["count"]
-        big = [r for r in todo if r not in out and r not in small]
+                    cum += cnt
+        big = [k for k in todo if k[1] not in out[k[0]] and k not in small]
         if not big:
             continue
-        # pass A: approximate bounds for each big rank inside its bracket
         aggs = []
-        for i, r in enumerate(big):
-            lo, hi, below, m = br[r]
-            t = r - below
-            slack = mult[r] * m / accuracy + 1
+        for i, k in enumerate(big):
+            lo, hi, below, m = br[k]
+            t = k[1] - below
+            slack = mult[k] * m / accuracy + 1
             f_lo = max(0.0, (t - slack) / max(m - 1, 1))
             f_hi = min(1.0, (t + slack) / max(m - 1, 1))
-            aggs.append(F.percentile_approx(F.when(_in(x, lo, hi), x), [f_lo, f_hi], accuracy)
-                        .alias(f"b{i}"))
-        bounds = values.agg(*aggs).first()
-        # pass B: exact counts for the proposed brackets
+            x = xs[k[0]]
+            aggs.append(F.percentile_approx(F.when(_in(x, lo, hi), x), [f_lo, f_hi], accuracy).alias(f"b{i}"))
+        bounds = df.agg(*aggs).first()
         cnts = []
-        for i, _r in enumerate(big):
+        for i, k in enumerate(big):
             a, b = bounds[f"b{i}"]
+            x = xs[k[0]]
             cnts += [F.count_if(x < F.lit(a)).alias(f"lt{i}"),
                      F.count_if((x >= F.lit(a)) & (x <= F.lit(b))).alias(f"in{i}")]
-        c = values.agg(*cnts).first()
-        for i, r in enumerate(big):
+        cr = df.agg(*cnts).first()
+        for i, k in enumerate(big):
             a, b = bounds[f"b{i}"]
-            below, m = c[f"lt{i}"], c[f"in{i}"]
-            if below <= r < below + m:
+            below, m = cr[f"lt{i}"], cr[f"in{i}"]
+            if below <= k[1] < below + m:
                 if a == b:
-                    out[r] = a
-                br[r] = [a, b, below, m]
+                    out[k[0]][k[1]] = a
+                br[k] = [a, b, below, m]
             else:
-                mult[r] *= 4
+                mult[k] *= 4
     raise RuntimeError("exact quantile selection did not converge")
 
 
+def select_ranks(values: DataFrame, n: int, ranks, max_collect: int = MAX_COLLECT,
+                 accuracy: int = ACCURACY, max_passes: int = 40) -> dict:
+    """Exact order statistics (0-based ranks among non-null ``x``) of a
+    one-column DataFrame ``values(x double)`` with ``n`` non-null rows."""
+    return select_ranks_multi(values, {"x": (n, list(ranks))}, max_collect, accuracy, max_passes)["x"]
+
+
 def exact_quantiles(df: DataFrame, col: str, probs, max_exact_distinct: int = MAX_EXACT_DISTINCT,
                     max_collect: int = MAX_COLLECT, max_rows: int | None = None) -> list:
     """Exact interpolated quantiles of one column; nulls ignored."""
@@ -146,6 +176,7 @@ def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_E
         for i in cheap:
             v = row[f"p{i}"]
             res[cols[i]] = list(v) if v is not None else [None] * len(probs)
+    targets = {}
     for i, c in enumerate(cols):
         if i in cheap:
             continue
@@ -153,8 +184,10 @@ def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_E
         if n == 0:
             res[c] = [None] * len(probs)
             continue
-        ranks = sorted({k for p in probs for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
-        vals_df = df.select(q(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-        vals = select_ranks(vals_df, n, ranks, max_collect)
-        res[c] = [_interp(vals, n, p) for p in probs]
+        targets[c] = (n, sorted({k for p in probs for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}))
+    if targets:
+        # all columns above the guard share the refinement rounds
+        vals = select_ranks_multi(df.select(*[q(c) for c in targets]), targets, max_collect)
+        for c, (n, _ranks) in targets.items():
+            res[c] = [_interp(vals[c], n, p) for p in probs]
     return res

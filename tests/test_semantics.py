@@ -164,3 +164,15 @@ def test_outlier_count_independent_of_row_order(spark):
     q1, q3 = np.quantile(xs, [0.25, 0.75])
     ref = int(((xs < q1 - 1.5 * (q3 - q1)) | (xs > q3 + 1.5 * (q3 - q1))).sum())
     assert a == b == ref
+
+
+def test_exact_quantiles_refinement_many_columns(spark):
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=4000).round(2)
+    b = rng.exponential(size=4000).round(3)
+    c = rng.integers(0, 50, size=4000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)], "a double, b double, c double")
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = quantile_columns(df, ["a", "b", "c"], probs, max_exact_distinct=0, max_collect=300)
+    for col_name, xs in (("a", a), ("b", b), ("c", c)):
+        assert np.allclose(got[col_name], np.quantile(xs, probs)), col_name
