@@ -5,11 +5,11 @@ Linear configurations are scored all at once from per-fold moments
 Spark ML pipeline per (configuration, fold); the driver submits those fits
 from a thread pool so several Spark jobs share the cluster, and the
 held-out predictions of all folds of a configuration are scored in one
-aggregate.  When tree configurations are searched the training table is
-persisted (memory and disk) for the duration of the search and released
-after; a lost executor recomputes its partitions from the short lineage
-(scan + projections).  A linear-only search reads its input twice and
-caches nothing.
+aggregate.  The narrow modelling table (features, target, fold) is
+persisted (memory and disk) for the duration of a search and released
+after, so the feature pipeline is evaluated once rather than inside every
+wide aggregate and every fit; a lost executor recomputes its partitions
+from the lineage (scan + projections).
 """
 
 from __future__ import annotations
@@ -124,13 +124,14 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
     spark = df.sparkSession
     lin = [c for c in candidates if c.family.startswith("linear_")]
     trees = [c for c in candidates if c.family in TREE_FAMILIES]
+    # the narrow modelling table (features, target, fold) is materialized once:
+    # the linear passes and every tree fit read it instead of re-evaluating the
+    # feature pipeline's expressions inside wide aggregates
     data = linear.complete_rows(df.select(*[q(c) for c in dict.fromkeys(features + [target, fold_col])]),
-                                features, target)
-    # the linear family needs exactly two passes and no cache; only tree fits
-    # (many passes each) read a persisted copy
-    if trees:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+                                features, target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # one full pass materializes the cache (and lists the folds the tree fits need)
+        folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
         out = []
         if lin:
             m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin],
@@ -141,7 +142,6 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
                     if f is not None:
                         keep_models[(name, f)] = linear.LinearFormulaModel(features, list(w), b, "__p")
         if trees:
-            folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
                 # configurations in parallel too: each submits its fold fits to the same pool
                 with ThreadPoolExecutor(max_workers=max(1, parallelism)) as outer:
@@ -153,8 +153,7 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         schema = "model string, fold int, n bigint, rmse double, mae double, r2 double"
         return spark.createDataFrame([tuple(r) for r in out], schema)
     finally:
-        if trees:
-            data.unpersist()
+        data.unpersist()
 
 
 def search(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
