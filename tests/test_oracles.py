@@ -13,7 +13,9 @@ FAST = ["fitted_features", "scored_features", "impute_size_mode", "standardize_f
         "price_quantile_bins", "price_fixed_bins", "label_dictionaries", "model_matrix", "duplicate_documents",
         "missing_values_combined", "describe_numeric", "target_report", "iqr_outliers", "quality_findings",
         "target_histogram", "box_stats_by_outlet_type", "correlation_matrix", "select_k_best", "cv_mean_baseline",
-        "cv_ols_price", "cv_summary", "prediction_comparison", "schema_contract", "feature_table_diff"]
+        "cv_ols_price", "cv_summary", "prediction_comparison", "schema_contract", "feature_table_diff",
+        "cv_ridge_price", "cv_lasso_price", "preprocessing_validation", "column_type_counts", "price_quartiles",
+        "sorted_distinct", "scaled_features"]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("TABFLOW_ALL_ORACLES") else FAST
 
 
