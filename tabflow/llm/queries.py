@@ -5,12 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, hilbert, reply_trees, url_rules
+from tabflow.llm import bpe, decontaminate, hilbert, html_text, licenses, reply_trees, url_rules
 from tabflow.llm.common import table
 
 SHARDS = 24
 
 
+def op1_decontaminate(spark, sf_dir):
+    """Hit words and items of every document against the whole benchmark."""
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"))
+
+
 def op2_bpe(spark, sf_dir):
     """Encode every text, decode the ids, give the digests of both."""
     vocab = bpe.load_vocab(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -20,6 +29,21 @@ def op2_bpe(spark, sf_dir):
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_html_text(spark, sf_dir):
+    """The main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op5_licenses(spark, sf_dir):
+    """The licences that every document names."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["licence"])))
+    best = F.array_max(F.transform("matches", lambda m: m["dice"]))
+    return found.select("doc_id", F.size("matches").cast("bigint").alias("n_matches"), F.array_join(names, ",").alias("licences"),
+                        (F.round(best * 1e6) / 1e6).alias("best_dice"))
+
+
 def op8_url_rules(spark, sf_dir):
     """Judge every page's URL by the five rules."""
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
@@ -48,5 +72,6 @@ def op10_reply_trees(spark, sf_dir):
                       F.sha2(learned, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert, "op10_reply_trees": op10_reply_trees}
-ORACLES = {"op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op4_html_text": op4_html_text, "op5_licenses": op5_licenses, "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
+           "op10_reply_trees": op10_reply_trees}
+ORACLES = {"op1_decontaminate": decontaminate.SQL, "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL}
