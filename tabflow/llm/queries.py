@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, decontaminate, hilbert, html_text, licenses, reply_trees, url_rules
+from tabflow.llm import bpe, decontaminate, hilbert, html_text, language, licenses, near_dedup, reply_trees, url_rules
 from tabflow.llm.common import table
 
 SHARDS = 24
@@ -29,6 +29,11 @@ def op2_bpe(spark, sf_dir):
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_near_dedup(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark, sf_dir):
     """The main text of every page."""
     found = html_text.extract(table(spark, sf_dir, "pages"))
@@ -44,6 +49,11 @@ def op5_licenses(spark, sf_dir):
                         (F.round(best * 1e6) / 1e6).alias("best_dice"))
 
 
+def op7_language(spark, sf_dir):
+    """The language of every document and whether it is kept."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark, sf_dir):
     """Judge every page's URL by the five rules."""
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
@@ -72,6 +82,9 @@ def op10_reply_trees(spark, sf_dir):
                       F.sha2(learned, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op4_html_text": op4_html_text, "op5_licenses": op5_licenses, "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_near_dedup": op3_near_dedup,
+           "op4_html_text": op4_html_text, "op5_licenses": op5_licenses, "op7_language": op7_language,
+           "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
            "op10_reply_trees": op10_reply_trees}
-ORACLES = {"op1_decontaminate": decontaminate.SQL, "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL}
+ORACLES = {"op1_decontaminate": decontaminate.SQL, "op3_near_dedup": near_dedup.SQL,
+           "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL}
