@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, decontaminate, hilbert, html_text, language, licenses, near_dedup, reply_trees, url_rules
+from tabflow.llm import bpe, decontaminate, fingerprints, hilbert, html_text, language, licenses, near_dedup, reply_trees, url_rules
 from tabflow.llm.common import table
 
 SHARDS = 24
@@ -49,6 +49,13 @@ def op5_licenses(spark, sf_dir):
                         (F.round(best * 1e6) / 1e6).alias("best_dice"))
 
 
+def op6_fingerprints(spark, sf_dir):
+    """Fingerprints of every text, its edited text and the next text."""
+    found = fingerprints.edit_report(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                        "near_edited", "near_next")
+
+
 def op7_language(spark, sf_dir):
     """The language of every document and whether it is kept."""
     return language.identify(table(spark, sf_dir, "documents"))
@@ -83,7 +90,8 @@ def op10_reply_trees(spark, sf_dir):
 
 
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_near_dedup": op3_near_dedup,
-           "op4_html_text": op4_html_text, "op5_licenses": op5_licenses, "op7_language": op7_language,
+           "op4_html_text": op4_html_text, "op5_licenses": op5_licenses,
+           "op6_fingerprints": op6_fingerprints, "op7_language": op7_language,
            "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
            "op10_reply_trees": op10_reply_trees}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op3_near_dedup": near_dedup.SQL,
