@@ -198,22 +198,24 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, SLICE_ROWS)
 
 
-def encode(df: DataFrame, vocab: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ``token_ids``): ids packed as little-endian unsigned 32-bit integers, the layout
-    of a token shard file.  Narrow: no shuffle; one pass over whole texts."""
+def encode(df: DataFrame, vocab: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carried columns, ``token_ids``): ids packed as little-endian unsigned 32-bit integers, the
+    layout of a token shard file.  Narrow: no shuffle; one pass over whole texts."""
     shared = df.sparkSession.sparkContext.broadcast(vocab)
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    ids = rows.schema["id"].dataType
+    names = [id_col, *carry]
+    rows = df.select(F.col(text_col).cast("string").alias("text"), *[F.col(n).alias(f"c{i}") for i, n in enumerate(names)])
+    schema = rows.drop("text").withColumn("token_ids", F.lit(b"")).schema
 
     def run(batches):
         codec = codec_for(shared.value, pattern)
         for batch in batches:
             for part in _slices(batch):
-                packed = [codec.encode(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["id", "token_ids"])
+                packed = [codec.encode(t) for t in part.column("text").to_pylist()]
+                yield part.drop_columns(["text"]).append_column("token_ids", pa.array(packed, pa.binary()))
 
-    out = rows.mapInArrow(run, f"id {ids.simpleString()}, token_ids binary")
-    return out.withColumnRenamed("id", id_col)
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], "token_ids")
 
 
 def decode(df: DataFrame, vocab: bytes, pattern: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:

@@ -147,18 +147,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of the one row of each group that stays (of an id given twice, the row of the smallest text hash)."""
     found = near_duplicates(docs, id_col, text_col)
-    dropped = stored(found.where("not kept").select(F.col(id_col).alias("dropped_id")).distinct(), "dropped")
+    dropped = stored(found.where("not kept").select(F.col(id_col).alias("__dropped")).distinct(), "dropped")
     few = dropped.count() <= BROADCAST_IDS
-    rest = docs.join(F.broadcast(dropped) if few else dropped, docs[id_col] == F.col("dropped_id"), "left_anti")
-    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("twice"))
+    rest = docs.join(F.broadcast(dropped) if few else dropped, docs[id_col] == F.col("__dropped"), "left_anti")
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("__twice"))
     twice = stored(ids, "twice")
     if not twice.limit(1).count():
         return rest
     names = docs.columns
     order = Window.partitionBy("k").orderBy("h")
-    marked = rest.join(twice, rest[id_col] == F.col("twice"), "left")
-    once = marked.where("twice is null").select(*[F.col(f"`{n}`") for n in names])
-    first = (marked.where("twice is not null").select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)],
+    marked = rest.join(twice, rest[id_col] == F.col("__twice"), "left")
+    once = marked.where("__twice is null").select(*[F.col(f"`{n}`") for n in names])
+    first = (marked.where("__twice is not null").select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)],
                                                       F.col(f"`{id_col}`").alias("k"), F.xxhash64(text_col).alias("h"))
              .withColumn("place", F.row_number().over(order)).where("place = 1"))
     return once.unionByName(first.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)]))
