@@ -30,6 +30,7 @@ from tabflow.llm.common import LOWER, UPPER
 
 THRESHOLD = 0.8
 MAX_TEMPLATE_PAIRS = 5_000
+SLACK = 1e-9                  # sizes exactly on a bound stay in; the coefficient decides
 
 # Licence notices.
 TEMPLATES = {
@@ -75,7 +76,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
         raise ValueError(f"templates of more than {MAX_TEMPLATE_PAIRS} word pairs")
     if not known:
         return docs.select(F.col(id_col), F.array().cast("array<struct<licence:string,dice:double,unit:string>>").alias("matches"))
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low, high = threshold / (2 - threshold) - SLACK, (2 - threshold) / threshold + SLACK
     least, most = min(map(len, known.values())) * low, max(map(len, known.values())) * high
     every = F.array(*[F.lit(p) for p in sorted({p for ps in known.values() for p in ps})])
     # one sentence a line, words apart by one blank; each step binds its result once for the next
@@ -122,7 +123,7 @@ paired as (select doc_id, case when len(w) > 1
 scored as (select u.doc_id, t.licence, 2.0::double * len(list_intersect(u.p, t.pairs)) / (len(u.p) + len(t.pairs)) as dice,
                   row_number() over (partition by u.n order by 2.0::double * len(list_intersect(u.p, t.pairs)) / (len(u.p) + len(t.pairs)) desc, t.o) as k
            from (select *, row_number() over () as n from paired where len(p) between 1 and 60) u join templates t
-             on len(u.p) between len(t.pairs) * {THRESHOLD / (2 - THRESHOLD)!r} and len(t.pairs) * {(2 - THRESHOLD) / THRESHOLD!r}),
+             on len(u.p) between len(t.pairs) * {THRESHOLD / (2 - THRESHOLD) - SLACK!r} and len(t.pairs) * {(2 - THRESHOLD) / THRESHOLD + SLACK!r}),
 found as (select * from scored where k = 1 and dice >= {THRESHOLD})
 select d.doc_id, count(f.licence) as n_matches, coalesce(string_agg(distinct f.licence, ',' order by f.licence), '') as licences,
        max(round(f.dice * 1e6) / 1e6) as best_dice
