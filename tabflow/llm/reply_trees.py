@@ -59,10 +59,16 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     state = stored(linked.select("tree", "node", "up", F.when(F.col("up").isNull(), F.col("node")).alias("root"),
                                  F.lit(0).cast("bigint").alias("depth"), "score",
                                  F.when(F.col("up").isNotNull(), 1).otherwise(0).alias("open")), "replies")
-    hops = [state]
-    while state.where("open = 1").limit(1).count():
+    hops, finished = [state], []
+    while True:
+        # trees whose messages have all reached their roots are set aside
+        open_trees = state.where("open = 1").select("tree").distinct()
+        finished.append(state.join(open_trees, "tree", "left_anti"))
+        if not open_trees.limit(1).count():
+            break
         if len(hops) > MAX_ROUNDS:
             raise ValueError("messages answer each other in a circle")
+        state = stored(state.join(open_trees, "tree", "left_semi"), "replies")
         far = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"),
                            F.col("root").alias("root2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"),
                            F.col("open").alias("open2"))
@@ -70,11 +76,14 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         joined = state.join(far, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")), "left")
         jumped = F.col("up").isNotNull()
         state = stored(joined.select(
-            "tree", "node", "up2", F.when(jumped, F.col("root2")).otherwise(F.col("root")).alias("root"),
+            "tree", "node", F.col("up2").alias("up"), F.when(jumped, F.col("root2")).otherwise(F.col("root")).alias("root"),
             F.when(jumped, F.col("depth2") + step).otherwise(F.col("depth")).alias("depth"),
             F.when(jumped, F.col("score") + F.col("score2")).otherwise(F.col("score")).alias("score"),
-            F.when(jumped, F.col("open2")).otherwise(0).alias("open")).withColumnRenamed("up2", "up"), "replies")
+            F.when(jumped, F.col("open2")).otherwise(0).alias("open")), "replies")
         hops.append(state)
+    state = finished[0]
+    for more in finished[1:]:
+        state = state.unionByName(more)
 
     answered = linked.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
     leaves = state.join(answered, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
