@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import q
+from tabflow.functions.ranking import ROWS_PER_RANGE, range_bounds, range_number
+from tabflow.session import scratch_path
 
 MAX_EXACT_DISTINCT = 1_000_000   # percentile() map size we accept in one buffer
 MAX_COLLECT = 100_000            # distinct values of a bracket walked on the driver
@@ -42,7 +44,7 @@ def _in(x, lo, hi):
 
 
 def select_ranks_multi(df: DataFrame, targets: dict, max_collect: int = MAX_COLLECT,
-                       accuracy: int = ACCURACY, max_rounds: int = 40) -> dict:
+                       accuracy: int = ACCURACY) -> dict:
     """Exact order statistics for several columns at once.
 
     ``targets``: ``{column: (n non-null rows, [0-based ranks])}``; returns
@@ -52,13 +54,15 @@ def select_ranks_multi(df: DataFrame, targets: dict, max_collect: int = MAX_COLL
     stacked grouped count reads the brackets that are small enough to walk
     (their sizes summed stay under ``max_collect``), one ``percentile_approx``
     job proposes narrower brackets for the rest, one ``count_if`` job
-    verifies them (a proposal that misses its rank is widened and retried).
+    verifies them.  A proposal that misses its rank or does not shrink its
+    bracket is widened for the next round, and the bracket is split at a value
+    inside it, so every bracket loses at least one distinct value per round.
     """
     xs = {c: q(c).cast("double") for c in targets}
     br = {(c, r): [None, None, 0, n] for c, (n, ranks) in targets.items() for r in ranks}
     mult = {k: 2.0 for k in br}
     out = {c: {} for c in targets}
-    for _ in range(max_rounds):
+    while True:
         todo = [k for k in br if k[1] not in out[k[0]]]
         if not todo:
             return out
@@ -115,23 +119,45 @@ def select_ranks_multi(df: DataFrame, targets: dict, max_collect: int = MAX_COLL
             cnts += [F.count_if(x < F.lit(a)).alias(f"lt{i}"),
                      F.count_if((x >= F.lit(a)) & (x <= F.lit(b))).alias(f"in{i}")]
         cr = df.agg(*cnts).first()
+        stuck = []
         for i, k in enumerate(big):
             a, b = bounds[f"b{i}"]
             below, m = cr[f"lt{i}"], cr[f"in{i}"]
-            if below <= k[1] < below + m:
+            if below <= k[1] < below + m and m < br[k][3]:
                 if a == b:
                     out[k[0]][k[1]] = a
                 br[k] = [a, b, below, m]
             else:
                 mult[k] *= 4
-    raise RuntimeError("exact quantile selection did not converge")
+                stuck.append((k, a, b))
+        # a bracket that did not shrink loses at least one value: split it at the proposed lower bound,
+        # which lies inside it; its rank is below, at or above that value
+        if stuck:
+            aggs = []
+            for i, (k, a, b) in enumerate(stuck):
+                lo, hi, _below, _m = br[k]
+                x, inside = xs[k[0]], _in(xs[k[0]], lo, hi)
+                pivot = F.lit(a)
+                aggs += [F.count_if(inside & (x < pivot)).alias(f"lt{i}"), F.count_if(x == pivot).alias(f"eq{i}"),
+                         F.max(F.when(inside & (x < pivot), x)).alias(f"prev{i}"),
+                         F.min(F.when(inside & (x > pivot), x)).alias(f"next{i}")]
+            row = df.agg(*aggs).first()
+            for i, (k, a, b) in enumerate(stuck):
+                lo, hi, below, m = br[k]
+                lt, eq, r = row[f"lt{i}"], row[f"eq{i}"], k[1] - below
+                if r < lt:
+                    br[k] = [lo, row[f"prev{i}"], below, lt]
+                elif r < lt + eq:
+                    out[k[0]][k[1]] = a
+                else:
+                    br[k] = [row[f"next{i}"], hi, below + lt + eq, m - lt - eq]
 
 
 def select_ranks(values: DataFrame, n: int, ranks, max_collect: int = MAX_COLLECT,
-                 accuracy: int = ACCURACY, max_passes: int = 40) -> dict:
+                 accuracy: int = ACCURACY) -> dict:
     """Exact order statistics (0-based ranks among non-null ``x``) of a
     one-column DataFrame ``values(x double)`` with ``n`` non-null rows."""
-    return select_ranks_multi(values, {"x": (n, list(ranks))}, max_collect, accuracy, max_passes)["x"]
+    return select_ranks_multi(values, {"x": (n, list(ranks))}, max_collect, accuracy)["x"]
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, max_exact_distinct: int = MAX_EXACT_DISTINCT,
@@ -191,3 +217,47 @@ def quantile_columns(df: DataFrame, cols, probs, max_exact_distinct: int = MAX_E
         for c, (n, _ranks) in targets.items():
             res[c] = [_interp(vals[c], n, p) for p in probs]
     return res
+
+
+def ranked_values(df: DataFrame, col: str, group: str | None = None,
+                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``(g, value, n, before, total)``: every distinct value of a group with
+    its count, the rows of the group below it and the rows of the group.
+
+    Equal values are counted before anything moves; the (group, value) order is
+    cut into ranges by literal bounds, so a group of any size is counted by many
+    tasks; a group's rows in earlier ranges are one row per (group, range).
+    Null values and null groups are left out.
+    """
+    spark = df.sparkSession
+    g = q(group) if group else F.lit(0)
+    path = scratch_path(spark, "values")
+    (df.select(g.alias("g"), q(col).cast("double").alias("value")).where("g is not null and value is not null")
+     .groupBy("g", "value").agg(F.count(F.lit(1)).alias("n")).write.parquet(path))
+    values = spark.read.parquet(path)
+    bounds = range_bounds(values, ["g", "value"], values.count(), rows_per_range)
+    placed = values.withColumn("range", range_number(values, ["g", "value"], bounds))
+    parts = placed.groupBy("g", "range").agg(F.sum("n").alias("part"))
+    earlier = Window.partitionBy("g").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("g", "range", F.coalesce(F.sum("part").over(earlier), F.lit(0)).alias("start"),
+                         F.sum("part").over(Window.partitionBy("g")).alias("total"))
+    inside = Window.partitionBy("g", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("lower", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+            .join(parts, ["g", "range"])
+            .select("g", "value", "n", (F.col("start") + F.col("lower")).alias("before"), "total"))
+
+
+def group_quantiles(df: DataFrame, col: str, group: str, probs, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``(group, p)``: exact interpolated quantiles of every group, whatever its
+    size, from the ranked distinct values; nothing of a group is held in one buffer."""
+    ranked = ranked_values(df, col, group, rows_per_range)
+    here = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+    aggs, values = [], []
+    for i, p in enumerate(probs):
+        at = (F.col("total") - 1) * F.lit(float(p))
+        low, high = F.floor(at), F.ceil(at)
+        aggs += [F.max(F.when(here(low), F.col("value"))).alias(f"lo{i}"), F.max(F.when(here(high), F.col("value"))).alias(f"hi{i}"),
+                 F.max(at - low).alias(f"part{i}")]
+        lo, hi, part = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"part{i}")
+        values.append(F.when(lo == hi, lo).otherwise((F.lit(1.0) - part) * lo + part * hi))
+    return ranked.groupBy(F.col("g").alias(group)).agg(*aggs).select(group, F.array(*values).alias("p"))

@@ -126,4 +126,4 @@ def replace_unknown(df: DataFrame, col: str, known: DataFrame | list, token: str
 def unknown_values(df: DataFrame, col: str, known: DataFrame, known_col: str = "value") -> DataFrame:
     """Distinct values of ``col`` absent from the dictionary (anti join)."""
     seen = df.select(q(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    return seen.join(known.select(F.col(known_col).alias("value")), "value", "left_anti")
+    return seen.join(counted_broadcast(known.select(F.col(known_col).alias("value")).distinct()), "value", "left_anti")

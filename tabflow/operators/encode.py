@@ -4,9 +4,9 @@ A dictionary maps the sorted distinct values of a column to 0..n-1.  All
 columns' value counts come from one scan (the columns are stacked into
 ``(column, value)`` pairs and partially aggregated per task).  A dictionary
 that is small by count is held as a Python dict and applied as a literal map
-inside the projection; a large one is ranked on executors (distributed sort
-+ per-partition row numbers and offsets), checkpointed so its codes are stable on recompute, and
-applied by join.
+inside the projection; a large one is ranked on executors (ranges cut by
+literal bounds, :mod:`tabflow.functions.ranking`), written once so its codes
+are stable on recompute, and applied by join.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.columns import q
 from tabflow.functions.lookup import apply_lookup
 from tabflow.functions.ranking import global_index
-from tabflow.session import checkpoint_dir
+from tabflow.session import scratch_path
 
 LITERAL_LIMIT = 20_000
 
@@ -47,11 +47,12 @@ def stacked_value_counts(df: DataFrame, cols) -> DataFrame:
 
 
 def _rank_table(values: DataFrame) -> DataFrame:
-    """Distributed ordinal codes for a large sorted set ``(value)``,
-    checkpointed so the codes are fixed once fitted."""
-    checkpoint_dir(values.sparkSession)
+    """Distributed ordinal codes for a large set of distinct values ``(value)``,
+    written to the shared scratch folder so the codes are fixed once fitted."""
     ranked = global_index(values.select(F.col("value").cast("string").alias("k")), ["k"], "v")
-    return ranked.select("k", F.col("v").cast("int").alias("v")).checkpoint()
+    path = scratch_path(values.sparkSession, "codes")
+    ranked.select("k", F.col("v").cast("int").alias("v")).write.parquet(path)
+    return values.sparkSession.read.schema("k string, v int").parquet(path)
 
 
 def dictionaries_from_values(distinct: DataFrame, cols, literal_limit: int = LITERAL_LIMIT) -> dict:

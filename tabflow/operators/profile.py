@@ -9,16 +9,18 @@ and grouping once, with map-side partial aggregation.
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import adjusted_kurtosis, adjusted_skewness, numeric_columns, q
 from tabflow.functions.lookup import counted_broadcast
-from tabflow.functions.quantiles import quantile_columns
+from tabflow.functions.quantiles import group_quantiles, quantile_columns, ranked_values
 from tabflow.functions.ranking import global_index
+from tabflow.session import scratch_path
 
 
 def _long(row_df: DataFrame, cols, fields, common=()) -> DataFrame:
@@ -46,17 +48,35 @@ def type_counts(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(sorted(rows.items()), "type string, n_columns bigint")
 
 
+def row_digest(cols):
+    """256-bit digest of a row's values; nulls equal each other and nothing else."""
+    parts = []
+    for c in cols:
+        text = q(c).cast("string")
+        parts.append(F.when(text.isNull(), F.lit("n")).otherwise(
+            F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)))
+    return F.sha2(F.concat(*parts).cast("binary"), 256)
+
+
+def _digest_counts(df: DataFrame, cols) -> DataFrame:
+    """``(digest, count)`` of repeated rows: 64 bytes a row move, not the row."""
+    return df.groupBy(row_digest(cols).alias("__digest")).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+
+
 def duplicate_groups(df: DataFrame, cols=None) -> DataFrame:
-    """A2: groups of identical rows (nulls equal) with ``count > 1``."""
+    """A2: groups of identical rows (nulls equal) with ``count > 1``; only rows
+    of repeated digests are looked up again."""
     cols = list(cols or df.columns)
-    return (df.groupBy(*[q(c) for c in cols]).agg(F.count(F.lit(1)).alias("count"))
-            .where("count > 1"))
+    rows = df.select(row_digest(cols).alias("__digest"), *[q(c) for c in cols])
+    repeated = counted_broadcast(_digest_counts(df, cols))
+    return (rows.join(repeated, "__digest").groupBy("__digest", "count").agg(*[F.first(q(c)).alias(c) for c in cols])
+            .select(*[q(c) for c in cols], "count"))
 
 
 def duplicate_count(df: DataFrame, cols=None) -> DataFrame:
     """A2: number of rows that repeat an earlier row (all but the first of
     each group) and number of such groups."""
-    g = duplicate_groups(df, cols)
+    g = _digest_counts(df, list(cols or df.columns))
     return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"),
                  F.count(F.lit(1)).alias("n_groups"))
 
@@ -195,7 +215,6 @@ def histogram(df: DataFrame, col: str, bins: int = 50, transform=None) -> DataFr
 
 
 MAX_GROUP_DISTINCT = 1_000_000   # exact per-group percentile map size we accept
-APPROX_ACCURACY = 1_000_000
 
 
 def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float = 1.5,
@@ -203,12 +222,12 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
     """A22 (+J5): quartiles, IQR, whiskers (furthest value inside the
     fences), number outside the fences; globally or per group.
 
-    Global quartiles are exact at any size (bounded-memory selection).  Per
-    group, the exact ``percentile`` keeps one value->count map per group in
-    one task, so it is used only while every group's distinct count is under
-    ``max_group_distinct`` (estimated in one partial aggregate); above that
-    ``approx_percentile`` with high accuracy is used and ``exact`` says so.
-    The fences are then joined back on the group key (a small table: one row
+    Quartiles are exact at any size.  Per group, ``percentile`` keeps one
+    value->count map per group in one task, so it is used only while every
+    group's distinct count is under ``max_group_distinct`` (estimated in one
+    partial aggregate); above that the same quartiles come from the ranked
+    distinct values (:func:`~tabflow.functions.quantiles.group_quantiles`).
+    Rows without a group are left out, as a grouping does.  The fences are then joined back on the group key (a small table: one row
     per group) for the whisker / outlier aggregate.
     """
     x = q(col)
@@ -228,14 +247,15 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
         return spark.createDataFrame([row], "q1 double, median double, q3 double, iqr double, lower_fence double, "
                                             "upper_fence double, whisker_low double, whisker_high double, "
                                             "n_outliers bigint")
+    df = df.where(q(group).isNotNull())
     nd = (df.groupBy(q(group).alias(group)).agg(F.approx_count_distinct(x, 0.05).alias("nd"))
           .agg(F.max("nd")).first()[0] or 0)
-    exact = nd <= max_group_distinct
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    pct = (F.percentile(x.cast("double"), probs) if exact
-           else F.percentile_approx(x.cast("double"), probs, APPROX_ACCURACY))
-    qs = (df.groupBy(q(group).alias(group)).agg(pct.alias("p"))
-          .select(group, F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3")))
+    probs = [0.25, 0.5, 0.75]
+    if nd <= max_group_distinct:
+        qs = df.groupBy(q(group).alias(group)).agg(F.percentile(x.cast("double"), F.array(*map(F.lit, probs))).alias("p"))
+    else:
+        qs = group_quantiles(df, col, group, probs)
+    qs = qs.select(group, F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3"))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     qs = (qs.withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr")))
@@ -246,28 +266,61 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
         F.min(F.when(inside, F.col("__x"))).cast("double").alias("whisker_low"),
         F.max(F.when(inside, F.col("__x"))).cast("double").alias("whisker_high"),
         F.count_if(F.col("__x").isNotNull() & ~inside).alias("n_outliers"))
-    out = qs.join(agg, group, "left")
-    return out if exact else out.withColumn("exact", F.lit(False))
+    return qs.join(agg, group, "left")
 
 
-def qq_table(df: DataFrame, col: str, n_points: int = 100) -> DataFrame:
-    """Sample quantiles on a grid of plotting positions against the
-    standard-normal quantiles, plus the fitted line (slope, intercept)."""
-    grid = [(i + 0.5) / n_points for i in range(n_points)]
-    qs = quantile_columns(df, [col], grid)[col]
-    spark = df.sparkSession
-    pts = spark.createDataFrame([(i, p, float(v)) for i, (p, v) in enumerate(zip(grid, qs))],
-                                "i int, p double, sample double")
-
-    @F.pandas_udf("double")
-    def norm_ppf(p: pd.Series) -> pd.Series:
-        nd = NormalDist()
-        return p.map(nd.inv_cdf)
-
-    pts = pts.withColumn("theoretical", norm_ppf("p"))
-    slope, intercept = pts.agg(F.regr_slope("sample", "theoretical"),
-                               F.regr_intercept("sample", "theoretical")).first()
-    return pts.withColumns({"slope": F.lit(slope).cast("double"), "intercept": F.lit(intercept).cast("double")})
+def qq_table(df: DataFrame, col: str) -> DataFrame:
+    """Every order statistic against the standard-normal quantile of its
+    plotting position (Filliben's medians), one row per distinct value:
+    ``(sample, count, first_rank, theoretical)``, ``theoretical`` the mean over
+    the value's ranks, with slope, intercept and r of the line fitted on all
+    order statistics.
+
+    Values are counted and ranked on executors; each task turns the ranks of
+    its own values into normal quantiles and their sums, from which the line
+    follows exactly.
+    """
+    ranked = ranked_values(df, col).select("value", "n", "before", "total")
+
+    def positions(batches):
+        inverse = NormalDist().inv_cdf
+        for batch in batches:
+            mean, total, squares = [], [], []
+            for n, before, size in zip(*(batch.column(c).to_pylist() for c in ("n", "before", "total"))):
+                s = s2 = 0.0
+                for rank in range(before + 1, before + n + 1):
+                    t = inverse(_plotting_position(rank, size))
+                    s += t
+                    s2 += t * t
+                mean.append(s / n)
+                total.append(s)
+                squares.append(s2)
+            yield pa.RecordBatch.from_arrays([batch.column("value"), batch.column("n"), batch.column("before"), pa.array(mean, pa.float64()),
+                                              pa.array(total, pa.float64()), pa.array(squares, pa.float64())],
+                                             ["sample", "count", "first_rank", "theoretical", "t", "t2"])
+
+    path = scratch_path(df.sparkSession, "qq")
+    ranked.mapInArrow(positions, "sample double, count long, first_rank long, theoretical double, t double, t2 double").write.parquet(path)
+    points = df.sparkSession.read.parquet(path)
+    x, c = F.col("sample"), F.col("count")
+    n, sx, sxx, st, stt, sxt = points.agg(F.sum(c), F.sum(c * x), F.sum(c * x * x), F.sum("t"), F.sum("t2"), F.sum(x * F.col("t"))).first()
+    slope = intercept = r = None
+    if n and n > 1:
+        ctt, cxx, cxt = stt - st * st / n, sxx - sx * sx / n, sxt - sx * st / n
+        slope = cxt / ctt
+        intercept = sx / n - slope * st / n
+        r = cxt / math.sqrt(ctt * cxx) if cxx > 0 else None
+    return points.select("sample", "count", "first_rank", "theoretical").withColumns(
+        {k: F.lit(v).cast("double") for k, v in (("slope", slope), ("intercept", intercept), ("r", r))})
+
+
+def _plotting_position(rank: int, n: int) -> float:
+    """Filliben's estimate of the median of the rank-th of n uniform order statistics."""
+    if rank == n:
+        return 0.5 ** (1.0 / n)
+    if rank == 1:
+        return 1.0 - 0.5 ** (1.0 / n)
+    return (rank - 0.3175) / (n + 0.365)
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, nx: int = 20, ny: int = 20) -> DataFrame:

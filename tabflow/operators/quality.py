@@ -123,3 +123,15 @@ def quality_report(df: DataFrame, target: str | None = None) -> DataFrame:
     return (df.agg(*aggs).withColumn("n_duplicates", F.lit(n_dup).cast("bigint"))
             .withColumn("columns", F.lit(len(df.columns)))
             .withColumn("numeric_columns", F.lit(len(num))))
+
+
+def column_quality(df: DataFrame) -> DataFrame:
+    """A19, per column: ``(column, missing, infinite)`` of every column, one aggregate."""
+    num = set(numeric_columns(df))
+    none = F.lit(0).cast("bigint")
+    cells = df.agg(*[F.count_if(q(c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)],
+                   *[(F.count_if(q(c).isin(F.lit(INF), F.lit(-INF))) if c in num else F.sum(none)).alias(f"i{i}")
+                     for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"), F.coalesce(F.col(f"i{i}"), none).alias("infinite"))
+                     for i, c in enumerate(df.columns)])
+    return cells.select(F.explode(rows).alias("r")).select("r.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,14 +57,16 @@ def balanced(df):
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is made
-    and registered; on a cluster the setting is expected to point at shared
-    storage.
+    A session that runs in one process (``local[...]``) and names none gets a
+    scratch folder of its own; on a cluster a missing setting is an error,
+    because a folder of one machine is out of reach for the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tabflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
