@@ -2,18 +2,19 @@
 
 A least-squares family (OLS, ridge, lasso, elastic net, and the mean
 predictor) needs only the first and second moments of ``(x, y)``.  So one
-grouped aggregate over the data gives, for every fold, the row count, the
-sums and the cross-product sums of the (shifted) columns; the statistics of
-a training fold are *total minus fold*.  Every grid point of every fold is
-then a d x d problem solved on the driver (d = number of features, small),
-and a second pass scores all (configuration, fold) pairs at once against a
-coefficient table whose size is bounded by ``configs x folds``.
+batch pass over the data gives, for every fold, the row count, the means and
+the centred cross products (``X'X`` per batch in numpy, partials merged on
+executors); the statistics of a training fold are *total minus fold*.  Every
+grid point of every fold is then a d x d problem solved on the driver (d =
+number of features).  RMSE and R^2 of a held-out fold follow from its own
+moments; only the absolute errors need a second batch pass, in which every
+batch is multiplied by the coefficients of all configurations at once.
 
 Two passes over the data for a whole linear grid, independent of the number
-of folds and grid points; memory per task is O(d^2).  Population scaling
-(M1) is folded into the solve: the scaled problem is expressed through the
-same moments, and the coefficients are mapped back to raw units, so scoring
-is one arithmetic expression per row (no vector column, stays in codegen).
+of folds and grid points and without copies of rows; memory per task is
+O(d^2).  Population scaling (M1) is folded into the solve: the scaled problem
+is expressed through the same moments, and the coefficients are mapped back to
+raw units, so scoring is one arithmetic expression per row.
 
 Objectives (scikit-learn conventions, which the reference uses):
   ols    min ||y - Xw - b||^2                      (minimum-norm solution)
@@ -29,6 +30,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -36,7 +38,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import q
-from tabflow.models.metrics import metric_exprs
 
 KINDS = ("mean", "ols", "ridge", "lasso", "enet")
 
@@ -72,54 +73,143 @@ class Moments:
                        self.sxy + o.sxy, self.syy + o.syy)
 
 
-def complete_rows(df: DataFrame, features, target: str) -> DataFrame:
-    """Rows usable for least squares: no null in features or target."""
+def complete_rows(df: DataFrame, features, target: str, on_null: str = "error") -> DataFrame:
+    """Rows usable for a fit and its metrics.
+
+    ``on_null="error"`` (default) leaves the rows as they are: the passes over
+    them count rows with a null feature or target and fail with that count.
+    ``"drop"`` leaves those rows out; every result carries the number of rows used.
+    """
+    if on_null == "error":
+        return df
+    if on_null != "drop":
+        raise ValueError(f"on_null must be 'error' or 'drop', not {on_null!r}")
     cond = q(target).isNotNull()
     for c in features:
         cond = cond & q(c).isNotNull()
     return df.where(cond)
 
 
-SHIFT_SAMPLE = 10_000
+def check_complete(df: DataFrame, features, target: str) -> None:
+    """Fail with the number of rows that have a null feature or target (one aggregate)."""
+    bad = q(target).isNull()
+    for c in features:
+        bad = bad | q(c).isNull()
+    n = df.agg(F.count_if(bad).alias("n")).first()["n"]
+    if n:
+        raise ValueError(f"{n} rows have a null feature or target; fill them or pass on_null='drop'")
+
+
+SUM_GROUPS = 8               # tasks that add up the partial moments before the driver does
+ROWS_AT_ONCE = 8192
+
+
+@dataclass
+class Centred:
+    """Count, means and centred cross products of z = (x..., y); merging keeps full precision."""
+    n: float
+    mean: np.ndarray
+    cross: np.ndarray
+
+    @classmethod
+    def of(cls, z: np.ndarray) -> "Centred":
+        mean = z.mean(axis=0)
+        d = z - mean
+        return cls(float(len(z)), mean, d.T @ d)
+
+    def __add__(self, o: "Centred") -> "Centred":
+        n = self.n + o.n
+        step = o.mean - self.mean
+        return Centred(n, self.mean + step * (o.n / n), self.cross + o.cross + np.outer(step, step) * (self.n * o.n / n))
+
+    def row(self, fold) -> dict:
+        return {"fold": fold, "n": self.n, "mean": self.mean.tolist(), "cross": self.cross.ravel().tolist()}
+
+
+_PARTIAL = "fold int, n double, mean array<double>, cross array<double>"
+
+
+def _matrix(batch, names) -> np.ndarray:
+    """The named columns as a rows x columns array; nulls become NaN."""
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names], axis=1)
+
 
+def _partials(rows: dict) -> pa.RecordBatch:
+    got = [m.row(f) for f, m in rows.items()]
+    return pa.RecordBatch.from_pydict({
+        "fold": pa.array([r["fold"] for r in got], pa.int32()), "n": pa.array([r["n"] for r in got], pa.float64()),
+        "mean": pa.array([r["mean"] for r in got], pa.list_(pa.float64())),
+        "cross": pa.array([r["cross"] for r in got], pa.list_(pa.float64()))})
 
-def column_shift(df: DataFrame, features, target: str, sample: int = SHIFT_SAMPLE) -> tuple[np.ndarray, float]:
-    """Centering values so cross-product sums do not cancel catastrophically
-    for columns with a large mean.  Any value near the centre of the data
-    works, so the means of a bounded leading sample are used (a limit job
-    reads only the first partitions, not the table)."""
-    row = df.limit(sample).agg(*[F.avg(q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)],
-                               F.avg(q(target).cast("double")).alias("my")).first()
-    return (np.array([row[f"m{i}"] or 0.0 for i in range(len(features))], dtype=float),
-            float(row["my"] or 0.0))
 
+def _merge(rows: dict, fold, part: Centred) -> None:
+    rows[fold] = rows[fold] + part if fold in rows else part
 
-def fold_moments(df: DataFrame, features, target: str, fold_col: str | None,
-                 shift=None) -> dict:
-    """``{fold: Moments}`` from one grouped aggregate (``fold_col=None``:
-    a single group keyed ``None``).  The aggregate has d(d+1)/2 + 2d + 3
-    sums and is partial per task, so the shuffle is k rows per task."""
+
+def fold_moments(df: DataFrame, features, target: str, fold_col: str | None) -> tuple[dict, tuple]:
+    """``({fold: Moments}, shift)`` from one batch pass; ``shift`` is the mean of all rows.
+
+    Every task multiplies its batches (``X'X`` per fold, d x d at any width) and
+    emits one partial per fold; a few tasks add the partials up, the driver the
+    last of them.  Partials are centred and merged pairwise, so large means do
+    not cancel.  A null or NaN in a feature or the target fails with the count.
+    """
     features = list(features)
     d = len(features)
-    cx, cy = shift if shift is not None else (np.zeros(d), 0.0)
-    xs = [q(c).cast("double") - F.lit(float(cx[i])) for i, c in enumerate(features)]
-    y = q(target).cast("double") - F.lit(float(cy))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(d) for j in range(i, d)]
-    g = df.groupBy(q(fold_col).alias("__fold")) if fold_col else df.groupBy(F.lit(None).alias("__fold"))
+    names = [f"x{i}" for i in range(d)] + ["y"]
+    rows = df.select((q(fold_col) if fold_col else F.lit(0)).cast("int").alias("fold"),
+                     *[q(c).cast("double").alias(n) for c, n in zip(features, names)], q(target).cast("double").alias("y"))
+
+    def multiply(batches):
+        sums, bad = {}, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                z, fold = _matrix(part, names), part.column("fold").to_numpy(zero_copy_only=False)
+                fine = ~np.isnan(z).any(axis=1)
+                bad += int((~fine).sum())
+                z, fold = z[fine], fold[fine]
+                for f in np.unique(fold):
+                    _merge(sums, int(f), Centred.of(z[fold == f]))
+        if bad:                       # a partial without a fold carries the count of bad rows
+            sums[None] = Centred(float(bad), np.zeros(0), np.zeros(0))
+        if sums:
+            yield _partials(sums)
+
+    def add_up(batches):
+        sums = {}
+        for batch in batches:
+            for f, n, mean, cross in zip(*(batch.column(c).to_pylist() for c in ("fold", "n", "mean", "cross"))):
+                mean, cross = np.array(mean), np.array(cross)
+                part = Centred(n, mean, cross.reshape(len(mean), len(mean)) if len(mean) else cross)
+                _merge(sums, f, part) if f is not None else sums.__setitem__(None, Centred(
+                    n + (sums[None].n if None in sums else 0.0), mean, cross))
+        if sums:
+            yield _partials(sums)
+
+    partial = rows.mapInArrow(multiply, _PARTIAL)
+    few = partial.repartition(SUM_GROUPS).mapInArrow(add_up, _PARTIAL)
+    found, bad = {}, 0
+    for r in few.collect():           # at most SUM_GROUPS x folds partials
+        mean = np.array(r["mean"])
+        if r["fold"] is None:
+            bad += int(r["n"])
+        else:
+            _merge(found, r["fold"], Centred(r["n"], mean, np.array(r["cross"]).reshape(len(mean), len(mean))))
+    if bad:
+        raise ValueError(f"{bad} rows have a null feature or target; fill them or pass on_null='drop'")
+    total = None
+    for m in found.values():
+        total = m if total is None else total + m
+    if total is None:
+        return {}, (np.zeros(d), 0.0)
+    centre = total.mean
     out = {}
-    for r in g.agg(*aggs).collect():
-        sxx = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"] or 0.0
-        out[r["__fold"]] = Moments(float(r["n"]), np.array([r[f"sx{i}"] or 0.0 for i in range(d)]),
-                                   float(r["sy"] or 0.0), sxx,
-                                   np.array([r[f"sxy{i}"] or 0.0 for i in range(d)]),
-                                   float(r["syy"] or 0.0))
-    return out
+    for f, m in found.items():
+        off = m.mean - centre
+        full = m.cross + m.n * np.outer(off, off)
+        out[f] = Moments(m.n, m.n * off[:d], float(m.n * off[d]), full[:d, :d], full[:d, d], float(full[d, d]))
+    return out, (centre[:d], float(centre[d]))
 
 
 def _sweeps(G, c, w, l1, l2, n):
@@ -243,47 +333,83 @@ def prediction_expr(features, intercept: float, coef) -> F.Column:
     return e
 
 
+def _absolute_errors(df: DataFrame, features, target: str, fold_col: str, weights: dict) -> dict:
+    """``{(config position, fold): sum of |error|}`` from one batch pass.
+
+    ``weights``: ``{fold: (intercepts, d x configs coefficients)}``, bounded by
+    configs x folds; each batch is multiplied by its fold's coefficients.
+    """
+    features = list(features)
+    names = [f"x{i}" for i in range(len(features))]
+    rows = df.select(q(fold_col).cast("int").alias("fold"), *[q(c).cast("double").alias(n) for c, n in zip(features, names)],
+                     q(target).cast("double").alias("y"))
+    shared = df.sparkSession.sparkContext.broadcast(weights)
+
+    def errors(batches):
+        sums: dict = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                z, fold = _matrix(part, [*names, "y"]), part.column("fold").to_numpy(zero_copy_only=False)
+                for f in np.unique(fold):
+                    own = z[fold == f]
+                    b, w = shared.value[int(f)]
+                    e = np.abs(own[:, -1:] - (own[:, :-1] @ w + b)).sum(axis=0)
+                    sums[int(f)] = sums.get(int(f), 0.0) + e
+        for f, e in sums.items():
+            yield pa.RecordBatch.from_pydict({"fold": pa.array([f] * len(e), pa.int32()), "config": pa.array(range(len(e)), pa.int32()),
+                                              "e": pa.array(e, pa.float64())})
+
+    out = rows.mapInArrow(errors, "fold int, config int, e double").groupBy("fold", "config").agg(F.sum("e").alias("e"))
+    return {(r["config"], r["fold"]): r["e"] for r in out.collect()}
+
+
 def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs,
-              fit_scope: str = "fold") -> tuple[DataFrame, dict]:
+              fit_scope: str = "fold", on_null: str = "error") -> tuple[DataFrame, dict]:
     """M3 for the linear family: ``(fold_metrics, solutions)``.
 
-    ``fold_metrics``: ``(model, fold, n, rmse, mae, r2)`` for every config
-    and fold, from one scoring pass; ``solutions[(name, fold)] =
-    (intercept, coef)`` plus ``solutions[(name, None)]`` fitted on all rows.
-    ``fit_scope``: ``"fold"`` scales on each training fold (default, no
-    leak); ``"global"`` scales on all rows first, as the reference does (T10).
+    ``fold_metrics``: ``(model, fold, n, rmse, mae, r2)`` for every config and
+    fold.  RMSE and R^2 follow from the held-out fold's moments; only the
+    absolute errors need a second pass, without copies of rows.
+    ``solutions[(name, fold)] = (intercept, coef)`` plus ``solutions[(name,
+    None)]`` fitted on all rows.  ``fit_scope``: ``"fold"`` scales on each
+    training fold (default, no leak); ``"global"`` scales on all rows first, as
+    the reference does (T10).  ``on_null``: see :func:`complete_rows`.
     """
     features, configs = list(features), list(configs)
-    data = complete_rows(df, features, target)
-    shift = column_shift(data, features, target)
-    per_fold = fold_moments(data, features, target, fold_col, shift)
+    if fit_scope not in ("fold", "global"):
+        raise ValueError(f"fit_scope must be 'fold' or 'global', not {fit_scope!r}")
+    data = complete_rows(df, features, target, on_null)
+    per_fold, shift = fold_moments(data, features, target, fold_col)
     total = None
     for m in per_fold.values():
         total = m if total is None else total + m
-    if fit_scope not in ("fold", "global"):
-        raise ValueError(f"fit_scope must be 'fold' or 'global', not {fit_scope!r}")
-    glob = _pop_std(total, shift) if fit_scope == "global" else None
-    sol = {}
-    for cfg in configs:
+    glob = _pop_std(total, shift) if fit_scope == "global" and total is not None else None
+    sol, rows = {}, []
+    for cfg in configs if total is not None else ():
         sol[(cfg.name, None)] = solve(total, cfg, shift)
         for f, m in per_fold.items():
             sol[(cfg.name, f)] = solve(total - m, cfg, shift, glob)
-    rows = [(cfg.name, int(f), float(sol[(cfg.name, f)][0]), [float(x) for x in sol[(cfg.name, f)][1]])
-            for cfg in configs for f in per_fold]
-    spark = df.sparkSession
-    # bounded by configs x folds: broadcast by construction, not by data size
-    coef = spark.createDataFrame(rows, "model string, __fold int, intercept double, coef array<double>")
-    # plain arithmetic over array elements (higher-order lambdas would leave codegen)
-    pred = F.col("intercept")
-    for i in range(len(features)):
-        pred = pred + F.col("coef")[i] * F.col(f"__x{i}")
-    scored = (data.select(q(fold_col).cast("int").alias("__fold"), q(target).cast("double").alias("__y"),
-                          *[q(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)])
-              .join(F.broadcast(coef), "__fold")
-              .withColumn("__p", pred))
-    metrics = (scored.groupBy("model", F.col("__fold").alias("fold"))
-               .agg(*metric_exprs("__y", "__p")))
-    return metrics, sol
+    weights = {f: (np.array([sol[(c.name, f)][0] for c in configs]), np.stack([sol[(c.name, f)][1] for c in configs], axis=1))
+               for f in per_fold} if configs else {}
+    absolute = _absolute_errors(data, features, target, fold_col, weights) if weights else {}
+    for i, cfg in enumerate(configs if weights else ()):
+        for f, m in sorted(per_fold.items()):
+            sse, sst = held_out_sse(m, *sol[(cfg.name, f)], shift)
+            r2 = 1.0 - sse / sst if sst > 0 else 1.0 if sse == 0 else 0.0
+            rows.append((cfg.name, int(f), int(m.n), float(np.sqrt(sse / m.n)), float(absolute[i, f] / m.n), float(r2)))
+    schema = "model string, fold int, n bigint, rmse double, mae double, r2 double"
+    return df.sparkSession.createDataFrame(rows, schema), sol
+
+
+def held_out_sse(m: Moments, intercept: float, coef: np.ndarray, shift) -> tuple[float, float]:
+    """Sum of squared errors of a linear model on the rows behind ``m``, and their total sum of squares."""
+    cx, cy = shift
+    mx, my = m.sx / m.n, m.sy / m.n
+    cxx, cxy = m.sxx - m.n * np.outer(mx, mx), m.sxy - m.n * mx * my
+    sst = m.syy - m.n * my * my
+    off = (cy + my) - intercept - float(coef @ (cx + mx))
+    return max(float(sst - 2 * coef @ cxy + coef @ cxx @ coef + m.n * off * off), 0.0), float(sst)
 
 
 class _LinearParams(Params):
@@ -311,13 +437,14 @@ class LinearFormulaModel(Model, _LinearParams, DefaultParamsReadable, DefaultPar
 
 
 def fit_linear(df: DataFrame, features, target: str, cfg: LinearConfig,
-               prediction_col: str = "prediction") -> LinearFormulaModel:
-    """Fit one configuration on all rows (two aggregate passes)."""
+               prediction_col: str = "prediction", on_null: str = "error") -> LinearFormulaModel:
+    """Fit one configuration on all rows (one batch pass)."""
     features = list(features)
-    data = complete_rows(df, features, target)
-    shift = column_shift(data, features, target)
-    m = fold_moments(data, features, target, None, shift)[None]
-    b, w = solve(m, cfg, shift)
+    data = complete_rows(df, features, target, on_null)
+    per_fold, shift = fold_moments(data, features, target, None)
+    if not per_fold:
+        raise ValueError("no rows to fit on")
+    b, w = solve(per_fold[0], cfg, shift)
     return LinearFormulaModel(features, list(w), b, prediction_col)
 
 

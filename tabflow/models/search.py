@@ -23,10 +23,12 @@ from functools import reduce
 from itertools import product
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.columns import q
+from tabflow.functions.columns import mean_pm_std, q
 from tabflow.models import linear
 from tabflow.models.estimators import LASSO_ALPHAS, RIDGE_ALPHAS, TREE_FAMILIES, tree_pipeline
 from tabflow.models.metrics import regression_metrics, summarize_folds
@@ -96,30 +98,39 @@ def _linear_config(c: Candidate) -> linear.LinearConfig:
                                float(p.get("l1_ratio", 1.0)), bool(p.get("scale", True)))
 
 
+ASSEMBLED = "__features"
+
+
 def _cv_tree(data: DataFrame, c: Candidate, features, target: str, fold_col: str, folds,
              pool: ThreadPoolExecutor, keep: dict | None = None) -> DataFrame:
-    pipe = tree_pipeline(c.family, c.params, features, target, name=c.name, prediction_col="__p")
+    """``data`` carries the assembled vector, so a fit only trains; a kept model
+    assembles for itself."""
+    assembler, regressor = tree_pipeline(c.family, c.params, features, target, name=c.name, prediction_col="__p").getStages()
+    own = regressor.copy({regressor.featuresCol: ASSEMBLED})
 
     def fit(f):
-        return pipe.fit(data.where(q(fold_col) != F.lit(f)))
+        return own.fit(data.where(q(fold_col) != F.lit(f)))
 
     models = list(pool.map(fit, folds))
-    if keep is not None:
-        for f, m in zip(folds, models):
-            keep[(c.name, f)] = m
     preds = [m.transform(data.where(q(fold_col) == F.lit(f))).select(
         F.lit(c.name).alias("model"), q(fold_col).cast("int").alias("fold"), q(target).alias("__y"), "__p")
         for f, m in zip(folds, models)]
+    if keep is not None:
+        for f, m in zip(folds, models):
+            keep[(c.name, f)] = PipelineModel([assembler, m.copy({m.featuresCol: assembler.getOutputCol()})])
     return regression_metrics(reduce(DataFrame.unionByName, preds), "__y", "__p", by=("model", "fold"))
 
 
 def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
-                   parallelism: int = 4, keep_models: dict | None = None, fit_scope: str = "fold") -> DataFrame:
+                   parallelism: int = 4, keep_models: dict | None = None, fit_scope: str = "fold",
+                   on_null: str = "error") -> DataFrame:
     """Fold metrics ``(model, fold, n, rmse, mae, r2)`` for every
     candidate (collected: candidates x folds rows).  ``keep_models`` (a
     dict) receives every fold model as ``(name, fold) -> model`` so an
     ensemble can be scored without refitting its members.  ``fit_scope``
-    for linear scaling: ``"fold"`` (default) or ``"global"`` (T10)."""
+    for linear scaling: ``"fold"`` (default) or ``"global"`` (T10).  A null
+    feature or target fails with the number of such rows unless
+    ``on_null="drop"`` leaves them out (``n`` then counts the rows used)."""
     features = list(features)
     spark = df.sparkSession
     lin = [c for c in candidates if c.family.startswith("linear_")]
@@ -128,8 +139,10 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
     # the linear passes and every tree fit read it instead of re-evaluating the
     # feature pipeline's expressions inside wide aggregates
     data = linear.complete_rows(df.select(*[q(c) for c in dict.fromkeys(features + [target, fold_col])]),
-                                features, target).persist(StorageLevel.MEMORY_AND_DISK)
+                                features, target, on_null).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if trees and on_null == "error":
+            linear.check_complete(data, features, target)
         # one full pass materializes the cache (and lists the folds the tree fits need)
         folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
         out = []
@@ -142,12 +155,15 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
                     if f is not None:
                         keep_models[(name, f)] = linear.LinearFormulaModel(features, list(w), b, "__p")
         if trees:
+            vectors = VectorAssembler(inputCols=features, outputCol=ASSEMBLED, handleInvalid="error").transform(data).select(
+                q(target), q(fold_col), ASSEMBLED).persist(StorageLevel.MEMORY_AND_DISK)
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
                 # configurations in parallel too: each submits its fold fits to the same pool
                 with ThreadPoolExecutor(max_workers=max(1, parallelism)) as outer:
                     parts = list(outer.map(
-                        lambda c: _cv_tree(data, c, features, target, fold_col, folds, pool,
+                        lambda c: _cv_tree(vectors, c, features, target, fold_col, folds, pool,
                                            keep_models).collect(), trees))
+            vectors.unpersist()
             for p in parts:
                 out += p
         schema = "model string, fold int, n bigint, rmse double, mae double, r2 double"
@@ -159,21 +175,45 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
 def search(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
            parallelism: int = 4, keep_models: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``(trials, fold_metrics)``; ``trials`` = one row per
-    candidate with family, params JSON and the fold summary."""
+    candidate with family, params JSON, whether its inputs are scaled, the fold
+    summary with its texts and the mean MSE by which a search ranks."""
     candidates = list(candidates)
     fm = cross_validate(df, candidates, features, target, fold_col, parallelism, keep_models)
     spark = df.sparkSession
-    meta = spark.createDataFrame([(c.name, c.family, c.params_json()) for c in candidates],
-                                 "model string, family string, params string")
-    trials = meta.join(summarize_folds(fm, by=("model",)), "model", "left")
-    return trials, fm
+    meta = spark.createDataFrame([(c.name, c.family, c.params_json(), uses_scaling(c)) for c in candidates],
+                                 "model string, family string, params string, use_scaling boolean")
+    return meta.join(trial_summary(fm), "model", "left"), fm
+
+
+def uses_scaling(c: Candidate) -> bool:
+    """Whether a candidate's inputs are scaled in its fits: linear models but the mean, unless told otherwise."""
+    return c.family.startswith("linear_") and c.family != "linear_mean" and bool(c.params.get("scale", True))
+
+
+def trial_summary(fm: DataFrame) -> DataFrame:
+    """M5 per model with the ``mean ± std`` text of R^2 and the mean MSE over folds."""
+    mse = fm.groupBy("model").agg(F.avg(F.col("rmse") * F.col("rmse")).alias("mse_mean"))
+    return (summarize_folds(fm, by=("model",)).withColumn("r2_text", mean_pm_std("r2_mean", "r2_std", 4))
+            .join(mse, "model"))
 
 
 def best_by_family(trials: DataFrame) -> list:
-    """Best candidate per family (lowest mean RMSE, name tiebreak); a tiny
-    driver-side list of (family, name, params)."""
-    rows = trials.where(F.col("rmse_mean").isNotNull()).select("family", "model", "params", "rmse_mean").collect()
+    """Best candidate per family (lowest mean MSE over folds, name tiebreak); a
+    tiny driver-side list of (family, name, params)."""
+    rows = trials.where(F.col("mse_mean").isNotNull()).select("family", "model", "params", "rmse_mean", "mse_mean").collect()
     best = {}
-    for r in sorted(rows, key=lambda r: (r["rmse_mean"], r["model"])):
+    for r in sorted(rows, key=lambda r: (r["mse_mean"], r["model"])):
         best.setdefault(r["family"], r)
     return [best[f] for f in sorted(best)]
+
+
+def tune_and_evaluate(df: DataFrame, candidates, features, target: str, tune_fold: str, eval_fold: str,
+                      parallelism: int = 4, keep_models: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Search on one set of folds, then score each family's winner on another:
+    ``(trials, evaluated, fold_metrics)``.  ``evaluated`` has one row per family;
+    its scores come from folds that took no part in choosing the parameters."""
+    candidates = list(candidates)
+    trials, _ = search(df, candidates, features, target, tune_fold, parallelism)
+    chosen = {r["model"] for r in best_by_family(trials)}
+    evaluated, fm = search(df, [c for c in candidates if c.name in chosen], features, target, eval_fold, parallelism, keep_models)
+    return trials, evaluated, fm
