@@ -34,7 +34,7 @@ from tabflow.operators.binning import bin_index, quantile_edges
 from tabflow.operators.clean import mapping_expr
 from tabflow.operators.encode import Dictionary, dictionaries_from_values, encode, stacked_value_counts
 from tabflow.roles import Roles
-from tabflow.session import checkpoint_dir
+from tabflow.session import scratch_path
 
 SMALL_TABLE = 20_000
 
@@ -44,6 +44,7 @@ class FeatureStats:
     weight_mean: float | None = None
     size_mode: str | None = None
     vis_pos_mean: float | None = None
+    vis_mean: float | None = None             # mean of the repaired visibility over all rows
     outlet_means: dict | None = None          # small: {outlet: mean}
     outlet_table: DataFrame | None = None     # large: (k, v)
     n_outlets: int = 0
@@ -77,8 +78,8 @@ def _numeric(df: DataFrame, c: str):
 
 def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None,
                      grouped: DataFrame | None = None) -> tuple:
-    """Outlet-grouped sums -> (weight mean, positive-visibility mean, outlet
-    means as dict or table, number of outlets).  ``grouped`` (``k`` + the
+    """Outlet-grouped sums -> (weight mean, positive-visibility mean, overall
+    repaired mean, outlet means as dict or table, number of outlets).  ``grouped`` (``k`` + the
     :func:`_outlet_aggs` columns) is computed here unless the caller already
     has it from a combined pass.  ``counts`` receives the total row count."""
     has = set(df.columns)
@@ -92,7 +93,7 @@ def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None,
             counts["rows"] = tot["rows"] or 0
         wmean = (tot["sw"] / tot["nw"]) if r.weight in has and tot["nw"] else None
         if r.visibility not in has:
-            return wmean, None, None, None, 0
+            return wmean, None, None, None, None, 0
         pmean = (tot["sp"] / tot["np"]) if tot["np"] else None
         nz, nv = F.col("nz"), F.col("nv")
         snz = F.coalesce(F.col("snz"), F.lit(0.0))
@@ -100,14 +101,17 @@ def visibility_stats(df: DataFrame, r: Roles, counts: dict | None = None,
             mean = F.try_divide(snz, nv - nz)
         else:
             mean = F.try_divide(snz + nz * F.lit(pmean), nv)
+        seen = (tot["nv"] or 0) - (tot["nz"] or 0) if pmean is None else (tot["nv"] or 0)
+        overall = ((tot["snz"] or 0.0) + (0.0 if pmean is None else (tot["nz"] or 0) * pmean)) / seen if seen else None
         means = g.where(F.col("k").isNotNull()).select("k", mean.alias("v"))
         if r.outlet_id not in has:
-            return wmean, pmean, None, None, 0
+            return wmean, pmean, overall, None, None, 0
         n = means.count()
         if n <= SMALL_TABLE:
-            return wmean, pmean, {x["k"]: x["v"] for x in means.collect()}, None, n
-        checkpoint_dir(df.sparkSession)
-        return wmean, pmean, None, means.checkpoint(), n
+            return wmean, pmean, overall, {x["k"]: x["v"] for x in means.collect()}, None, n
+        path = scratch_path(df.sparkSession, "outlet-means")
+        means.write.parquet(path)
+        return wmean, pmean, overall, None, df.sparkSession.read.schema("k string, v double").parquet(path), n
     finally:
         g.unpersist()
 
@@ -181,7 +185,7 @@ def fit_stats(df: DataFrame, r: Roles, q_bins: int = 4, encode_cats: bool = True
     try:
         grouped = t.where(F.col("column") == entry).select(F.col("value").alias("k"), *[
             c for c in t.columns if c not in ("column", "value")])
-        s.weight_mean, s.vis_pos_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(
+        s.weight_mean, s.vis_pos_mean, s.vis_mean, s.outlet_means, s.outlet_table, s.n_outlets = visibility_stats(
             df, r, counts, grouped)
         vc = t.where(F.col("column") != OUTLET_ENTRY).select("column", "value", F.col("rows").alias("count"))
         s.size_mode, s.dictionaries = category_stats(df, r, encode_cats, vc)
@@ -198,7 +202,7 @@ def _batch_stats(df: DataFrame, r: Roles, s: FeatureStats, q_bins: int) -> Featu
     b = FeatureStats(**{**s.__dict__})
     base = _impute(df, r, s)
     counts = {}
-    _w, b.vis_pos_mean, b.outlet_means, b.outlet_table, b.n_outlets = visibility_stats(base, r, counts)
+    _w, b.vis_pos_mean, b.vis_mean, b.outlet_means, b.outlet_table, b.n_outlets = visibility_stats(base, r, counts)
     if r.price in df.columns:
         b.price_edges = quantile_edges(base, r.price, q_bins, max_rows=counts.get("rows"))
     return b
@@ -218,6 +222,9 @@ def _impute(df: DataFrame, r: Roles, s: FeatureStats) -> DataFrame:
 
 def apply_stats(df: DataFrame, r: Roles, s: FeatureStats, encode_cats: bool = True,
                 unknown: str = "error") -> DataFrame:
+    """The projection chain.  New data always gets values: an outlet that the
+    fit has not seen has the overall mean of the repaired visibility, a price
+    outside the fitted range falls in the outer bin on its side."""
     has = set(df.columns)
     out = _impute(df, r, s)
     v = q(r.visibility)
@@ -231,11 +238,12 @@ def apply_stats(df: DataFrame, r: Roles, s: FeatureStats, encode_cats: bool = Tr
         if mapping is None:
             mapping = {}
         out = apply_lookup(out, r.outlet_id, mapping, r.vis_outlet_mean, n_rows=s.n_outlets)
-        out = out.withColumn(r.vis_outlet_mean, q(r.vis_outlet_mean).cast("double"))
+        fallback = F.lit(None if s.vis_mean is None else float(s.vis_mean)).cast("double")
+        out = out.withColumn(r.vis_outlet_mean, F.coalesce(q(r.vis_outlet_mean).cast("double"), fallback))
         out = out.withColumn(r.vis_ratio, safe_ratio(r.visibility, r.vis_outlet_mean))
     if r.price in has and s.price_edges:
-        out = out.withColumn(r.price_category,
-                             bin_index(r.price, s.price_edges, include_lowest=True).cast("int"))
+        inside = F.when(q(r.price).isNotNull(), F.greatest(F.least(q(r.price), F.lit(s.price_edges[-1])), F.lit(s.price_edges[0])))
+        out = out.withColumn(r.price_category, bin_index(inside, s.price_edges, include_lowest=True).cast("int"))
     if r.price in has and r.visibility in has:
         out = out.withColumn(r.price_visibility, q(r.price) * v)
     if r.weight in has and r.visibility in has:
@@ -320,7 +328,8 @@ class _ModelWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         s = self.instance.stats
         state = {"weight_mean": s.weight_mean, "size_mode": s.size_mode,
-                 "vis_pos_mean": s.vis_pos_mean, "outlet_means": s.outlet_means,
+                 "vis_pos_mean": s.vis_pos_mean, "vis_mean": s.vis_mean,
+                 "outlet_table": s.outlet_table is not None, "outlet_means": s.outlet_means,
                  "n_outlets": s.n_outlets, "price_edges": s.price_edges,
                  "dictionaries": {c: {"size": d.size, "values": d.values}
                                   for c, d in s.dictionaries.items()}}
@@ -346,11 +355,10 @@ class _ModelReader(MLReader):
         for c, d in st["dictionaries"].items():
             tbl = None if d["values"] is not None else spark.read.parquet(os.path.join(path, "dict", c))
             dicts[c] = Dictionary(size=d["size"], values=d["values"], table=tbl)
-        outlet_table = None
-        if st["outlet_means"] is None and os.path.exists(os.path.join(path, "outlet_means")):
-            outlet_table = spark.read.parquet(os.path.join(path, "outlet_means"))
+        # the metadata says whether a table was written; a missing one fails here
+        outlet_table = spark.read.parquet(os.path.join(path, "outlet_means")) if st["outlet_table"] else None
         stats = FeatureStats(weight_mean=st["weight_mean"], size_mode=st["size_mode"],
-                             vis_pos_mean=st["vis_pos_mean"], outlet_means=st["outlet_means"],
+                             vis_pos_mean=st["vis_pos_mean"], vis_mean=st["vis_mean"], outlet_means=st["outlet_means"],
                              outlet_table=outlet_table, n_outlets=st["n_outlets"],
                              price_edges=st["price_edges"], dictionaries=dicts)
         m = self.cls(stats)
