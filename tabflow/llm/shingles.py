@@ -55,18 +55,23 @@ def shingle_set(raw: bytes | None, words: int = WORDS) -> np.ndarray:
 
 
 class Permutations:
-    """``k`` universal hash functions x -> (a x + b) mod 2^64, of which the upper 32 bits are kept."""
+    """``k`` universal hash functions x -> (a x + b) mod 2^32 with odd a over the upper halves of the shingle
+    hashes.  32-bit products are what numpy multiplies fastest."""
 
     def __init__(self, k: int, seed: int = 1):
         self.k = k
-        self.a, self.b = _odd(k, seed), _odd(k, seed + 1)
+        self.a = (_odd(k, seed) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+        self.b = (_odd(k, seed + 1) >> np.uint64(32)).astype(np.uint32)[:, None]
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         """The minimum of every function over a set that is not empty."""
-        least = np.full(self.k, np.uint64(2 ** 64 - 1))
-        for at in range(0, len(shingles), ROWS_AT_ONCE):
-            least = np.minimum(least, (shingles[at:at + ROWS_AT_ONCE, None] * self.a + self.b).min(axis=0))
-        return (least >> np.uint64(32)).astype(np.uint32)
+        x = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(self.k, np.uint32(2 ** 32 - 1))
+        for at in range(0, len(x), ROWS_AT_ONCE):
+            values = self.a * x[at:at + ROWS_AT_ONCE]
+            values += self.b
+            least = np.minimum(least, values.min(axis=1))
+        return least
 
 
 def set_key(shingles: np.ndarray) -> bytes:
