@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +34,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the session's Python workers, once: the functions that run in tasks are imported
+    there, whatever folder the driver was started in (the same as ``--py-files``)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tabflow_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tabflow-py-"), "tabflow.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tabflow", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._tabflow_shipped = True
+
+
 def balanced(df):
     """Spread an under-partitioned scan over the cluster's cores.
 

@@ -1,22 +1,13 @@
-"""Registered queries against their DuckDB oracles at sf0.001 (a fast
-subset by default; TABFLOW_ALL_ORACLES=1 runs every registered oracle)."""
-
-import os
+"""Every registered query of the library against its DuckDB SQL at sf0.001."""
 
 import pytest
 
 import __spark_entry__ as entry
+from tabflow.plans import catalog
 from tests.oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-FAST = ["fitted_features", "scored_features", "impute_size_mode", "standardize_fat_counts", "group_mean_visibility",
-        "price_quantile_bins", "price_fixed_bins", "label_dictionaries", "model_matrix", "duplicate_documents",
-        "missing_values_combined", "describe_numeric", "target_report", "iqr_outliers", "quality_findings",
-        "target_histogram", "box_stats_by_outlet_type", "correlation_matrix", "select_k_best", "cv_mean_baseline",
-        "cv_ols_price", "cv_summary", "prediction_comparison", "schema_contract", "feature_table_diff",
-        "cv_ridge_price", "cv_lasso_price", "preprocessing_validation", "column_type_counts", "price_quartiles",
-        "sorted_distinct", "scaled_features"]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("TABFLOW_ALL_ORACLES") else FAST
+NAMES = sorted(catalog.ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +18,7 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_oracle(spark, con, name):
     r = compare(spark, SF, name, entry.queries()[name], entry.oracle_sql()[name], con)
-    assert r["match"], r
+    assert r["match"] and r["spark_rows"] > 0, r
 
 
 def test_entry_runs(spark):
