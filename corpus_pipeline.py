@@ -27,22 +27,27 @@ from pyspark.sql import functions as F
 
 from tabflow.llm import bpe, decontaminate, language, near_dedup
 from tabflow.llm.common import stored, table
+from tabflow.session import ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return language.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return near_dedup.keep_one(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     cleaned = decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     vocab = bpe.load_vocab(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(docs, vocab, public_tokenizers.PATTERN, carry=("lang", "source"))
     return encoded.withColumn("n_tokens", F.expr("octet_length(token_ids) div 4").cast("bigint"))
