@@ -1120,9 +1120,13 @@ def _scoring_model(spark, sf):
     s = sales(spark, sf)
     train = s.where("split = 'train'")
     fm = FeaturePipeline(R, unknown="missing").fit(train)
-    eng = fm.transform(train)
-    _ranked, selected = select.select_k_best(eng, "sales", 15, E3_FEATURES)
-    tree = _ens.fit_candidate(eng, _C("tree", "decision_tree", {"maxDepth": 8}), selected, "sales", "prediction")
+    # scores and fit read the narrow engineered table once computed
+    eng = fm.transform(train).select(*E3_FEATURES, "sales").persist()
+    try:
+        _ranked, selected = select.select_k_best(eng, "sales", 15, E3_FEATURES)
+        tree = _ens.fit_candidate(eng, _C("tree", "decision_tree", {"maxDepth": 8}), selected, "sales", "prediction")
+    finally:
+        eng.unpersist()
     from pyspark.ml import PipelineModel
     return PipelineModel([fm, SelectColumns(["item_id"] + selected)] + tree.stages), s
 

@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+BALANCE_BYTES = 256 << 20
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "tabflow", extra: dict | None = None) -> SparkSession:
@@ -62,14 +64,16 @@ def balanced(df):
     A small table stored as one Parquet row group is read by one task no
     matter how many splits are planned, and every narrow stage after it
     (joins against broadcast sides, projections, partial aggregates, model
-    fits on a persisted copy) inherits that single partition.  When a scan
-    yields fewer partitions than the default parallelism it is
-    round-robin repartitioned (Spark sorts before a round-robin exchange, so
-    a retried task gets the same rows).  Large inputs already have many more
-    partitions than cores and pass through untouched: no extra shuffle.
+    fits on a persisted copy) inherits that single partition.  When a scan of
+    at most ``BALANCE_BYTES`` yields fewer partitions than the default
+    parallelism it is round-robin repartitioned (Spark sorts before a
+    round-robin exchange, so a retried task gets the same rows).  Larger
+    inputs pass through untouched: no extra shuffle, however many cores.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size <= BALANCE_BYTES and df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
