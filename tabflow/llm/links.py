@@ -46,43 +46,68 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], first: DataFrame | None = None,
-           anchors: int = ANCHORS) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of documents listed as (key, id).
+           share: tuple[int, int] = (0, 1), anchors: int = ANCHORS) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of documents listed as (key, id, n, rest).
 
-    ``verify`` takes pairs (a, b), a < b, and returns those that are links;
-    ``first`` holds links known beforehand.
+    ``n`` is the size of a document's set and ``rest`` the most elements of it
+    that a document can share which meets it under this key first (``n`` if
+    nothing is known).  Two sets of at least ``share`` likeness have
+    share0 / (share0 + share1) * (n + n') elements in common, so pairs whose
+    rests are smaller are not made, nor is a document kept in a list where no
+    partner could reach that.  ``verify`` takes pairs (a, b), a < b, and returns
+    those that are links; ``first`` holds links known beforehand.
     """
     spark: SparkSession = postings.sparkSession
     kind = postings.schema["id"].dataType.simpleString()
-    links = first if first is not None else spark.createDataFrame([], f"a {kind}, b {kind}")
-    labels = stored(components(links), "labels")
+    links = [first if first is not None else spark.createDataFrame([], f"a {kind}, b {kind}")]
+    labels = components(links[0])
     tested, at_once, open_ = None, 1, postings
+    both, part = share[0] + share[1], share[0]
     while True:
         rows = (open_.join(labels.withColumnRenamed("component", "c"), "id", "left")
-                .select("key", "id", F.coalesce("c", "id").alias("c")))
+                .select("key", "id", "n", "rest", F.coalesce("c", "id").alias("c")))
         sizes = labels.groupBy(F.col("component").alias("c")).agg(F.count(F.lit(1)).alias("size"))
-        mixed = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-        rows = stored(rows.join(mixed, "key").join(sizes, "c", "left").select(
-            "key", "id", "c", F.coalesce("size", F.lit(1).cast("bigint")).alias("size")), "postings")
+        mixed = (rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least"), F.max("rest").alias("most"))
+                 .where("low < high").select("key", "least", "most"))
+        # a partner has at least share * n elements and no less than the smallest of the list
+        partner = F.greatest(F.col("least") * share[1], F.col("n") * part)
+        reaches = F.least("rest", "most") * both * share[1] >= (F.col("n") * share[1] + partner) * part
+        rows = stored(rows.join(mixed, "key").where(reaches).join(sizes, "c", "left").select(
+            "key", "id", "n", "rest", "c", F.coalesce("size", F.lit(1).cast("bigint")).alias("size")), "postings")
         if open_ is not postings:
             discard(open_)
         if not rows.limit(1).count():
             discard(rows)
-            return links, labels
+            return _union(links), labels
         # members of small components first: once they have met the list, the rest is mostly one component
         order = Window.partitionBy("key").orderBy("size", "id")
-        heads = stored(rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= at_once).select("key", "id", "n", "c"), "anchors")
-        left = heads.select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-        numbered = rows.join(heads.select("key", "id", "n"), ["key", "id"], "left")
-        met = (numbered.join(left, "key").where("c <> cx and (n is null or n > nx)")
+        heads = stored(rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= at_once)
+                       .select("key", "id", "n", "rest", "place", "c"), "anchors")
+        left = heads.select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"),
+                            F.col("place").alias("px"), F.col("c").alias("cx"))
+        numbered = rows.join(heads.select("key", "id", "place"), ["key", "id"], "left")
+        enough = F.least("rest", "rx") * both >= (F.col("n") + F.col("nx")) * part
+        met = (numbered.join(left, "key").where(F.expr("c <> cx and (place is null or place > px)") & enough)
                .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
         met = stored(met, "pairs")
-        links = stored(links.unionByName(verify(met).select("a", "b")), "links")
-        tested = stored(met if tested is None else tested.unionByName(met), "tested")
-        labels = components(links)
-        open_ = stored(numbered.where("n is null").select("key", "id"), "postings")
+        found = stored(verify(met).select("a", "b"), "links")
+        tested = met if tested is None else tested.unionByName(met)
+        if found.limit(1).count():
+            links.append(found)
+            # what is linked already is a star around each component's smallest id
+            star = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            old, labels = labels, components(star.unionByName(found))
+            discard(old)
+        open_ = stored(numbered.where("place is null").select("key", "id", "n", "rest"), "postings")
         discard(rows)
         discard(heads)
         at_once = anchors if at_once == 1 else 2 * at_once
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out

@@ -15,7 +15,13 @@ coordinates but for a chance of ``MISS`` (the exact binomial tail), so:
 
 Equal sets are joined beforehand: one document of each class is posted, however
 many copies there are.  Lists are met anchor by anchor (:mod:`links`), so no group
-is expanded into all its pairs.  Texts move once, and only those of documents that
+is expanded into all its pairs.  A list of over ``LONG_LIST`` documents is mostly a
+passage that unlike documents share; its documents are posted anew under the
+rarest of their shingles: two sets of the wanted likeness share at least that part
+of either set, so they meet among the first (size - part + 1) shingles from rare to
+frequent, and a document whose own text fills these is posted no more.  A place
+in that order also bounds what two documents can share from there on, and pairs
+for which that is not enough are not made.  Texts move once, and only those of documents that
 still have lists; everything else is keyed rows of a few bytes or signatures.
 
 Defined results: null, empty and blank texts have the empty set, are linked with
@@ -43,6 +49,7 @@ MISS = 1e-6
 SHARE = (75, 100)             # intersection / union at least
 SLICE_ROWS = 256
 BROADCAST_IDS = 1_000_000
+LONG_LIST = 32
 
 
 def least_matches(coordinates: int, share: tuple[int, int] = SHARE, miss: float = MISS) -> int:
@@ -101,6 +108,31 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     return shared.where(F.col("common").cast("long") * share[1] >= (F.col("total") - F.col("common")).cast("long") * share[0]).select("a", "b").distinct()
 
 
+def post_long_lists_anew(postings: DataFrame, sets: DataFrame, share: tuple[int, int], long_list: int = LONG_LIST) -> DataFrame:
+    """Postings (id, key, n) with every list of over ``long_list`` documents replaced by lists of rare shingles.
+
+    ``rest`` is what a set has left from the posted shingle on; for signature values it is the whole size.
+
+    Nothing is lost: two documents of a long list both have a place in the new lists, which hold the exact
+    prefix of their sets among all documents of long lists.
+    """
+    long = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long_list).select("key"), "long")
+    kept = postings.select("id", "key", "n", F.col("n").alias("rest"))
+    if not long.limit(1).count():
+        return kept
+    hot = postings.join(long, "key").select("id").distinct()
+    own = sets.join(hot, "id", "left_semi").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
+    shared = own.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = own.join(shared, "s").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("rare"))
+    part = F.expr(f"(size * {share[0]} + {share[1] - 1}) div {share[1]}").cast("int")
+    # shingles that no other of these documents has come first and meet nobody
+    take = F.size("rare") - part + 1
+    anew = ranked.where(take > 0).select("id", F.col("size").cast("bigint").alias("n"), F.size("rare").alias("shared"),
+                                         F.posexplode(F.transform(F.slice("rare", F.lit(1), take), lambda x: x["s"])).alias("at", "key"))
+    return kept.join(long, "key", "left_anti").select("id", "key", "n", "rest").unionByName(
+        anew.select("id", "key", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: tuple[int, int] = SHARE,
                     coordinates: int = COORDINATES, words: int = WORDS) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row."""
@@ -127,6 +159,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi"), words), "sets")
     signs = classes.select("id", "n", "sig")
+    lists = stored(post_long_lists_anew(postings.join(signs.select("id", "n"), "id"), sets, share), "lists")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = (signs.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab")
@@ -135,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
         return confirm(both.where(sizes).where(equal >= least).select("a", "b").distinct(), sets, share)
 
-    _, labels = linked(postings, verify, same_id)
+    _, labels = linked(lists, verify, same_id, share)
     found = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component")))
     out = signed.select("id", "n").join(found, "id", "left")

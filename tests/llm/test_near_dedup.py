@@ -73,6 +73,12 @@ def test_components_equal_brute_force(spark):
         assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(shingles(t)) for i, t in rows}
 
 
+def test_long_lists_are_posted_anew_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(N.post_long_lists_anew, "__defaults__", (3,))
+    rows = corpus(3)
+    check(rows, N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
 def test_nulls_blanks_ties_and_repeated_rows(spark):
     long = " ".join(f"v{i % 997}" for i in range(40_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (None, "a b c d e f"), (None, None), (4, "a b c d e f"), (4, "a b c d e f"),
@@ -101,7 +107,7 @@ def test_linked_loses_no_link(spark):
     rng = random.Random(5)
     lists = {k: rng.sample(range(60), rng.choice([2, 5, 30])) for k in range(25)}
     links = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(60)}
-    postings = spark.createDataFrame([(k, i) for k, ids in lists.items() for i in ids], "key long, id long")
+    postings = spark.createDataFrame([(k, i, 1, 1) for k, ids in lists.items() for i in ids], "key long, id long, n long, rest long")
     known = spark.createDataFrame(sorted(links), "a long, b long")
     _, got = linked(postings, lambda pairs: pairs.join(known, ["a", "b"]), anchors=2)
     listed = {p for ids in lists.values() for p in links if p[0] in ids and p[1] in ids}
