@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 
 WORDS = 5
-CACHED_WORDS = 500_000
-LOWER_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+CHUNK = 1 << 18               # bytes hashed at a time
+LONG_WORD = 512               # longer words are hashed by xxh3
 ROWS_AT_ONCE = 2048
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+LOWER_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
@@ -35,23 +26,74 @@ def _odd(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2 ** 64, n, dtype=np.uint64) | np.uint64(1)
 
 
+_BLANKS = np.zeros(256, bool)
+_BLANKS[[0x20, *range(9, 14)]] = True
+_LETTERS = _odd(256, 5)                       # a random number per byte, A-Z as a-z
+_LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B]
+_FACTORS = _odd(max(WORDS, 64), 17)
+# powers of an odd number and of its inverse modulo 2^64
+_POWERS = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(CHUNK + LONG_WORD, np.uint64(0x9E3779B97F4A7C15)))))
+_INVERSE = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(
+    CHUNK + LONG_WORD, np.uint64(pow(0x9E3779B97F4A7C15, -1, 2 ** 64))))))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a text, in order; words end at blanks and the bytes 9 to 13, A-Z is
+    lower-cased.
+
+    A running sum of letter * power gives every word's polynomial as one difference, scaled back to the
+    word's own start, whatever the word's place; a mixer follows.
+    """
+    parts, at = [], 0
+    while at < len(raw):
+        end = at + CHUNK
+        if end < len(raw):
+            found = BLANK.search(raw, end)
+            end = found.start() if found else len(raw)
+        parts.append(_chunk_hashes(raw[at:end]))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _chunk_hashes(raw: bytes) -> np.ndarray:
+    if len(raw) >= len(_POWERS):              # a word that runs on for a whole chunk
+        return np.array([_long_hash(w) if len(w) >= LONG_WORD else word_hashes(w)[0] for w in raw.translate(LOWER_BYTES).split()], np.uint64)
+    b = np.frombuffer(raw, np.uint8)
+    blank = _BLANKS[b]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edges = np.concatenate(([0], edges))
+    if not blank[-1]:
+        edges = np.concatenate((edges, [len(b)]))
+    starts, ends = edges[0::2], edges[1::2]
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_LETTERS[b] * _POWERS[:len(b)], out=sums[1:])
+    sizes = ends - starts
+    hashes = _mixed((sums[ends] - sums[starts]) * _INVERSE[starts] + sizes.astype(np.uint64) * _LETTERS[0])
+    for i in np.flatnonzero(sizes >= LONG_WORD):
+        hashes[i] = _long_hash(raw[starts[i]:ends[i]].translate(LOWER_BYTES))
+    return hashes
+
+
+def _long_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
 def shingle_set(raw: bytes | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a text.
 
-    A-Z is lower-cased and words end at blanks and the bytes 9 to 13; a text of
-    fewer words has its whole sequence as its only shingle, one without words none.
+    A text of fewer words has its whole sequence as its only shingle, one without words none.
     """
-    found = raw.translate(LOWER_BYTES).split() if raw else []
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-    width = min(words, len(found))
-    factors = _odd(words, 17)
-    n = len(found) - width + 1
+    hashes = word_hashes(raw) if raw else np.zeros(0, np.uint64)
+    if not len(hashes):
+        return hashes
+    width = min(words, len(hashes))
+    n = len(hashes) - width + 1
     total = np.full(n, np.uint64(width))
     for j in range(width):
-        total += hashes[j:j + n] * factors[j]
-    return np.unique(_mixed(total))
+        total += hashes[j:j + n] * _FACTORS[j]
+    ordered = np.sort(_mixed(total))
+    return ordered[np.concatenate(([True], ordered[1:] != ordered[:-1]))]
 
 
 class Permutations:
