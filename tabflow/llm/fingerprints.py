@@ -37,6 +37,7 @@ COORDINATES = 64
 BAND_ROWS = 3
 BUCKET_BYTES = 32 << 20
 MAX_BUCKETS = 100_000
+SPREAD = 4                    # partitions per bucket, so that few hashed buckets fall into one task
 SLICE_ROWS = 64
 
 
@@ -68,18 +69,18 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     many direct links between different texts the row's text has (those tested on the way to the class)."""
     signed = stored(fingerprints(docs, id_col, text_col, coordinates, words), "fingerprints")
     full = signed.where("id is not null and n > 0")
-    classes = stored(full.groupBy("set_key").agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+    classes = stored(full.groupBy("set_key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     members = full.select("id", "set_key").distinct().join(classes.select("set_key", F.col("id").alias("rep")), "set_key").select("id", "rep").distinct()
     members = stored(members, "members")
     n_bands = coordinates // band_rows
     bands = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * band_rows + 1, band_rows)) for i in range(n_bands)])
-    posted = classes.select("id", F.explode(bands).alias("key"))
-    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    postings = stored(posted.join(shared.select("key"), "key").select("key", "id"), "postings")
+    posted = classes.select("id", "n", F.explode(bands).alias("key"))
+    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    postings = stored(posted.join(shared.select("key"), "key").select("key", "id", "n", F.col("n").alias("rest")), "postings")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(texts.join(postings.select("id").distinct(), "id", "left_semi"), words), "sets")
     several = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
-    links, labels = linked(postings, lambda pairs: confirm(pairs, sets, share), several)
+    links, labels = linked(postings, lambda pairs: confirm(pairs, sets, share), several, share)
     ends = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     found = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").join(ends, "rep", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"), F.max(F.coalesce("links", F.lit(0).cast("bigint"))).alias("n_links")))
@@ -109,7 +110,7 @@ def with_next(docs: DataFrame, function, schema: str, id_col: str = "doc_id", te
     ahead = docs.sparkSession.createDataFrame([(int(f), int(b)) for f, b in sent.items()], "at long, ahead long")
     own = rows.select("id", "at", "text", bucket.alias("bucket"), F.lit(0).alias("ghost"))
     ghost = rows.join(F.broadcast(ahead), "at").select("id", "at", "text", F.col("ahead").alias("bucket"), F.lit(1).alias("ghost"))
-    dealt = own.unionByName(ghost).repartition(max(1, len(firsts)), "bucket").sortWithinPartitions("bucket", "ghost", "at", "text")
+    dealt = own.unionByName(ghost).repartition(max(1, SPREAD * len(firsts)), "bucket").sortWithinPartitions("bucket", "ghost", "at", "text")
 
     def run(batches):
         held = None            # (bucket, id, text) of the last own row, waiting for its next text
@@ -160,10 +161,13 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def compare(texts, nexts):
         permutations = Permutations(coordinates)
         n, new, own_hex, new_hex, near_new, near_next = [], [], [], [], [], []
-        for raw, after in zip(texts, nexts):
+        following, after = None, None
+        for raw, ahead in zip(texts, nexts):
             text = raw.decode("utf-8")
-            changed = edited(text, after.decode("utf-8")).encode("utf-8")
-            own, other, following = (signature(x, permutations, words) for x in (raw, changed, after))
+            changed = edited(text, ahead.decode("utf-8")).encode("utf-8")
+            # the text that followed the last one is mostly this one
+            own = following if after == raw and following is not None else signature(raw, permutations, words)
+            other, following, after = signature(changed, permutations, words), signature(ahead, permutations, words), ahead
             n.append(len(text))
             new.append(changed)
             own_hex.append(as_hex(own))
