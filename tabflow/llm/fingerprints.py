@@ -24,6 +24,7 @@ texts; a table of one row is its own next; an empty table gives an empty table.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ from tabflow.llm.shingles import WORDS, Permutations, shingle_set
 COORDINATES = 64
 BAND_ROWS = 3
 BUCKET_BYTES = 32 << 20
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 4_000           # more bytes a bucket beyond; a bucket is sorted by Spark, which spills
+FINE = 8                      # cuts tried per bucket
 SPREAD = 4                    # partitions per bucket, so that few hashed buckets fall into one task
 SLICE_ROWS = 64
 
@@ -97,13 +99,22 @@ def with_next(docs: DataFrame, function, schema: str, id_col: str = "doc_id", te
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(-2 ** 63)).alias("at"), raw.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    # literal bounds of buckets of about bucket_bytes, from one narrow aggregate
+    # literal bounds of buckets of about bucket_bytes: fine cuts by number of rows, joined by their bytes
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    wanted = int(min(MAX_BUCKETS, max(1, total // bucket_bytes + 1)))
+    bucket_bytes = max(bucket_bytes, -(-total // MAX_BUCKETS))
+    wanted = (total // bucket_bytes + 1) * FINE
     cuts: list[int] = []
-    if wanted > 1:
+    if wanted > FINE:
         steps = [i / wanted for i in range(1, wanted)]
-        cuts = sorted(set(rows.agg(F.percentile_approx("at", steps, max(10_000, 10 * wanted))).first()[0] or []))
+        fine = sorted(set(rows.agg(F.percentile_approx("at", steps, max(10_000, 10 * wanted))).first()[0] or []))
+        sizes = {r["b"]: r["s"] for r in rows.groupBy(_bucket(F.col("at"), fine).alias("b")).agg(
+            F.sum(F.octet_length("text")).alias("s")).collect()}       # at most FINE rows a bucket
+        held = 0
+        for i, cut in enumerate(fine):
+            held += sizes.get(i, 0)
+            if held + sizes.get(i + 1, 0) > bucket_bytes:
+                cuts.append(cut)
+                held = 0
     bucket = _bucket(F.col("at"), cuts)
     firsts = sorted((r["b"], r["first"]) for r in rows.groupBy(bucket.alias("b")).agg(F.min("at").alias("first")).collect())  # a row a bucket
     sent = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}   # to the bucket before; the very first to the last
@@ -139,13 +150,13 @@ def _bucket(value: Column, cuts: list[int]) -> Column:
     """How many cuts lie at or below the value."""
     if not cuts:
         return F.lit(0).cast("bigint")
-    # binary search over nested comparisons: log2(cuts) tests a row
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low).cast("bigint")
-        mid = (low + high) // 2
-        return F.when(value < cuts[mid], tree(low, mid)).otherwise(tree(mid + 1, high))
-    return tree(0, len(cuts))
+    edges = np.array(cuts)
+
+    @F.pandas_udf("long")
+    def number(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, at.to_numpy(), side="right"))
+
+    return number(value)
 
 
 def edited(text: str, following: str) -> str:
