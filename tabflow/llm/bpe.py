@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_VOCAB_BYTES = 64 << 20
-CACHED_PIECES = 200_000       # memo of short pieces; emptied when full
+CACHED_PIECES = 100_000       # memo of short pieces; emptied when full
 CACHED_PIECE_BYTES = 64
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 200_000
 SLICE_ROWS = 64               # texts turned into Python strings at a time
 
 

@@ -38,7 +38,7 @@ from tabflow.llm.common import stored
 WINDOW = 10
 SHARD_SYMBOLS = 1 << 20
 SHARD_ROWS = 20_000
-SHARD_BYTES = 32 << 20        # texts held for removal
+SHARD_BYTES = 8 << 20         # texts held for removal
 BLOCK_BYTES = 4 << 20
 SAMPLE_EVERY = 8
 SLICE_ROWS = 128

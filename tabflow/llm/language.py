@@ -43,7 +43,7 @@ BROADCAST_HOSTS = 200_000
 TEXT_WEIGHT = 1 / 3
 HOST_PSEUDO, SUFFIX_PSEUDO, GLOBAL_PSEUDO = 20.0, 100.0, 1.0
 MIN_POSTERIOR = 0.5
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 UND = "und"
 
 # letters of ASCII and all bytes of other scripts stay, everything else is a blank
