@@ -42,10 +42,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ship_package(spark: SparkSession) -> None:
     """Hand this package to the session's Python workers, once: the functions that run in tasks are imported
-    there, whatever folder the driver was started in (the same as ``--py-files``)."""
+    there, whatever folder the driver was started in (the same as ``--py-files``).  Arrow batches are kept small
+    unless the session sets their size itself."""
     sc = spark.sparkContext
     if getattr(sc, "_tabflow_shipped", False):
         return
+    # rows are whole texts: batches of the default size are held several times over by every worker
+    for key, usual, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+                              ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b")):
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, value)
     root = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="tabflow-py-"), "tabflow.zip")
     with zipfile.ZipFile(archive, "w") as z:
