@@ -20,6 +20,7 @@ vocabulary file itself (under ``MAX_VOCAB_BYTES``, checked).
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -45,6 +46,10 @@ def read_ranks(raw: bytes) -> list[bytes]:
     return [ranked[i] for i in range(len(ranked))]
 
 
+# packing a few ids costs less than making an array of them
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(17)]
+
+
 class Pairs(dict):
     """(left id, right id) -> may right follow left?  Filled on demand."""
 
@@ -68,7 +73,8 @@ class Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
-        packed = np.array(self.codec.encode_piece(raw), dtype="<u4").tobytes()
+        ids = self.codec.encode_piece(raw)
+        packed = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
         if len(raw) <= CACHED_PIECE_BYTES:
             if len(self) >= CACHED_PIECES:
                 self.clear()
