@@ -21,7 +21,10 @@ empty table.  Only the id and text columns are read.
 
 from __future__ import annotations
 
+import functools
+import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,8 @@ from tabflow.llm.common import LOWER, UPPER
 
 THRESHOLD = 0.8
 MAX_TEMPLATE_PAIRS = 5_000
+MAX_TEXT_PAIRS = 50_000
+WINDOW_STEPS = 100            # window starts per template size
 SLACK = 1e-9                  # sizes exactly on a bound stay in; the coefficient decides
 
 # Licence notices.
@@ -50,10 +55,64 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Standard headers, and titles that are a line of their own.
+_GPL = ("This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the "
+        "Free Software Foundation{2} version {3} of the License, or (at your option) any later version. This program is distributed in the "
+        "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU {1} for more details. You should have received a copy of the GNU {1} along with this program")
+HEADERS = [
+    ("AGPL-3.0", _GPL.format(":", "Affero General Public License", ", either", 3)),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+                   "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+                   'law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT '
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", _GPL.format(";", "General Public License", "; either", 2)),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", _GPL.format(":", "General Public License", ", either", 3)),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+                "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+]
+TITLES = [("Apache-2.0", "Apache License 2.0"), ("Apache-2.0", "Apache License, Version 2.0"), ("BSD-2-Clause", "BSD 2-Clause License"),
+          ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"), ("ISC", "The ISC License"), ("MIT", "MIT License"),
+          ("MIT", "The MIT License"), ("MIT", "The MIT License (MIT)"), ("MPL-2.0", "Mozilla Public License Version 2.0"),
+          ("Unlicense", "The Unlicense")]
+
+
+@functools.cache
+def texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the full licence texts and standard headers."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    return tuple([(f.stem, f.read_text("utf-8")) for f in files] + HEADERS)
+
+
+def words_of(text: str) -> list[str]:
+    return re.findall("[a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER)))
+
+
+def telling_words(pairs: list[str], need: int) -> set[str]:
+    """Words, rare ones first, one of which is in any ``need`` of the pairs."""
+    holders: dict[str, set[str]] = {}
+    for pair in pairs:
+        for word in pair.split():
+            holders.setdefault(word, set()).add(pair)
+    chosen, left = set(), set(pairs)
+    for word in sorted(holders, key=lambda w: ("licen" not in w, -len(w), w)):
+        if len(left) < need:
+            break
+        chosen.add(word)
+        left -= holders[word]
+    return chosen
+
 
 def normal_pairs(text: str) -> list[str]:
     """The sorted set of adjacent word pairs of a template."""
-    words = re.findall("[a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER)))
+    words = words_of(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])} or set(words))
 
 
@@ -65,8 +124,10 @@ def _pairs(words: Column) -> Column:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """(id, ``matches``): an array of (licence, dice, unit), one per matching unit, the whole text last.
+         text_col: str = "text", long: tuple[tuple[str, str], ...] | None = None,
+         titles: list[tuple[str, str]] = TITLES) -> DataFrame:
+    """(id, ``matches``): an array of (licence, dice, unit), one per matching unit, the whole text last, then the
+    long matches (``long`` and ``templates`` over paragraphs and windows, ``titles`` over lines), best first.
 
     ``unit`` is the normalised text that matched.
     """
@@ -104,8 +165,105 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     rated = F.transform(admitted, lambda u: F.struct(best(u).alias("best"), u["words"].alias("words")))
     matches = F.transform(F.filter(rated, lambda m: m["best"]["dice"] >= threshold), lambda m: F.struct(
         m["best"]["licence"].alias("licence"), m["best"]["dice"].alias("dice"), F.array_join(m["words"], " ").alias("unit")))
-    return (docs.select(F.col(id_col).alias("id"), sentences.alias("parts")).select("id", units.alias("units"))
-            .select(F.col("id").alias(id_col), matches.alias("matches")))
+    long = texts() if long is None else long
+    if sum(len(normal_pairs(text)) for _, text in long) > MAX_TEXT_PAIRS:
+        raise ValueError(f"licence texts of more than {MAX_TEXT_PAIRS} word pairs")
+    long = [t for t in long if len(words_of(t[1])) > 1]
+    wanted = [t for t in sorted(templates.items()) if len(words_of(t[1])) > 1] + long
+    wanted_titles = [t for t in titles if words_of(t[1])]
+    words = F.flatten("parts")
+    telling = set().union(*(telling_words(normal_pairs(text), _least_shared(text, threshold)) for _, text in wanted + wanted_titles))
+    hot = F.arrays_overlap(words, _literals(telling))
+    # the text goes on only where a long match is possible
+    rows = docs.select(F.col(id_col).alias("id"), sentences.alias("parts"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("id", "parts", units.alias("units"), F.when(hot, F.col("text")).alias("text")).select(
+        "id", matches.alias("matches"), "text", F.when(F.col("text").isNotNull(), F.col("parts")).alias("parts"))
+    rows = rows.select("id", "matches", "text", "parts", F.flatten("parts").alias("words"))
+    rows = rows.select("*", _pairs(F.col("words")).alias("pairs"))
+    every_long = _literals({p for _, text in wanted + wanted_titles for p in normal_pairs(text)})
+    rows = rows.select("*", F.array_intersect("pairs", every_long).alias("there"), F.when(F.col("text").isNotNull(), _blocks()).alias("blocks"),
+                       F.when(F.col("text").isNotNull(), _spans(F.col("parts"))).alias("lines"))
+    rows = rows.select("id", "matches", "words", "lines", _candidates(wanted, wanted_titles, len(wanted) - len(long), threshold).alias("candidates"))
+    further = F.when(F.size("candidates") > 0, _apart())
+    return rows.select(F.col("id").alias(id_col), F.concat("matches", F.coalesce(further, _NO_MATCH())).alias("matches"))
+
+
+_NO_MATCH = lambda: F.array().cast("array<struct<licence:string,dice:double,unit:string>>")
+
+
+def _literals(values) -> Column:
+    return F.split(F.lit("\n".join(sorted(values))), "\n")
+
+
+def _least_shared(text: str, threshold: float) -> int:
+    """Distinct pairs that any unit matching this template shares with it at least."""
+    p = len(normal_pairs(text))
+    return max(1, math.ceil(threshold * (p + p * threshold / (2 - threshold)) / 2 - 1e-6))
+
+
+def _spans(parts: Column) -> Column:
+    """(start, length) in words of consecutive parts."""
+    return F.transform(parts, lambda w, i: F.struct(F.aggregate(F.slice(parts, 1, i), F.lit(0), lambda n, x: n + F.size(x)).alias("start"),
+                                                    F.size(w).alias("length")))
+
+
+def _blocks() -> Column:
+    """Spans of the paragraphs (blank lines part them) and the whole text."""
+    lower = F.translate(F.col("text"), UPPER, LOWER)
+    paragraphs = F.transform(F.split(lower, "\n[ \\t\\r]*\n"), lambda t: F.filter(
+        F.split(F.regexp_replace(t, "[^a-z0-9]+", " "), " "), lambda w: w != ""))
+    return F.concat(_spans(paragraphs), F.array(F.struct(F.lit(0).alias("start"), F.size("words").alias("length"))))
+
+
+def _candidates(wanted: list, titles: list, n_notices: int, threshold: float) -> Column:
+    """Every long unit that reaches the threshold: (dice, order, start, stop, licence)."""
+    none = F.array().cast("array<struct<dice:double,order:int,start:int,stop:int,licence:string>>")
+    if not wanted + titles:
+        return none
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    known = F.expr("array(" + ", ".join(
+        f"named_struct('order', {i}, 'licence', {quoted(licence)}, 'length', {len(words_of(text))}, 'least', {_least_shared(text, threshold)}, "
+        f"'pairs', split('{';'.join(normal_pairs(text))}', ';'))" for i, (licence, text) in enumerate(wanted + titles)) + ")")
+    n, pairs = F.size("words"), F.col("pairs")
+    low = threshold / (2 - threshold) - SLACK
+
+    def found(t: Column) -> Column:
+        is_title, is_notice = t["order"] >= len(wanted), t["order"] < n_notices
+        step = F.greatest(F.lit(1), ((t["length"] - 1) / WINDOW_STEPS).cast("int"))
+        windows = F.transform(F.sequence(F.lit(0), n - t["length"], step), lambda i: F.struct(i.alias("start"), t["length"].alias("length")))
+        blocks = F.filter(F.when(is_title, F.col("lines")).otherwise(F.col("blocks")), lambda b: (b["length"] > 1) & (
+            b["length"] - 1 >= F.size(t["pairs"]) * low))
+        spans = F.when(~is_title & (n >= t["length"]), F.concat(windows, blocks)).otherwise(blocks)
+        own = F.transform(spans, lambda b: F.struct(b["start"].alias("start"), b["length"].alias("length"), F.array_distinct(
+            F.slice(pairs, b["start"] + 1, b["length"] - 1)).alias("own")))
+        scored = F.transform(own, lambda b: F.struct(
+            (2.0 * F.size(F.array_intersect(b["own"], t["pairs"])) / (F.size(b["own"]) + F.size(t["pairs"]))).alias("dice"),
+            (-t["order"]).alias("order"), b["start"].alias("start"), (b["start"] + b["length"]).alias("stop"), t["licence"].alias("licence")))
+        # inside one sentence the sentence as a whole decides whether it is a notice
+        one = lambda c: F.exists("lines", lambda b: (b["start"] <= c["start"]) & (b["start"] + b["length"] >= c["stop"]))
+        return F.filter(scored, lambda c: (c["dice"] >= threshold) & ~(is_notice & one(c)))
+
+    possible = F.filter(known, lambda t: (F.size("there") >= t["least"]) & (
+        F.size(F.array_intersect("there", t["pairs"])) >= t["least"]))
+    return F.when(F.col("text").isNotNull(), F.flatten(F.transform(possible, found))).otherwise(none)
+
+
+def _apart() -> Column:
+    """The best candidates, none in the place of a better one or of a sentence that matched."""
+    named = F.transform("matches", lambda m: m["unit"])
+    spans = F.concat("lines", F.array(F.struct(F.lit(0).alias("start"), F.size("words").alias("length"))))
+    unit = lambda start, length: F.array_join(F.slice("words", start + 1, length), " ")
+    taken = F.transform(F.filter(spans, lambda b: F.array_contains(named, unit(b["start"], b["length"]))), lambda b: F.struct(
+        F.lit(0.0).alias("dice"), F.lit(1).alias("order"), b["start"].alias("start"), (b["start"] + b["length"]).alias("stop"),
+        F.element_at("matches", F.array_position(named, unit(b["start"], b["length"])).cast("int"))["licence"].alias("licence")))
+    inside = lambda k, c: (k["licence"] == c["licence"]) & (k["start"] <= c["start"]) & (k["stop"] >= c["stop"])
+    same = lambda k, c: inside(k, c) | (2 * (F.least(k["stop"], c["stop"]) - F.greatest(k["start"], c["start"])) >= F.greatest(
+        k["stop"] - k["start"], c["stop"] - c["start"]))
+    kept = F.aggregate(F.sort_array("candidates", asc=False), taken.cast(
+        "array<struct<dice:double,order:int,start:int,stop:int,licence:string>>"), lambda held, c: F.when(
+        F.exists(held, lambda k: same(k, c)), held).otherwise(F.concat(held, F.array(c))))
+    return F.transform(F.filter(kept, lambda k: k["order"] <= 0), lambda k: F.struct(
+        k["licence"].alias("licence"), k["dice"].alias("dice"), unit(k["start"], k["stop"] - k["start"]).alias("unit")))
 
 
 def sql() -> str:

@@ -46,3 +46,26 @@ def test_edges(spark):
     assert L.scan(df.limit(0)).count() == 0
     plan = L.scan(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_full_texts_titles_and_wrapped_notices(spark):
+    full = dict((n, t) for n, t in L.texts() if len(t) > 400 and (n, t) not in L.HEADERS)
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(full)
+    lead, tail = "Some prose goes before it, line after line.\n" * 12, "\nand some goes after it" * 12
+    wrapped = lead + "The code here is\nreleased under the\nMIT License. " + tail
+    whole_and_title = lead + "MIT License\n\n" + full["MIT"].split("\n\n", 1)[1]
+    # MIT with every twelfth word changed: 5/6 of its pairs are left
+    changed = " ".join("changed" if i % 12 == 5 else w for i, w in enumerate(full["MIT"].split()))
+    rows = [(name, lead + text + tail) for name, text in full.items()] + [
+        ("wrapped", wrapped), ("title", lead + "MIT License\n" + tail), ("both", whole_and_title), ("changed", lead + changed + tail),
+        ("header", lead + L.HEADERS[2][1].replace(" ", "\n", 4) + tail), ("prose", lead + tail),
+        ("mention", lead + "he spoke of the MIT license and other software on that day" + tail), ("half", lead + full["MIT"][40:440] + tail)]
+    got = {r["doc_id"]: r["matches"] for r in L.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for name in full:
+        assert name in {m["licence"] for m in got[name] if len(m["unit"].split()) > 60}, (name, [m["licence"] for m in got[name]])
+    assert [m["licence"] for m in got["wrapped"]] == ["MIT"] and got["wrapped"][0]["unit"] == "released under the mit license"
+    assert [m["unit"] for m in got["title"]] == ["mit license"]
+    assert {m["licence"] for m in got["both"]} == {"MIT"} and len(got["both"][0]["unit"].split()) > 150
+    assert [m["licence"] for m in got["changed"]] == ["MIT"] and got["changed"][0]["dice"] < 0.9
+    assert "Apache-2.0" in {m["licence"] for m in got["header"]}
+    assert got["prose"] == got["mention"] == got["half"] == []
