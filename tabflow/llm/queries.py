@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, decontaminate, fingerprints, hilbert, html_text, language, licenses, near_dedup, reply_trees, url_rules
+from tabflow.llm import bpe, decontaminate, fingerprints, hilbert, html_text, language, licenses, near_dedup, repair, reply_trees, url_rules
 from tabflow.llm.common import table
 
 SHARDS = 24
@@ -89,10 +89,17 @@ def op10_reply_trees(spark, sf_dir):
                       F.sha2(learned, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op13_structure_repair(spark, sf_dir):
+    """Damage every conversation by seed and repair its structure."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair(rows, copies_col="copies")
+
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_near_dedup": op3_near_dedup,
            "op4_html_text": op4_html_text, "op5_licenses": op5_licenses,
            "op6_fingerprints": op6_fingerprints, "op7_language": op7_language,
            "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
-           "op10_reply_trees": op10_reply_trees}
+           "op10_reply_trees": op10_reply_trees, "op13_structure_repair": op13_structure_repair}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op3_near_dedup": near_dedup.SQL,
-           "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL}
+           "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL,
+           "op13_structure_repair": repair.SQL}
