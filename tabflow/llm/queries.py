@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, decontaminate, fingerprints, hilbert, html_text, language, licenses, near_dedup, repair, reply_trees, url_rules
+from tabflow.llm import bpe, decontaminate, fill_middle, fingerprints, hilbert, html_text, language, licenses, near_dedup, quality_votes, repair, reply_trees, url_rules
 from tabflow.llm.common import table
 
 SHARDS = 24
@@ -89,6 +89,19 @@ def op10_reply_trees(spark, sf_dir):
                       F.sha2(learned, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    """Every text cut into prefix, middle and suffix by seed, and built again from the output."""
+    out = fill_middle.transform(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_quality_votes(spark, sf_dir):
+    """Quality of every document by the votes of its nearest labelled neighbours."""
+    return quality_votes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_structure_repair(spark, sf_dir):
     """Damage every conversation by seed and repair its structure."""
     rows = repair.damaged(table(spark, sf_dir, "conversations"))
@@ -99,7 +112,8 @@ QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_near
            "op4_html_text": op4_html_text, "op5_licenses": op5_licenses,
            "op6_fingerprints": op6_fingerprints, "op7_language": op7_language,
            "op8_url_rules": op8_url_rules, "op9_hilbert": op9_hilbert,
-           "op10_reply_trees": op10_reply_trees, "op13_structure_repair": op13_structure_repair}
+           "op10_reply_trees": op10_reply_trees, "op11_fill_middle": op11_fill_middle, "op12_quality_votes": op12_quality_votes,
+           "op13_structure_repair": op13_structure_repair}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op3_near_dedup": near_dedup.SQL,
            "op5_licenses": licenses.sql(), "op8_url_rules": url_rules.SQL, "op10_reply_trees": reply_trees.SQL,
-           "op13_structure_repair": repair.SQL}
+           "op11_fill_middle": fill_middle.SQL, "op13_structure_repair": repair.SQL}
