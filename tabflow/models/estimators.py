@@ -10,7 +10,9 @@ numTrees / maxIter, learning rate -> stepSize, min samples / child weight
 per leaf -> minInstancesPerNode, subsample -> subsamplingRate, column
 fraction / max_features -> featureSubsetStrategy, gamma -> minInfoGain.
 Extra trees become a forest without bootstrap (random split thresholds have
-no Spark counterpart); the three boosting libraries become one GBTRegressor.
+no Spark counterpart).  ``boosted_trees`` is Spark's own GBTRegressor; the roles of the
+reference's three boosting libraries are the families ``boosted_depth``, ``boosted_leaf`` and
+``boosted_symmetric`` of :mod:`tabflow.models.boosting`, with all their parameters.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from tabflow.models.linear import KINDS as LINEAR_KINDS
 
 SEED = 42
 TREE_FAMILIES = ("decision_tree", "random_forest", "extra_trees", "boosted_trees")
-FAMILIES = tuple(f"linear_{k}" for k in LINEAR_KINDS) + TREE_FAMILIES
+BOOST_FAMILIES = ("boosted_depth", "boosted_leaf", "boosted_symmetric")
+FAMILIES = tuple(f"linear_{k}" for k in LINEAR_KINDS) + TREE_FAMILIES + BOOST_FAMILIES
 
 # The reference's search spaces, mapped to Spark names.
 # ("int", lo, hi) / ("float", lo, hi) / ("logfloat", lo, hi) / ("choice", [...])
@@ -39,6 +42,21 @@ BOOSTED_SPACE = {"maxIter": ("int", 100, 1000), "stepSize": ("logfloat", 0.01, 0
                  "maxDepth": ("int", 3, 12), "subsamplingRate": ("float", 0.6, 1.0),
                  "featureSubsetStrategy": ("choice", ["0.6", "0.8", "1.0"]),
                  "minInstancesPerNode": ("int", 1, 100), "minInfoGain": ("float", 0.0, 0.1)}
+# The reference's spaces of its three boosters, by the vendors' names.
+BOOST_SPACES = {
+    "boosted_leaf": {
+        "n_estimators": ("int", 500, 2000), "learning_rate": ("logfloat", 0.01, 0.3), "max_depth": ("int", 3, 12),
+        "num_leaves": ("int", 20, 300), "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
+        "reg_alpha": ("float", 0.0, 10.0), "reg_lambda": ("float", 0.0, 10.0), "min_child_samples": ("int", 5, 100)},
+    "boosted_depth": {
+        "n_estimators": ("int", 500, 2000), "learning_rate": ("logfloat", 0.01, 0.3), "max_depth": ("int", 3, 12),
+        "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0), "reg_alpha": ("float", 0.0, 10.0),
+        "reg_lambda": ("float", 0.0, 10.0), "min_child_weight": ("int", 1, 10), "gamma": ("float", 0.0, 10.0)},
+    "boosted_symmetric": {
+        "iterations": ("int", 500, 2000), "learning_rate": ("logfloat", 0.01, 0.3), "depth": ("int", 3, 10),
+        "l2_leaf_reg": ("float", 1.0, 10.0), "subsample": ("float", 0.6, 1.0), "colsample_bylevel": ("float", 0.6, 1.0),
+        "min_data_in_leaf": ("int", 1, 50)},
+}
 
 
 def _regressor(family: str, params: dict, features_col: str, label: str, prediction_col: str):

@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import mean_pm_std, q
-from tabflow.models import linear
-from tabflow.models.estimators import LASSO_ALPHAS, RIDGE_ALPHAS, TREE_FAMILIES, tree_pipeline
+from tabflow.models import blocks, boosting, linear
+from tabflow.models.estimators import BOOST_FAMILIES, LASSO_ALPHAS, RIDGE_ALPHAS, TREE_FAMILIES, tree_pipeline
 from tabflow.models.metrics import regression_metrics, summarize_folds
+from tabflow.models.study import Study
 
 SEED = 42
 
@@ -135,6 +136,7 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
     spark = df.sparkSession
     lin = [c for c in candidates if c.family.startswith("linear_")]
     trees = [c for c in candidates if c.family in TREE_FAMILIES]
+    boosted = [c for c in candidates if c.family in BOOST_FAMILIES]
     # the narrow modelling table (features, target, fold) is materialized once:
     # the linear passes and every tree fit read it instead of re-evaluating the
     # feature pipeline's expressions inside wide aggregates
@@ -146,6 +148,8 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         # one full pass materializes the cache (and lists the folds the tree fits need)
         folds = sorted(r[0] for r in data.select(q(fold_col)).distinct().collect())
         out = []
+        if boosted:
+            out += _cv_boosted(data, boosted, features, target, fold_col, keep_models, on_null)
         if lin:
             m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin],
                                       fit_scope)
@@ -172,6 +176,35 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         data.unpersist()
 
 
+def _cv_boosted(data: DataFrame, candidates, features, target: str, fold_col: str, keep: dict | None, on_null: str) -> list[tuple]:
+    """Fold metrics of boosted candidates: all settings and folds grow in the same passes over the packed table."""
+    packed = blocks.pack(data, features, target, fold_col, on_null=on_null)
+    try:
+        jobs = [(c, f) for c in candidates for f in sorted(packed.folds)]
+        fitted = boosting.train(packed, [(boosting.boost_params(c.family.removeprefix("boosted_"), c.params), f) for c, f in jobs])
+    finally:
+        blocks.discard(packed.table)
+    if keep is not None:
+        for (c, f), m in zip(jobs, fitted):
+            keep[(c.name, f)] = PipelineModel([boosting.model_of(packed, m, "__p")])
+    return [(c.name, f, *m.metrics) for (c, f), m in zip(jobs, fitted)]
+
+
+def study(df: DataFrame, family: str, space: dict, features, target: str, fold_col: str, path: str, n_trials: int, at_once: int = 1,
+          seed: int = SEED) -> Study:
+    """A sequential study of one family; a trial's value is its mean RMSE over the folds, the trials of a batch are
+    cross-validated together, and the table at ``path`` lets the study resume."""
+    def objective(batch):
+        named = [Candidate(f"trial_{n}", family, p) for n, p in batch]
+        fm = cross_validate(df, named, features, target, fold_col)
+        means = {r["model"]: r["value"] for r in fm.groupBy("model").agg(F.avg("rmse").alias("value")).collect()}
+        return [means.get(c.name) for c in named]
+
+    found = Study(df.sparkSession, space, path, seed)
+    found.run(objective, n_trials, at_once)
+    return found
+
+
 def search(df: DataFrame, candidates, features, target: str, fold_col: str = "fold",
            parallelism: int = 4, keep_models: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``(trials, fold_metrics)``; ``trials`` = one row per

@@ -828,6 +828,8 @@ def select_k_best(spark, sf):
 # --------------------------------------------------------------------------
 # M1-M25 modelling, S2-S8 sinks and contracts
 
+from tabflow.models import blocks as _blocks  # noqa: E402
+from tabflow.models import boosting as _boost  # noqa: E402
 from tabflow.models import ensemble as _ens  # noqa: E402
 from tabflow.models import estimators as _est  # noqa: E402
 from tabflow.models import folds as _folds  # noqa: E402
@@ -998,6 +1000,73 @@ def boosted_random_search(spark, sf):
     return trials
 
 
+_BOOST_PARAMS = {"reg_alpha": 50.0, "reg_lambda": 2.0, "min_child_weight": 20, "n_estimators": 1, "learning_rate": 0.5, "max_depth": 1}
+_BOOST_FEATURES = ["visibility", "est_year", "l_linenumber"]
+
+
+@register("boosted_first_split", with_sales(f"""
+, t as (select * from sales where split = 'train')
+, g as (select *, (select avg(sales) from t) - sales as g from t)
+, c as ({" union all ".join(f"""select {i} as i, '{c}' as feature, cast({c} as double) as x, sum(g) as g, count(*) as h
+    from g group by {c}""" for i, c in enumerate(_BOOST_FEATURES))})
+, p as (select *, sum(g) over w as gl, sum(h) over w as hl, sum(g) over a as gt, sum(h) over a as ht from c
+        window w as (partition by i order by x), a as (partition by i))
+, s as (select *, (pow(greatest(abs(gl) - 50, 0), 2) / (hl + 2) + pow(greatest(abs(gt - gl) - 50, 0), 2) / (ht - hl + 2)
+          - pow(greatest(abs(gt) - 50, 0), 2) / (ht + 2)) / 2 as gain from p where hl >= 20 and ht - hl >= 20)
+, b as (select * from s order by gain desc, i, x limit 1)
+select growth, feature, round(x, 6) as threshold, round(gain / ht, 4) as gain_per_row,
+  round(-0.5 * sign(gl) * greatest(abs(gl) - 50, 0) / (hl + 2), 4) as left_value,
+  round(-0.5 * sign(gt - gl) * greatest(abs(gt - gl) - 50, 0) / (ht - hl + 2), 4) as right_value,
+  cast(hl as bigint) as left_rows, cast(ht - hl as bigint) as right_rows
+from b, (values ('depth'), ('leaf'), ('symmetric')) v(growth)"""))
+def boosted_first_split(spark, sf):
+    """The first split of each kind of boosted tree, with regularized gain and leaf values."""
+    packed = _blocks.pack(_train(spark, sf), _BOOST_FEATURES, "sales")
+    fitted = _boost.train(packed, [(_boost.boost_params(g, _BOOST_PARAMS), None) for g in _boost.GROWTHS])
+    models = {g: _boost.model_of(packed, m) for g, m in zip(_boost.GROWTHS, fitted)}
+    nodes = _boost.node_table(spark, models)
+    top, low, high = (nodes.where(F.col("node") == n) for n in range(3))
+    side = lambda df, name: df.select("model", F.col("value").alias(f"{name}_value"), F.col("rows").cast("bigint").alias(f"{name}_rows"))
+    out = top.select("model", "feature", "threshold", (F.col("gain") / F.col("rows")).alias("gain_per_row")).join(side(low, "left"), "model").join(side(high, "right"), "model")
+    return round_doubles(out.withColumnRenamed("model", "growth").withColumn("threshold", F.round("threshold", 6)), 4)
+
+
+def _boost_candidates(rounds: int):
+    return [_C("depth", "boosted_depth", {"n_estimators": rounds, "learning_rate": 0.3, "max_depth": 6, "subsample": 0.8, "colsample_bytree": 0.8,
+                                          "reg_alpha": 1.0, "reg_lambda": 2.0, "min_child_weight": 5, "gamma": 1.0}),
+            _C("leaf", "boosted_leaf", {"n_estimators": rounds, "learning_rate": 0.3, "max_depth": 8, "num_leaves": 31, "subsample": 0.8,
+                                        "colsample_bytree": 0.8, "reg_alpha": 1.0, "reg_lambda": 2.0, "min_child_samples": 20}),
+            _C("symmetric", "boosted_symmetric", {"iterations": rounds, "learning_rate": 0.3, "depth": 6, "l2_leaf_reg": 3.0, "subsample": 0.8,
+                                                  "colsample_bylevel": 0.8, "min_data_in_leaf": 10})]
+
+
+@register("boosted_families_cv")
+def boosted_families_cv(spark, sf):
+    """M15 + M3: the three kinds of boosted trees on five folds, all fifteen models grown in the same passes."""
+    return summarize_folds(_search.cross_validate(_engineered(spark, sf), _boost_candidates(10), E3_FEATURES, "sales"))
+
+
+@register("boosted_study")
+def boosted_study(spark, sf):
+    """A sequential study of leaf-wise boosting over the reference's space but for the number of rounds; four trials open at
+    once, their table resumed half-way."""
+    space = {**_est.BOOST_SPACES["boosted_leaf"], "n_estimators": ("int", 5, 10)}
+    df, path = _tuning(_engineered(spark, sf)), scratch_path(spark, "study")
+    for n_trials in (4, 16):
+        found = _search.study(df, "boosted_leaf", space, E3_FEATURES, "sales", "tune", path, n_trials, at_once=4)
+    return found.table()
+
+
+@register("importance_by_kind")
+def importance_by_kind(spark, sf):
+    """Importances by number of splits, gain and cover of the three boosters, each kind normalized."""
+    df = _engineered(spark, sf)
+    packed, cands = _blocks.pack(df, E3_FEATURES, "sales"), _boost_candidates(5)
+    fitted = _boost.train(packed, [(_boost.boost_params(c.family.removeprefix("boosted_"), c.params), None) for c in cands])
+    models = {c.name: _boost.model_of(packed, m) for c, m in zip(cands, fitted)}
+    return _boost.importance_by_kind(_boost.node_table(spark, models), list(models), E3_FEATURES)
+
+
 @register("quick_model_comparison")
 def quick_model_comparison(spark, sf):
     """Cross-validated comparison of a named model list."""
