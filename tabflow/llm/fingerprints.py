@@ -82,7 +82,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(texts.join(postings.select("id").distinct(), "id", "left_semi"), words), "sets")
     several = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
-    links, labels = linked(postings, lambda pairs: confirm(pairs, sets, share), several, share)
+    links, labels = linked(postings, lambda pairs, n: confirm(pairs, n, sets, share), several, share)
     ends = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     found = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").join(ends, "rep", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"), F.max(F.coalesce("links", F.lit(0).cast("bigint"))).alias("n_links")))

@@ -40,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import stored
-from tabflow.llm.links import linked
+from tabflow.llm.common import discard, stored
+from tabflow.llm.links import counted, few, linked
 from tabflow.llm.shingles import WORDS, Permutations, set_key, shingle_set
 
 COORDINATES = 64
@@ -49,6 +49,8 @@ MISS = 1e-6
 SHARE = (75, 100)             # intersection / union at least
 SLICE_ROWS = 256
 BROADCAST_IDS = 1_000_000
+BROADCAST_SIGNATURES = 50_000    # of COORDINATES * 4 bytes each
+BROADCAST_ELEMENTS = 4_000_000   # shingles of 8 bytes
 LONG_LIST = 32
 
 
@@ -98,17 +100,24 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, shingles array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose full sets overlap enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+def confirm(pairs: DataFrame, n: int, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Of ``n`` distinct pairs (a, b, anchor) those whose full sets overlap enough.
+
+    A pair's member, the one that is no anchor, brings its set; the anchors' sets are broadcast as long as their counted
+    elements allow it, so that the set of a hot anchor is not shuffled once per pair."""
+    pairs = pairs.withColumn("member", F.when(F.col("anchor") == F.col("a"), F.col("b")).otherwise(F.col("a")))
+    wanted = pairs.select(F.col("anchor").alias("id")).distinct()
+    heads, _, (elements,) = counted(sets.join(few(wanted, n), "id", "left_semi"), "anchor-sets", n, F.sum(F.size("shingles")))
+    left = heads.select(F.col("id").alias("anchor"), F.col("shingles").alias("sa"))
+    both = sets.select(F.col("id").alias("member"), F.col("shingles").alias("sb")).join(few(pairs, n), "member")
+    both = both.join(few(left, elements, BROADCAST_ELEMENTS), "anchor")
     common = F.size(F.array_intersect("sa", "sb"))
     shared = both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
-    return shared.where(F.col("common").cast("long") * share[1] >= (F.col("total") - F.col("common")).cast("long") * share[0]).select("a", "b").distinct()
+    return shared.where(F.col("common").cast("long") * share[1] >= (F.col("total") - F.col("common")).cast("long") * share[0]).select("a", "b")
 
 
-def post_long_lists_anew(postings: DataFrame, sets: DataFrame, share: tuple[int, int], long_list: int = LONG_LIST) -> DataFrame:
+def post_long_lists_anew(postings: DataFrame, sets: DataFrame, share: tuple[int, int], n_postings: int,
+                         long_list: int = LONG_LIST) -> DataFrame:
     """Postings (id, key, n) with every list of over ``long_list`` documents replaced by lists of rare shingles.
 
     ``rest`` is what a set has left from the posted shingle on; for signature values it is the whole size.
@@ -116,10 +125,11 @@ def post_long_lists_anew(postings: DataFrame, sets: DataFrame, share: tuple[int,
     Nothing is lost: two documents of a long list both have a place in the new lists, which hold the exact
     prefix of their sets among all documents of long lists.
     """
-    long = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long_list).select("key"), "long")
+    long, n_long, _ = counted(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long_list).select("key"), "long", n_postings)
     kept = postings.select("id", "key", "n", F.col("n").alias("rest"))
-    if not long.limit(1).count():
+    if not n_long:
         return kept
+    long = few(long, n_long)
     hot = postings.join(long, "key").select("id").distinct()
     own = sets.join(hot, "id", "left_semi").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
     shared = own.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -141,7 +151,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full = signed.where("id is not null and n > 0")
     classes = stored(full.groupBy("set_key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     # rows of one id in several classes link them
-    members = full.select("id", "set_key").distinct().join(classes.select("set_key", F.col("id").alias("rep")), "set_key")
+    members = full.select("id", "set_key").join(classes.select("set_key", F.col("id").alias("rep")), "set_key")
     members = stored(members.select("id", "rep").distinct(), "members")
     several = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("id", "low")
     same_id = several.join(members, "id").where("low <> rep").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
@@ -152,21 +162,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = (posted.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
               .where(F.size("keys") >= least))
     prefix = F.slice("keys", F.lit(1), F.size("keys") - least + 1)
-    postings = stored(listed.select("id", F.explode(F.transform(prefix, lambda k: k["key"])).alias("key")), "postings")
+    postings, n_postings, _ = counted(listed.select("id", F.explode(F.transform(prefix, lambda k: k["key"])).alias("key")), "postings")
 
     # sets of those documents only
     wanted = postings.select("id").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi"), words), "sets")
     signs = classes.select("id", "n", "sig")
-    lists = stored(post_long_lists_anew(postings.join(signs.select("id", "n"), "id"), sets, share), "lists")
+    lists = stored(post_long_lists_anew(postings.join(signs.select("id", "n"), "id"), sets, share, n_postings), "lists")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        a, b = (signs.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab")
+    def verify(pairs: DataFrame, n: int) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        own, n_own, _ = counted(signs.join(few(ids, 2 * n), "id", "left_semi"), "signs", 2 * n)
+        a, b = (few(own.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")), n_own, BROADCAST_SIGNATURES) for c in "ab")
         both = pairs.join(a, "a").join(b, "b")
         sizes = F.least("na", "nb") * share[1] >= F.greatest("na", "nb") * share[0]
         equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
-        return confirm(both.where(sizes).where(equal >= least).select("a", "b").distinct(), sets, share)
+        agreed, n_agreed, _ = counted(both.where(sizes).where(equal >= least).select("a", "b", "anchor"), "agreed", n)
+        sure = confirm(agreed, n_agreed, sets, share)
+        discard(own)
+        return sure
 
     _, labels = linked(lists, verify, same_id, share)
     found = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")

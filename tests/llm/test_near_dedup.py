@@ -109,7 +109,7 @@ def test_linked_loses_no_link(spark):
     links = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(60)}
     postings = spark.createDataFrame([(k, i, 1, 1) for k, ids in lists.items() for i in ids], "key long, id long, n long, rest long")
     known = spark.createDataFrame(sorted(links), "a long, b long")
-    _, got = linked(postings, lambda pairs: pairs.join(known, ["a", "b"]), anchors=2)
+    _, got = linked(postings, lambda pairs, n: pairs.join(known, ["a", "b"]), anchors=2)
     listed = {p for ids in lists.values() for p in links if p[0] in ids and p[1] in ids}
     root = {i: i for i in range(60)}
     for _ in range(60):
@@ -121,5 +121,5 @@ def test_linked_loses_no_link(spark):
 
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 300)] + [(500, 900), (900, 700)], "a long, b long")
-    got = {r["id"]: r["component"] for r in components(edges).collect()}
+    got = {r["id"]: r["component"] for r in components(edges)[0].collect()}
     assert got == {**{i: 0 for i in range(301)}, 500: 500, 700: 500, 900: 500}
