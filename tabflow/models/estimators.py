@@ -12,7 +12,9 @@ fraction / max_features -> featureSubsetStrategy, gamma -> minInfoGain.
 Extra trees become a forest without bootstrap (random split thresholds have
 no Spark counterpart).  ``boosted_trees`` is Spark's own GBTRegressor; the roles of the
 reference's three boosting libraries are the families ``boosted_depth``, ``boosted_leaf`` and
-``boosted_symmetric`` of :mod:`tabflow.models.boosting`, with all their parameters.
+``boosted_symmetric`` of :mod:`tabflow.models.boosting`, with all their parameters; trees with exact
+cuts and ``min_samples_split``, forests of them and trees of random cuts are the families
+``exact_tree``, ``exact_forest`` and ``random_cut_trees`` of :mod:`tabflow.models.forest`.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from tabflow.models.linear import KINDS as LINEAR_KINDS
 SEED = 42
 TREE_FAMILIES = ("decision_tree", "random_forest", "extra_trees", "boosted_trees")
 BOOST_FAMILIES = ("boosted_depth", "boosted_leaf", "boosted_symmetric")
-FAMILIES = tuple(f"linear_{k}" for k in LINEAR_KINDS) + TREE_FAMILIES + BOOST_FAMILIES
+EXACT_FAMILIES = ("exact_tree", "exact_forest", "random_cut_trees")
+FAMILIES = tuple(f"linear_{k}" for k in LINEAR_KINDS) + TREE_FAMILIES + BOOST_FAMILIES + EXACT_FAMILIES
 
 # The reference's search spaces, mapped to Spark names.
 # ("int", lo, hi) / ("float", lo, hi) / ("logfloat", lo, hi) / ("choice", [...])
@@ -42,6 +45,11 @@ BOOSTED_SPACE = {"maxIter": ("int", 100, 1000), "stepSize": ("logfloat", 0.01, 0
                  "maxDepth": ("int", 3, 12), "subsamplingRate": ("float", 0.6, 1.0),
                  "featureSubsetStrategy": ("choice", ["0.6", "0.8", "1.0"]),
                  "minInstancesPerNode": ("int", 1, 100), "minInfoGain": ("float", 0.0, 0.1)}
+# The reference's whole grid of decision trees and its space of forests and extra trees, by its own names.
+EXACT_TREE_GRID = {"max_depth": [5, 10, 15, 20], "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]}
+EXACT_FOREST_SPACE = {"n_estimators": ("choice", [100, 200, 300]), "max_depth": ("choice", [10, 15, 20]),
+                      "min_samples_split": ("choice", [2, 5, 10]), "min_samples_leaf": ("choice", [1, 2, 4]),
+                      "max_features": ("choice", ["sqrt", "log2"])}
 # The reference's spaces of its three boosters, by the vendors' names.
 BOOST_SPACES = {
     "boosted_leaf": {

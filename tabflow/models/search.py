@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import mean_pm_std, q
-from tabflow.models import blocks, boosting, linear
-from tabflow.models.estimators import BOOST_FAMILIES, LASSO_ALPHAS, RIDGE_ALPHAS, TREE_FAMILIES, tree_pipeline
+from tabflow.models import blocks, boosting, forest, linear
+from tabflow.models.estimators import BOOST_FAMILIES, EXACT_FAMILIES, LASSO_ALPHAS, RIDGE_ALPHAS, TREE_FAMILIES, tree_pipeline
 from tabflow.models.metrics import regression_metrics, summarize_folds
 from tabflow.models.study import Study
 
@@ -137,6 +137,7 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
     lin = [c for c in candidates if c.family.startswith("linear_")]
     trees = [c for c in candidates if c.family in TREE_FAMILIES]
     boosted = [c for c in candidates if c.family in BOOST_FAMILIES]
+    exact = [c for c in candidates if c.family in EXACT_FAMILIES]
     # the narrow modelling table (features, target, fold) is materialized once:
     # the linear passes and every tree fit read it instead of re-evaluating the
     # feature pipeline's expressions inside wide aggregates
@@ -150,6 +151,9 @@ def cross_validate(df: DataFrame, candidates, features, target: str, fold_col: s
         out = []
         if boosted:
             out += _cv_boosted(data, boosted, features, target, fold_col, keep_models, on_null)
+        if exact:
+            out += forest.cross_validate(data, [(c.name, forest.forest_params(c.family, c.params)) for c in exact], features, target, fold_col,
+                                         on_null, keep_models)
         if lin:
             m, sol = linear.cv_linear(data, features, target, fold_col, [_linear_config(c) for c in lin],
                                       fit_scope)

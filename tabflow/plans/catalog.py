@@ -833,6 +833,7 @@ from tabflow.models import boosting as _boost  # noqa: E402
 from tabflow.models import ensemble as _ens  # noqa: E402
 from tabflow.models import estimators as _est  # noqa: E402
 from tabflow.models import folds as _folds  # noqa: E402
+from tabflow.models import forest as _forest  # noqa: E402
 from tabflow.models import linear as _lin  # noqa: E402
 from tabflow.models import search as _search  # noqa: E402
 from tabflow.models.metrics import summarize_folds  # noqa: E402
@@ -1067,6 +1068,56 @@ def importance_by_kind(spark, sf):
     return _boost.importance_by_kind(_boost.node_table(spark, models), list(models), E3_FEATURES)
 
 
+_CUT_FEATURES = ["visibility", "price", "est_year"]
+_CUTS_SQL = """
+, c{k} as ({parts})
+, p{k} as (select *, sum(s) over w as sl, sum(h) over w as hl, sum(s) over a as st, sum(h) over a as ht, lead(x) over w as nx from c{k}
+        window w as (partition by node, i order by x), a as (partition by node, i))
+, g{k} as (select *, (sl * sl / hl + (st - sl) * (st - sl) / (ht - hl) - st * st / ht) / ht as gain from p{k} where nx is not null and hl >= 20 and ht - hl >= 20)
+, b{k} as (select * from (select *, row_number() over (partition by node order by gain desc, i, x) as r from g{k}) where r = 1)"""
+
+
+def _cuts_sql(k: int, rows: str) -> str:
+    return _CUTS_SQL.format(k=k, parts=" union all ".join(
+        f"select {i} as i, '{c}' as feature, node, cast({c} as double) as x, sum(y) as s, count(*) as h from {rows} group by node, {c}"
+        for i, c in enumerate(_CUT_FEATURES)))
+
+
+@register("exact_tree_splits", with_sales("""
+, t as (select *, sales - avg(sales) over () as y, 0 as node from sales where split = 'train')""" + _cuts_sql(0, "t") + """
+, t1 as (select t.* replace (case when (case b0.i when 0 then visibility when 1 then price else est_year end) <= x + (nx - x) / 2 then 1 else 2 end as node)
+         from t, b0)""" + _cuts_sql(1, "t1") + """
+select cast(node as integer) as node, feature, round(x + (nx - x) / 2, 6) as threshold, round(gain, 2) as gain_per_row, cast(ht as bigint) as "rows",
+  round(sl / hl + (select avg(sales) from t), 4) as left_mean, round((st - sl) / (ht - hl) + (select avg(sales) from t), 4) as right_mean
+from (select * from b0 union all select * from b1)"""))
+def exact_tree_splits(spark, sf):
+    """The upper two levels of a decision tree with exact cuts, at least twenty rows a child."""
+    packed = _blocks.pack(_train(spark, sf), _CUT_FEATURES, "sales", raw=True)
+    tree = _forest.grow(packed, [(_forest.ForestParams(max_depth=2, min_samples_leaf=20), None)])[0][0]
+    rows = [(n, _CUT_FEATURES[f], tree.threshold[n], tree.gain[n] / tree.rows[n], int(tree.rows[n]), tree.value[tree.left[n]], tree.value[tree.right[n]])
+            for n, f in enumerate(tree.feature) if f >= 0]
+    out = spark.createDataFrame(rows, "node int, feature string, threshold double, gain_per_row double, `rows` long, left_mean double, right_mean double")
+    return out.select("node", "feature", "rows", *[round_scaled(F.col(c), k).alias(c) for c, k in (
+        ("threshold", 6), ("gain_per_row", 2), ("left_mean", 4), ("right_mean", 4))])
+
+
+@register("exact_tree_grid")
+def exact_tree_grid(spark, sf):
+    """M12 + M16: the reference's whole grid of 36 settings with ``min_samples_split`` and exact cuts on three folds; the winner
+    is scored on the five others."""
+    cands = [_C(f"tree_{i}", "exact_tree", p) for i, p in enumerate(_search.grid(_est.EXACT_TREE_GRID))]
+    trials, evaluated, _ = _search.tune_and_evaluate(_tuning(_engineered(spark, sf)), cands, E3_FEATURES, "sales", "tune", "fold")
+    return trials.withColumn("folds", F.lit("tune")).unionByName(evaluated.withColumn("folds", F.lit("evaluate")))
+
+
+@register("exact_forests_cv")
+def exact_forests_cv(spark, sf):
+    """M13 + M14: a forest of exact bootstrap trees and extra trees with random cuts, on five folds (trees: 10 and 20)."""
+    cands = [_C("forest", "exact_forest", {"n_estimators": 10, "max_depth": 10, "min_samples_split": 10, "min_samples_leaf": 4, "max_features": "sqrt"}),
+             _C("extra", "random_cut_trees", {"n_estimators": 20, "max_depth": 10, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"})]
+    return summarize_folds(_search.cross_validate(_engineered(spark, sf), cands, E3_FEATURES, "sales"))
+
+
 @register("quick_model_comparison")
 def quick_model_comparison(spark, sf):
     """Cross-validated comparison of a named model list."""
