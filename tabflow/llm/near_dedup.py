@@ -165,9 +165,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings, n_postings, _ = counted(listed.select("id", F.explode(F.transform(prefix, lambda k: k["key"])).alias("key")), "postings")
 
     # sets of those documents only
-    wanted = postings.select("id").distinct()
+    wanted, n_wanted, _ = counted(postings.select("id").distinct(), "wanted", n_postings)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi"), words), "sets")
+    sets = stored(shingle_sets(texts.join(few(wanted, n_wanted), "id", "left_semi"), words), "sets")
     signs = classes.select("id", "n", "sig")
     lists = stored(post_long_lists_anew(postings.join(signs.select("id", "n"), "id"), sets, share, n_postings), "lists")
 
