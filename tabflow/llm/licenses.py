@@ -1,17 +1,21 @@
 """Licence scan by Dice coefficient over word bigrams (operator 5, DataFrame functions only).
 
-Units of a document are its sentences (cut at line ends and after ``. ! ?``
-before white space) and the whole text.  A unit and a template are normalised to
-lower-case words of letters and digits and compared by the Dice coefficient of
-their adjacent word pairs, 2 * shared / (a + b): a unit's size a counts all its
-pairs, so a repeated pair matches once and weighs twice.  With threshold t, sizes
-a and b can only match if a lies between b * t / (2 - t) and b * (2 - t) / t.
-The size is known from the number of words, so units that no template admits are
-dropped before any pair is formed, and templates out of bounds are not compared.
-
-Scale: one narrow pass, no shuffle; the templates are a short list given as
-literals (a few dozen notices, ``MAX_TEMPLATE_PAIRS`` checked).  Matches are
-kept per document as an array, never exploded.
+Units of a document are its sentences (cut at line ends and after ``. ! ?`` before white space) and the whole
+text, compared with short notices; and its paragraphs, the whole text and every window of a template's length, compared with full
+licence texts, standard headers and the notices (wrapped over lines; inside one sentence only the sentence counts), and its
+lines, compared with titles.  A unit and a template are normalised to lower-case words of letters and digits and compared by
+the Dice coefficient of their adjacent word pairs, 2 * shared / (a + b): a sentence's size a counts all its pairs, so a
+repeated pair matches once and weighs twice; of the long units distinct pairs are counted.  With threshold t, sizes a and
+b can only match if a lies between b * t / (2 - t) and b * (2 - t) / t.  The size is known from the number of words, so units
+that no template admits are dropped before any pair is formed, and templates out of bounds are not compared.
+
+Nearly all texts are done with after a search for the telling words, of which every match has one.  Windows are met from left to
+right: one that shares s pairs where a match needs at least m cannot match at the next m - s - 1 places either, so these
+are passed over; no start that could match is left out, whatever the template's length.  Positions of lines come from one
+filter over marked words, so the work on a text is linear in it but for windows around matches.
+
+Scale: one narrow pass, no shuffle; the templates are literals (``MAX_TEMPLATE_PAIRS`` and ``MAX_TEXT_PAIRS`` checked).
+Matches are kept per document as an array, never exploded.
 
 Defined results: null and empty texts match nothing; a template of fewer than
 two words has its single word as its only pair; of equal scores the template
@@ -24,6 +28,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -34,7 +39,7 @@ from tabflow.llm.common import LOWER, UPPER
 THRESHOLD = 0.8
 MAX_TEMPLATE_PAIRS = 5_000
 MAX_TEXT_PAIRS = 50_000
-WINDOW_STEPS = 100            # window starts per template size
+SEARCHED_WORDS = 6            # of a template, searched one by one
 SLACK = 1e-9                  # sizes exactly on a bound stay in; the coefficient decides
 
 # Licence notices.
@@ -140,9 +145,27 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     low, high = threshold / (2 - threshold) - SLACK, (2 - threshold) / threshold + SLACK
     least, most = min(map(len, known.values())) * low, max(map(len, known.values())) * high
     every = F.array(*[F.lit(p) for p in sorted({p for ps in known.values() for p in ps})])
+    long = texts() if long is None else long
+    if sum(len(normal_pairs(text)) for _, text in long) > MAX_TEXT_PAIRS:
+        raise ValueError(f"licence texts of more than {MAX_TEXT_PAIRS} word pairs")
+    long = [t for t in long if len(words_of(t[1])) > 1]
+    wanted = [t for t in sorted(templates.items()) if len(words_of(t[1])) > 1] + long
+    wanted_titles = [t for t in titles if words_of(t[1])]
+    sets = [telling_words(normal_pairs(t), _least_shared(t, threshold)) for _, t in wanted + wanted_titles]
+    telling = set().union(*sets)
+    # a unit that matches holds one of these words: the texts without any, nearly all, are empty from here on.  The few words of
+    # short templates are searched as they stand, those of whole licence texts among the words of the text
+    short = set().union(*(s for s in sets if len(s) <= SEARCHED_WORDS), *(telling_words(normal_pairs(t), _least_shared(t, threshold)) for t in templates.values()))
+    rare = sorted(telling - short)
+    lower = F.col("lower")
+    told = reduce(lambda a, b: a | b, [lower.contains(w) for w in sorted(short, key=lambda w: (len(w), w))])
+    if rare:
+        told = told | F.arrays_overlap(F.split(lower, "[^a-z0-9]+"), _literals(rare))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("id", "text", F.translate("text", UPPER, LOWER).alias("lower")).select("id", "text", "lower", told.alias("told"))
+    rows = rows.select("id", F.when(F.col("told"), F.col("text")).alias("text"), F.when(F.col("told"), lower).otherwise("").alias("lower"))
     # one sentence a line, words apart by one blank; each step binds its result once for the next
-    lines = F.regexp_replace(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER),
-                             "(?<=[.!?])[ \\t\\r]+", "\n")
+    lines = F.regexp_replace("lower", "(?<=[.!?])[ \\t\\r]+", "\n")
     sentences = F.transform(F.split(F.regexp_replace(lines, "[^a-z0-9\n]+", " "), "\n"),
                             lambda u: F.filter(F.split(u, " "), lambda w: w != ""))
     pairs_of = lambda words: F.greatest(F.size(words) - 1, F.least(F.size(words), F.lit(1)))
@@ -165,29 +188,26 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     rated = F.transform(admitted, lambda u: F.struct(best(u).alias("best"), u["words"].alias("words")))
     matches = F.transform(F.filter(rated, lambda m: m["best"]["dice"] >= threshold), lambda m: F.struct(
         m["best"]["licence"].alias("licence"), m["best"]["dice"].alias("dice"), F.array_join(m["words"], " ").alias("unit")))
-    long = texts() if long is None else long
-    if sum(len(normal_pairs(text)) for _, text in long) > MAX_TEXT_PAIRS:
-        raise ValueError(f"licence texts of more than {MAX_TEXT_PAIRS} word pairs")
-    long = [t for t in long if len(words_of(t[1])) > 1]
-    wanted = [t for t in sorted(templates.items()) if len(words_of(t[1])) > 1] + long
-    wanted_titles = [t for t in titles if words_of(t[1])]
     words = F.flatten("parts")
-    telling = set().union(*(telling_words(normal_pairs(text), _least_shared(text, threshold)) for _, text in wanted + wanted_titles))
     hot = F.arrays_overlap(words, _literals(telling))
     # the text goes on only where a long match is possible
-    rows = docs.select(F.col(id_col).alias("id"), sentences.alias("parts"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("id", sentences.alias("parts"), "text")
     rows = rows.select("id", "parts", units.alias("units"), F.when(hot, F.col("text")).alias("text")).select(
         "id", matches.alias("matches"), "text", F.when(F.col("text").isNotNull(), F.col("parts")).alias("parts"))
     rows = rows.select("id", "matches", "text", "parts", F.flatten("parts").alias("words"))
     rows = rows.select("*", _pairs(F.col("words")).alias("pairs"))
     every_long = _literals({p for _, text in wanted + wanted_titles for p in normal_pairs(text)})
     rows = rows.select("*", F.array_intersect("pairs", every_long).alias("there"), F.when(F.col("text").isNotNull(), _blocks()).alias("blocks"),
-                       F.when(F.col("text").isNotNull(), _spans(F.col("parts"))).alias("lines"))
-    rows = rows.select("id", "matches", "words", "lines", _candidates(wanted, wanted_titles, len(wanted) - len(long), threshold).alias("candidates"))
+                       F.when(F.col("text").isNotNull(), _spans(F.col("parts"))).alias("lines"),
+                       F.when(F.col("text").isNotNull(), F.flatten(F.transform("parts", lambda w, i: F.array_repeat(i, F.size(w))))).alias("line_of"))
+    rows = rows.select("id", "matches", "words", "lines", _candidates(wanted, wanted_titles, len(wanted) - len(long), threshold).alias("candidates"),
+                       F.array_distinct(F.transform("matches", lambda m: F.struct(m["unit"].alias("unit"), m["licence"].alias("licence")))).alias("named"))
+    rows = rows.select("*", F.transform("named", lambda m: m["unit"]).alias("named_units"), F.transform("named", lambda m: m["licence"]).alias("named_as"))
     further = F.when(F.size("candidates") > 0, _apart())
     return rows.select(F.col("id").alias(id_col), F.concat("matches", F.coalesce(further, _NO_MATCH())).alias("matches"))
 
 
+_CANDIDATES = "array<struct<dice:double,order:int,start:int,stop:int,licence:string>>"
 _NO_MATCH = lambda: F.array().cast("array<struct<licence:string,dice:double,unit:string>>")
 
 
@@ -202,9 +222,17 @@ def _least_shared(text: str, threshold: float) -> int:
 
 
 def _spans(parts: Column) -> Column:
-    """(start, length) in words of consecutive parts."""
-    return F.transform(parts, lambda w, i: F.struct(F.aggregate(F.slice(parts, 1, i), F.lit(0), lambda n, x: n + F.size(x)).alias("start"),
-                                                    F.size(w).alias("length")))
+    """(start, length) in words of consecutive parts: the places of marks set behind each part, less the marks before."""
+    marked = F.flatten(F.transform(parts, lambda w: F.concat(w, F.array(F.lit("\n")))))
+    ends = F.filter(F.transform(marked, lambda w, i: F.when(w == "\n", i)), lambda i: i.isNotNull())
+    edges = F.zip_with(F.concat(F.array(F.lit(-1)), ends), ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.transform(F.filter(edges, lambda e: e["b"].isNotNull()), lambda e, k: F.struct(
+        (e["a"] + 1 - k).alias("start"), (e["b"] - e["a"] - 1).alias("length")))
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _blocks() -> Column:
@@ -217,7 +245,7 @@ def _blocks() -> Column:
 
 def _candidates(wanted: list, titles: list, n_notices: int, threshold: float) -> Column:
     """Every long unit that reaches the threshold: (dice, order, start, stop, licence)."""
-    none = F.array().cast("array<struct<dice:double,order:int,start:int,stop:int,licence:string>>")
+    none = F.array().cast(_CANDIDATES)
     if not wanted + titles:
         return none
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -227,20 +255,37 @@ def _candidates(wanted: list, titles: list, n_notices: int, threshold: float) ->
     n, pairs = F.size("words"), F.col("pairs")
     low = threshold / (2 - threshold) - SLACK
 
+    def candidate(t, size, shared, start, length) -> Column:
+        return F.struct((2.0 * shared / (size + F.size(t["pairs"]))).alias("dice"), (-t["order"]).alias("order"), start.alias("start"),
+                        (start + length).alias("stop"), t["licence"].alias("licence"))
+
+    def rated(t, start, length, then) -> Column:
+        """``then`` of (distinct pairs, those shared with the template) of a span."""
+        # element by element: a slice would copy the whole array first
+        own = F.array_distinct(F.transform(F.sequence(start, start + length - 2), lambda j: F.get(pairs, j)))
+        return _let(_let(own, lambda o: F.struct(F.size(o).alias("size"), F.size(F.array_intersect(o, t["pairs"])).alias("shared"))), then)
+
     def found(t: Column) -> Column:
         is_title, is_notice = t["order"] >= len(wanted), t["order"] < n_notices
-        step = F.greatest(F.lit(1), ((t["length"] - 1) / WINDOW_STEPS).cast("int"))
-        windows = F.transform(F.sequence(F.lit(0), n - t["length"], step), lambda i: F.struct(i.alias("start"), t["length"].alias("length")))
+        # one word further a window shares one pair more at most: the starts that cannot reach the least are passed over
+        # Each start is met twice, first to rate it, then to use the rating: a value bound inside would copy what is kept so far.
+        zero = F.expr(f"named_struct('next', 0, 'kept', cast(array() as {_CANDIDATES}), 'x', named_struct('size', 0, 'shared', 0))")
+        state = lambda after, kept, x: F.struct(after.alias("next"), kept.alias("kept"), x.alias("x"))
+        hit = lambda x: 2.0 * x["shared"] >= threshold * (x["size"] + F.size(t["pairs"]))
+
+        def met(s, step):
+            i = F.shiftright(step, 1)
+            here = candidate(t, s["x"]["size"], s["x"]["shared"], i, t["length"])
+            used = state(i + F.greatest(F.lit(1), t["least"] - s["x"]["shared"]), F.when(hit(s["x"]), F.concat(s["kept"], F.array(here))).otherwise(s["kept"]), s["x"])
+            return F.when(i < s["next"], s).when(step % 2 == 0, state(s["next"], s["kept"], rated(t, i, t["length"], lambda x: x))).otherwise(used)
+
+        windows = F.aggregate(F.sequence(F.lit(0), 2 * (n - t["length"]) + 1), zero, met)["kept"]
         blocks = F.filter(F.when(is_title, F.col("lines")).otherwise(F.col("blocks")), lambda b: (b["length"] > 1) & (
             b["length"] - 1 >= F.size(t["pairs"]) * low))
-        spans = F.when(~is_title & (n >= t["length"]), F.concat(windows, blocks)).otherwise(blocks)
-        own = F.transform(spans, lambda b: F.struct(b["start"].alias("start"), b["length"].alias("length"), F.array_distinct(
-            F.slice(pairs, b["start"] + 1, b["length"] - 1)).alias("own")))
-        scored = F.transform(own, lambda b: F.struct(
-            (2.0 * F.size(F.array_intersect(b["own"], t["pairs"])) / (F.size(b["own"]) + F.size(t["pairs"]))).alias("dice"),
-            (-t["order"]).alias("order"), b["start"].alias("start"), (b["start"] + b["length"]).alias("stop"), t["licence"].alias("licence")))
+        whole = F.transform(blocks, lambda b: rated(t, b["start"], b["length"], lambda x: candidate(t, x["size"], x["shared"], b["start"], b["length"])))
+        scored = F.when(~is_title & (n >= t["length"]), F.concat(windows, whole)).otherwise(whole)
         # inside one sentence the sentence as a whole decides whether it is a notice
-        one = lambda c: F.exists("lines", lambda b: (b["start"] <= c["start"]) & (b["start"] + b["length"] >= c["stop"]))
+        one = lambda c: F.get("line_of", c["start"]) == F.get("line_of", c["stop"] - 1)
         return F.filter(scored, lambda c: (c["dice"] >= threshold) & ~(is_notice & one(c)))
 
     possible = F.filter(known, lambda t: (F.size("there") >= t["least"]) & (
@@ -250,17 +295,16 @@ def _candidates(wanted: list, titles: list, n_notices: int, threshold: float) ->
 
 def _apart() -> Column:
     """The best candidates, none in the place of a better one or of a sentence that matched."""
-    named = F.transform("matches", lambda m: m["unit"])
-    spans = F.concat("lines", F.array(F.struct(F.lit(0).alias("start"), F.size("words").alias("length"))))
-    unit = lambda start, length: F.array_join(F.slice("words", start + 1, length), " ")
+    named = F.col("named_units")
+    spans = F.filter(F.concat("lines", F.array(F.struct(F.lit(0).alias("start"), F.size("words").alias("length")))), lambda b: b["length"] > 0)
+    unit = lambda start, length: F.array_join(F.transform(F.sequence(start, start + length - 1), lambda j: F.get("words", j)), " ")
     taken = F.transform(F.filter(spans, lambda b: F.array_contains(named, unit(b["start"], b["length"]))), lambda b: F.struct(
         F.lit(0.0).alias("dice"), F.lit(1).alias("order"), b["start"].alias("start"), (b["start"] + b["length"]).alias("stop"),
-        F.element_at("matches", F.array_position(named, unit(b["start"], b["length"])).cast("int"))["licence"].alias("licence")))
+        F.element_at("named_as", F.array_position(named, unit(b["start"], b["length"])).cast("int")).alias("licence")))
     inside = lambda k, c: (k["licence"] == c["licence"]) & (k["start"] <= c["start"]) & (k["stop"] >= c["stop"])
     same = lambda k, c: inside(k, c) | (2 * (F.least(k["stop"], c["stop"]) - F.greatest(k["start"], c["start"])) >= F.greatest(
         k["stop"] - k["start"], c["stop"] - c["start"]))
-    kept = F.aggregate(F.sort_array("candidates", asc=False), taken.cast(
-        "array<struct<dice:double,order:int,start:int,stop:int,licence:string>>"), lambda held, c: F.when(
+    kept = F.aggregate(F.sort_array("candidates", asc=False), taken.cast(_CANDIDATES), lambda held, c: F.when(
         F.exists(held, lambda k: same(k, c)), held).otherwise(F.concat(held, F.array(c))))
     return F.transform(F.filter(kept, lambda k: k["order"] <= 0), lambda k: F.struct(
         k["licence"].alias("licence"), k["dice"].alias("dice"), unit(k["start"], k["stop"] - k["start"]).alias("unit")))

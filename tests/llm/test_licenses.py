@@ -1,4 +1,8 @@
+import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from tabflow.llm import licenses as L
 
@@ -69,3 +73,85 @@ def test_full_texts_titles_and_wrapped_notices(spark):
     assert [m["licence"] for m in got["changed"]] == ["MIT"] and got["changed"][0]["dice"] < 0.9
     assert "Apache-2.0" in {m["licence"] for m in got["header"]}
     assert got["prose"] == got["mention"] == got["half"] == []
+
+
+LONG = (("Long", "permission is hereby granted to any person who obtains a copy of this software licence to deal in it without any "
+         "restriction and to use copy change merge publish and sell copies of it"),
+        ("Short", "you may copy this under the terms of the licence of the authors only"))
+SHORT = {"MIT": "Released under the MIT License.", "All": "All rights reserved."}
+NAMES = [("MIT", "MIT License"), ("Long", "The Long Licence")]
+
+
+def brute_scan(text):
+    """The whole scan in plain Python, every window of every template."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    norm = lambda t: [w for w in re.sub("[^a-z0-9]+", " ", t).split(" ") if w]
+    parts = [norm(p) for p in re.sub(r"(?<=[.!?])[ \t\r]+", "\n", low).split("\n")]
+    words, line_of = [w for p in parts for w in p], [i for i, p in enumerate(parts) for _ in p]
+    notices = [(m[0], m[1], u) for u in [*parts, *([words] if len(parts) > 1 else [])] for m in [sentence(u)] if m]
+    spans = lambda units: [(sum(map(len, units[:i])), len(u)) for i, u in enumerate(units)]
+    blocks = spans([norm(p) for p in re.split("\n[ \t\r]*\n", low)]) + [(0, len(words))]
+    wanted = sorted(SHORT.items()) + list(LONG)
+    candidates = []
+    for order, (name, t) in enumerate(wanted + NAMES):
+        own = norm(t.lower())
+        pairs = {f"{a} {b}" for a, b in zip(own, own[1:])}
+        title = order >= len(wanted)
+        units = [(a, n) for a, n in (spans(parts) if title else blocks) if n > 1 and n - 1 >= len(pairs) * L.THRESHOLD / (2 - L.THRESHOLD) - 1e-9]
+        if not title:
+            units += [(a, len(own)) for a in range(len(words) - len(own) + 1)]
+        for a, n in units:
+            got = {f"{x} {y}" for x, y in zip(words[a:a + n], words[a + 1:a + n])}
+            dice = 2.0 * len(got & pairs) / (len(got) + len(pairs))
+            if dice >= L.THRESHOLD and not (order < len(SHORT) and line_of[a] == line_of[a + n - 1]):
+                candidates.append((dice, -order, a, a + n, name))
+    units = [" ".join(u) for _, _, u in notices]
+    held = [(0.0, 1, a, a + n, notices[units.index(" ".join(words[a:a + n]))][0]) for a, n in spans(parts) + [(0, len(words))] if " ".join(words[a:a + n]) in units]
+    for c in sorted(candidates, reverse=True):
+        if not any((k[4] == c[4] and k[2] <= c[2] and k[3] >= c[3]) or 2 * (min(k[3], c[3]) - max(k[2], c[2])) >= max(k[3] - k[2], c[3] - c[2]) for k in held):
+            held.append(c)
+    return sorted([(n, round(d, 9), " ".join(u)) for n, d, u in notices] + [(k[4], round(k[0], 9), " ".join(words[k[2]:k[3]])) for k in held if k[1] <= 0])
+
+
+def sentence(words):
+    best = None
+    for name, t in sorted(SHORT.items()):
+        pairs = set(L.normal_pairs(t))
+        mine = [f"{a} {b}" for a, b in zip(words, words[1:])] or words
+        n, p = len(mine), len(pairs)
+        if n and p * L.THRESHOLD / (2 - L.THRESHOLD) - 1e-9 <= n <= p * (2 - L.THRESHOLD) / L.THRESHOLD + 1e-9:
+            dice = 2.0 * len(set(mine) & pairs) / (n + p)
+            if dice >= L.THRESHOLD and (best is None or dice > best[1]):
+                best = (name, dice)
+    return best
+
+
+def test_whole_scan_equals_brute_force(spark):
+    rng = random.Random(8)
+    pool = [t for _, t in LONG] + list(SHORT.values()) + [t for _, t in NAMES] + ["Plain words of prose go here", "\n\n", "\n", " ", ". "]
+    texts = ["", "licence", "\n".join(["Released under the MIT License."] * 5)]
+    for _ in range(60):
+        words = " ".join(rng.choice(pool) for _ in range(rng.randint(1, 7))).replace(" ", " ~").split("~")
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(len(words))
+            words[i:i + 1] = rng.choice([[], [words[i]] * 2, ["other "], ["\n", words[i]], ["\n\n", words[i]]])
+        texts.append("".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: sorted((m["licence"], round(m["dice"], 9), m["unit"]) for m in r["matches"])
+           for r in L.scan(df, SHORT, long=LONG, titles=NAMES).collect()}
+    found = 0
+    for i, t in enumerate(texts):
+        assert got[i] == brute_scan(t), t
+        found += sum(len(m[2].split()) > 10 for m in got[i])
+    assert found > 15
+
+
+def test_a_very_long_text_is_linear(spark):
+    seconds = []
+    for lines in (500, 4_000):
+        text = "\n".join(f"line {i} of prose with a licence word" if i % 9 else "Released under the MIT License." for i in range(lines))
+        start = time.time()
+        r = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.size("matches")).first()[0]
+        seconds.append(time.time() - start)
+        assert r == -(-lines // 9)
+    assert seconds[1] < 8 * seconds[0] + 5, seconds
