@@ -364,8 +364,32 @@ def _absolute_errors(df: DataFrame, features, target: str, fold_col: str, weight
     return {(r["config"], r["fold"]): r["e"] for r in out.collect()}
 
 
+def moment_scores(m: Moments, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Correlation and F-score of every feature with the target, and the ``k`` best features in column order (ties to the first)."""
+    cov, var, var_y = m.sxy / m.n - m.sx / m.n * m.sy / m.n, np.diag(m.sxx) / m.n - (m.sx / m.n) ** 2, m.syy / m.n - (m.sy / m.n) ** 2
+    fine = (var > 0) & (var_y > 0)
+    r = np.where(fine, cov / np.sqrt(np.where(fine, var * var_y, 1)), 0.0)
+    r2 = r * r
+    top = np.finfo(float).max
+    scores = np.where(r2 < 1, r2 / np.where(r2 < 1, 1 - r2, 1) * (m.n - 2), top)
+    best = sorted(range(len(scores)), key=lambda i: (-round(float(scores[i]), 6), i))[:k]
+    return r, scores, sorted(best)
+
+
+def _solve_selected(m: Moments, cfg: LinearConfig, shift, std, k: int | None) -> tuple[float, np.ndarray]:
+    """A fit on the ``k`` features that score best on the same rows; the others have the coefficient 0."""
+    if k is None:
+        return solve(m, cfg, shift, std)
+    at = moment_scores(m, k)[2]
+    part = Moments(m.n, m.sx[at], m.sy, m.sxx[np.ix_(at, at)], m.sxy[at], m.syy)
+    b, w = solve(part, cfg, (shift[0][at], shift[1]), None if std is None else std[at])
+    full = np.zeros(len(m.sx))
+    full[at] = w
+    return b, full
+
+
 def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs,
-              fit_scope: str = "fold", on_null: str = "error") -> tuple[DataFrame, dict]:
+              fit_scope: str = "fold", on_null: str = "error", select_k: int | None = None) -> tuple[DataFrame, dict]:
     """M3 for the linear family: ``(fold_metrics, solutions)``.
 
     ``fold_metrics``: ``(model, fold, n, rmse, mae, r2)`` for every config and
@@ -375,6 +399,7 @@ def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs,
     None)]`` fitted on all rows.  ``fit_scope``: ``"fold"`` scales on each
     training fold (default, no leak); ``"global"`` scales on all rows first, as
     the reference does (T10).  ``on_null``: see :func:`complete_rows`.
+    ``select_k``: every fit uses the k features of best F-score on its own training rows.
     """
     features, configs = list(features), list(configs)
     if fit_scope not in ("fold", "global"):
@@ -387,9 +412,9 @@ def cv_linear(df: DataFrame, features, target: str, fold_col: str, configs,
     glob = _pop_std(total, shift) if fit_scope == "global" and total is not None else None
     sol, rows = {}, []
     for cfg in configs if total is not None else ():
-        sol[(cfg.name, None)] = solve(total, cfg, shift)
+        sol[(cfg.name, None)] = _solve_selected(total, cfg, shift, None, select_k)
         for f, m in per_fold.items():
-            sol[(cfg.name, f)] = solve(total - m, cfg, shift, glob)
+            sol[(cfg.name, f)] = _solve_selected(total - m, cfg, shift, glob, select_k)
     weights = {f: (np.array([sol[(c.name, f)][0] for c in configs]), np.stack([sol[(c.name, f)][1] for c in configs], axis=1))
                for f in per_fold} if configs else {}
     absolute = _absolute_errors(data, features, target, fold_col, weights) if weights else {}

@@ -46,3 +46,22 @@ def compare_predictions(df: DataFrame, models: dict, keep=()) -> DataFrame:
     return out.select(*[q(c) for c in keep], *[q(c) for c in cols],
                       row_mean(cols).alias("pred_mean"), row_std(cols).alias("pred_std"),
                       row_min(cols).alias("pred_min"), row_max(cols).alias("pred_max"))
+
+
+def compare_stored_predictions(tables: dict, key: str, prediction_col: str = "prediction") -> DataFrame:
+    """M22 + J7 for predictions that lie in tables of their own: ``(key, rows_<name>..., pred_<name>..., statistics)``, one row a key.
+
+    All tables are grouped by key in one shuffle, however many there are, after partial sums in every task.  A key that a table
+    does not have has no prediction of it (null, 0 rows) and is kept; of a key that it has several times the mean counts, with the
+    number of rows beside it; null keys are one key.
+    """
+    names = list(tables)
+    long = None
+    for name in names:
+        part = tables[name].select(q(key).alias(key), F.lit(name).alias("__model"), q(prediction_col).cast("double").alias("__p"))
+        long = part if long is None else long.unionByName(part)
+    mine = lambda n: F.col("__model") == F.lit(n)
+    wide = long.groupBy(q(key).alias(key)).agg(
+        *[F.count_if(mine(n)).alias(f"rows_{n}") for n in names], *[F.avg(F.when(mine(n), F.col("__p"))).alias(f"pred_{n}") for n in names])
+    cols = [f"pred_{n}" for n in names]
+    return wide.select("*", row_mean(cols).alias("pred_mean"), row_std(cols).alias("pred_std"), row_min(cols).alias("pred_min"), row_max(cols).alias("pred_max"))

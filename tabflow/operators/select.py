@@ -103,3 +103,19 @@ def prepare_modeling_data(df: DataFrame, target: str, exclude=()):
                             if f.name in feats and f.dataType.simpleString() == "string"])
     names = numeric_columns(coded.select(*[q(c) for c in feats]))
     return coded.select(*[q(c) for c in names + [target]]), names
+
+
+def fold_f_scores(df: DataFrame, target: str, fold_col: str, k: int, cols=None) -> DataFrame:
+    """FS2 inside the folds (no leak): ``(fold, feature, correlation, n, f_score, rank, selected)`` of every training fold, from one
+    pass over the rows: a training fold's moments are all rows' less the fold's.  Nulls fail with their count."""
+    from tabflow.models.linear import fold_moments, moment_scores
+    cols = [c for c in (cols or numeric_columns(df)) if c not in (target, fold_col)]
+    per_fold, _ = fold_moments(df, cols, target, fold_col)
+    rows = []
+    if per_fold:
+        total = sum(list(per_fold.values())[1:], list(per_fold.values())[0])
+        for f, m in sorted(per_fold.items()):
+            r, scores, chosen = moment_scores(total - m, k)
+            order = sorted(range(len(cols)), key=lambda i: (-round(scores[i], 6), i))
+            rows += [(f, cols[i], float(r[i]), int((total - m).n), float(scores[i]), place + 1, i in chosen) for place, i in enumerate(order)]
+    return df.sparkSession.createDataFrame(rows, "fold int, feature string, correlation double, n bigint, f_score double, rank int, selected boolean")

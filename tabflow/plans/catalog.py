@@ -837,7 +837,7 @@ from tabflow.models import forest as _forest  # noqa: E402
 from tabflow.models import linear as _lin  # noqa: E402
 from tabflow.models import search as _search  # noqa: E402
 from tabflow.models.metrics import summarize_folds  # noqa: E402
-from tabflow.models.scoring import SelectColumns, compare_predictions, load_and_score  # noqa: E402
+from tabflow.models.scoring import SelectColumns, compare_predictions, compare_stored_predictions, load_and_score  # noqa: E402
 from tabflow.plans import modeling as _modeling  # noqa: E402
 from tabflow.session import scratch_path  # noqa: E402
 from tabflow.sources import schema as _schema  # noqa: E402
@@ -914,6 +914,51 @@ def cv_summary(spark, sf):
     return round_doubles(summarize_folds(fm), 4)
 
 
+_EQUAL = """, n as (select count(*) as n, count(*) // 7 as q, count(*) % 7 as m from r)
+select {key}, cast(case when rank < m * (q + 1) then rank // (q + 1) else m + (rank - m * (q + 1)) // q end as integer) as fold7 from r, n"""
+
+
+@register("equal_folds", with_sales(f"""
+, r as (select *, row_number() over (order by md5(concat_ws('|', '42', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar),
+          cast(l_suppkey as varchar))), {KEY_SQL}) - 1 as rank from sales where split = 'train')
+""" + _EQUAL.format(key=KEY_SQL)))
+def equal_folds(spark, sf):
+    """M2: seven shuffled folds whose sizes differ by one row at most."""
+    return _folds.equal_folds(_train(spark, sf), 7, KEY[:4], 42, out="fold7").select(*KEY, "fold7")
+
+
+@register("contiguous_folds", with_sales(f"""
+, r as (select *, row_number() over (order by {KEY_SQL}) - 1 as rank from sales where split = 'train')
+""" + _EQUAL.format(key=KEY_SQL)))
+def contiguous_folds(spark, sf):
+    """M2: seven contiguous blocks of the rows in key order."""
+    return _folds.equal_folds(_train(spark, sf), 7, KEY, shuffle=False, out="fold7").select(*KEY, "fold7")
+
+
+_PICKED = ["visibility", "price", "est_year"]
+_PICK_SQL = "\n, c as (" + " union all ".join(
+    f"select f, {i} as i, '{c}' as feature, corr({c}, sales) as r, regr_slope(sales, {c}) as b, regr_intercept(sales, {c}) as a, count(*) as n "
+    f"from folds join t on t.fold <> folds.f group by f" for i, c in enumerate(_PICKED)) + """)
+, k as (select *, row_number() over (partition by f order by round(r * r / (1 - r * r) * (n - 2), 6) desc, i) as rank from c)"""
+
+
+@register("fold_feature_scores", with_sales(_FOLD_FIT + _PICK_SQL + """
+select cast(f as integer) as fold, feature, round(r, 6) as correlation, cast(n as bigint) as n, round(r * r / (1 - r * r) * (n - 2), 4) as f_score,
+  cast(rank as integer) as rank, rank <= 2 as selected from k"""))
+def fold_feature_scores(spark, sf):
+    """FS2 inside the folds: F-scores of every training fold, the two best kept."""
+    out = select.fold_f_scores(_train(spark, sf), "sales", "fold", 2, _PICKED)
+    return out.withColumn("correlation", round_scaled(F.col("correlation"), 6)).withColumn("f_score", round_scaled(F.col("f_score"), 4))
+
+
+@register("cv_ols_best_feature", with_sales(_FOLD_FIT + _PICK_SQL + _fold_metrics_sql(
+    "ols_best", "select * from k where rank = 1", "fit.a + fit.b * case fit.i when 0 then t.visibility when 1 then t.price else t.est_year end") + _M_SELECT))
+def cv_ols_best_feature(spark, sf):
+    """M3 + FS2 without leak: in every fold OLS on the one feature that scores best on its training rows."""
+    fm, _ = _lin.cv_linear(_train(spark, sf), _PICKED, "sales", "fold", [_lin.LinearConfig("ols_best", "ols")], select_k=1)
+    return round_doubles(fm, 4)
+
+
 @register("cv_ols_weight_dropped", with_sales(_FOLD_FIT + _fold_metrics_sql(
     "ols_weight", _OLS_FIT.replace("price", "weight"), "fit.a + fit.b * t.weight", "where t.weight is not null") + _M_SELECT))
 def cv_ols_weight_dropped(spark, sf):
@@ -1112,10 +1157,11 @@ def exact_tree_grid(spark, sf):
 
 @register("exact_forests_cv")
 def exact_forests_cv(spark, sf):
-    """M13 + M14: a forest of exact bootstrap trees and extra trees with random cuts, on five folds (trees: 10 and 20)."""
-    cands = [_C("forest", "exact_forest", {"n_estimators": 10, "max_depth": 10, "min_samples_split": 10, "min_samples_leaf": 4, "max_features": "sqrt"}),
-             _C("extra", "random_cut_trees", {"n_estimators": 20, "max_depth": 10, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"})]
-    return summarize_folds(_search.cross_validate(_engineered(spark, sf), cands, E3_FEATURES, "sales"))
+    """M13 + M14: a forest of exact bootstrap trees and extra trees with random cuts, on the three tuning folds (few trees;
+    the reference's space is ``estimators.EXACT_FOREST_SPACE``)."""
+    cands = [_C("forest", "exact_forest", {"n_estimators": 3, "max_depth": 8, "min_samples_split": 10, "min_samples_leaf": 4, "max_features": "sqrt"}),
+             _C("extra", "random_cut_trees", {"n_estimators": 6, "max_depth": 8, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"})]
+    return summarize_folds(_search.cross_validate(_tuning(_engineered(spark, sf)), cands, E3_FEATURES, "sales", "tune"))
 
 
 @register("quick_model_comparison")
@@ -1243,6 +1289,32 @@ def prediction_comparison(spark, sf):
     return round_doubles(compare_predictions(s.where("split = 'test'"), models, keep=KEY), 4)
 
 
+@register("stored_prediction_comparison", with_sales("""
+, t as (select * from sales where split = 'train')
+, fit as (select avg(sales) as a0, regr_slope(sales, price) as b, regr_intercept(sales, price) as a from t)
+, one as (select item_id, count(*) as n, avg(fit.a0) as p from sales, fit where split = 'test' group by item_id)
+, two as (select item_id, count(*) as n, avg(fit.a + fit.b * price) as p from sales, fit where split = 'test' and est_year >= 2000 group by item_id)
+, x as (select one.item_id, one.n as rows_baseline, coalesce(two.n, 0) as rows_ols_price, one.p as pred_baseline, two.p as pred_ols_price
+        from one left join two using (item_id))
+, y as (select *, list_filter([pred_baseline, pred_ols_price], lambda v: v is not null) as l from x)
+select item_id, cast(rows_baseline as bigint) as rows_baseline, cast(rows_ols_price as bigint) as rows_ols_price, round(pred_baseline, 4) as pred_baseline,
+  round(pred_ols_price, 4) as pred_ols_price, round(list_avg(l), 4) as pred_mean, round(case when len(l) > 1 then list_stddev_samp(l) end, 4) as pred_std,
+  round(list_min(l), 4) as pred_min, round(list_max(l), 4) as pred_max from y"""))
+def stored_prediction_comparison(spark, sf):
+    """M22 + J7 + S3: two models' predictions written by the sink, one of them for recent outlets only, compared by item."""
+    s = sales(spark, sf)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    parts = {"baseline": (_C("baseline", "linear_mean", {"kind": "mean"}), [], test),
+             "ols_price": (_C("ols_price", "linear_ols", {"kind": "ols"}), ["price"], test.where("est_year >= 2000"))}
+    tables = {}
+    for name, (c, features, rows) in parts.items():
+        scored = _ens.fit_candidate(train, c, features, "sales", "prediction").transform(rows).select("item_id", "prediction")
+        path = scratch_path(spark, "stored-predictions")
+        _sinks.write_table(scored, path)
+        tables[name] = _sinks.resume_table(spark, path)
+    return round_doubles(compare_stored_predictions(tables, "item_id"), 4)
+
+
 def _scoring_model(spark, sf):
     s = sales(spark, sf)
     train = s.where("split = 'train'")
