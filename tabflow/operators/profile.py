@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from tabflow.functions.quantiles import group_quantiles, quantile_columns, ranke
 from tabflow.functions.ranking import global_index
 from tabflow.session import scratch_path
 
+QQ_CHUNK = 65_536             # ranks of one value that a task handles at a time
+
 
 def _long(row_df: DataFrame, cols, fields, common=()) -> DataFrame:
     """One-row wide aggregate ``{field}_{i}`` -> long ``(column, field...)``;
@@ -269,38 +272,40 @@ def box_stats(df: DataFrame, col: str, group: str | None = None, whisker: float
     return qs.join(agg, group, "left")
 
 
-def qq_table(df: DataFrame, col: str) -> DataFrame:
+def qq_table(df: DataFrame, col: str, chunk: int = QQ_CHUNK) -> DataFrame:
     """Every order statistic against the standard-normal quantile of its
     plotting position (Filliben's medians), one row per distinct value:
     ``(sample, count, first_rank, theoretical)``, ``theoretical`` the mean over
     the value's ranks, with slope, intercept and r of the line fitted on all
     order statistics.
 
-    Values are counted and ranked on executors; each task turns the ranks of
-    its own values into normal quantiles and their sums, from which the line
-    follows exactly.
+    Values are counted and ranked on executors.  The ranks of a value are cut into chunks of ``chunk``, so that a value that
+    a third of all rows has is spread over tasks; each chunk turns its ranks into normal quantiles and their sums, sums are added
+    by value, and the line follows from them exactly.
     """
     ranked = ranked_values(df, col).select("value", "n", "before", "total")
+    at = F.expr(f"explode(sequence(0L, (n - 1) div {int(chunk)}L))")
+    chunks = ranked.select("*", at.alias("k")).select(
+        "value", "n", "before", "total", (F.col("before") + F.col("k") * chunk).alias("low"),
+        (F.col("before") + F.least("n", (F.col("k") + 1) * chunk)).alias("high"))
+    # chunks are dealt anew: the long ones of one value lie together
+    chunks = chunks.repartition("value", "low")
 
     def positions(batches):
         inverse = NormalDist().inv_cdf
         for batch in batches:
-            mean, total, squares = [], [], []
-            for n, before, size in zip(*(batch.column(c).to_pylist() for c in ("n", "before", "total"))):
-                s = s2 = 0.0
-                for rank in range(before + 1, before + n + 1):
-                    t = inverse(_plotting_position(rank, size))
-                    s += t
-                    s2 += t * t
-                mean.append(s / n)
-                total.append(s)
-                squares.append(s2)
-            yield pa.RecordBatch.from_arrays([batch.column("value"), batch.column("n"), batch.column("before"), pa.array(mean, pa.float64()),
-                                              pa.array(total, pa.float64()), pa.array(squares, pa.float64())],
-                                             ["sample", "count", "first_rank", "theoretical", "t", "t2"])
+            total, squares = [], []
+            for low, high, size in zip(*(batch.column(c).to_pylist() for c in ("low", "high", "total"))):
+                t = np.array([inverse(_plotting_position(rank, size)) for rank in range(low + 1, high + 1)])
+                total.append(t.sum())
+                squares.append((t * t).sum())
+            yield pa.RecordBatch.from_arrays([batch.column("value"), batch.column("n"), batch.column("before"), pa.array(total, pa.float64()),
+                                              pa.array(squares, pa.float64())], ["sample", "count", "first_rank", "t", "t2"])
 
     path = scratch_path(df.sparkSession, "qq")
-    ranked.mapInArrow(positions, "sample double, count long, first_rank long, theoretical double, t double, t2 double").write.parquet(path)
+    sums = chunks.mapInArrow(positions, "sample double, count long, first_rank long, t double, t2 double")
+    (sums.groupBy("sample", "count", "first_rank").agg(F.sum("t").alias("t"), F.sum("t2").alias("t2"))
+     .withColumn("theoretical", F.col("t") / F.col("count")).write.parquet(path))
     points = df.sparkSession.read.parquet(path)
     x, c = F.col("sample"), F.col("count")
     n, sx, sxx, st, stt, sxt = points.agg(F.sum(c), F.sum(c * x), F.sum(c * x * x), F.sum("t"), F.sum("t2"), F.sum(x * F.col("t"))).first()

@@ -80,6 +80,9 @@ def test_qq_line_over_all_order_statistics(spark):
     rng = np.random.default_rng(4)
     xs = np.sort(rng.normal(3, 2, 500).round(1))
     got = profile.qq_table(spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "x double"), "x").orderBy("sample").collect()
+    chunked = profile.qq_table(spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "x double"), "x", chunk=3).orderBy("sample").collect()
+    assert [r["sample"] for r in chunked] == [r["sample"] for r in got]
+    assert np.allclose([[r[c] for c in ("theoretical", "slope", "intercept", "r")] for r in chunked], [[r[c] for c in ("theoretical", "slope", "intercept", "r")] for r in got])
     n = len(xs)
     p = np.array([1 - 0.5 ** (1 / n), *((np.arange(2, n) - 0.3175) / (n + 0.365)), 0.5 ** (1 / n)])
     t = np.array([NormalDist().inv_cdf(v) for v in p])
