@@ -5,7 +5,7 @@ point; rows are ordered by the point's index on the Hilbert curve and the order
 is cut into runs, one per shard.  Neighbours on the curve are neighbours in
 every dimension, so a shard's file has narrow min/max ranges in all of them and
 readers can skip files by any of the columns.  The law kept is ``rows``: shard
-sizes differ by one row at most.
+sizes differ by one row at most.  Strings are quantised whole, by ranges of their distinct values, so names that share a long beginning still differ.
 
 Scale: texts are never shuffled, only (id, size, checksum, curve cell).  Cuts
 come from one aggregate; cell counts are at most 2^(BITS * dimensions) rows.  A
@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabflow.functions.ranking import range_bounds, range_number
 from tabflow.llm.common import stored
 
 BITS = 5
@@ -64,13 +65,15 @@ def hilbert_index(point: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A column as a double that keeps its order: strings by their first six UTF-8 bytes."""
-    kind = df.schema[name].dataType.simpleString()
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
+def as_number(df: DataFrame, name: str, levels: int = 2 ** BITS) -> Column:
+    """A column as a double that keeps its order.  A whole string counts as the number of bounds at or below it; the bounds cut the
+    distinct strings into ``levels`` ranges of about as many values (found in a hash sample of them, ``ranking.range_bounds``)."""
+    if df.schema[name].dataType.simpleString() != "string":
+        return F.col(name).cast("double")
+    values = df.select(F.col(name).alias("value")).where("value is not null").distinct()
+    n = values.count()
+    bounds = range_bounds(values, ["value"], n, max(1, -(-n // levels)))
+    return F.when(F.col(name).isNotNull(), range_number(df, [name], bounds)).cast("double")
 
 
 def curve_cell(cuts: list[list[float]], bits: int):
@@ -89,12 +92,13 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     """(id, size, text_crc32, cell, shard, slot) for every row."""
     spark = docs.sparkSession
     raw = F.col(text_col).cast("string")
+    numbers = [as_number(docs, d, 2 ** bits) for d in dims]
     point = docs.select(F.col(id_col).alias("id"), (F.coalesce(F.octet_length(raw), F.lit(0)) + 8).cast("bigint").alias("size"),
                         F.crc32(F.coalesce(raw, F.lit("")).cast("binary")).alias("text_crc32"),
-                        *[as_number(docs, d).alias(f"dim{i}") for i, d in enumerate(dims)])
+                        *[d.alias(f"dim{i}") for i, d in enumerate(numbers)])
     names = [f"dim{i}" for i in range(len(dims))]
     steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
-    found = docs.select(*[as_number(docs, d).alias(n) for n, d in zip(names, dims)]).agg(
+    found = docs.select(*[d.alias(n) for n, d in zip(names, numbers)]).agg(
         *[F.percentile_approx(n, steps, 10_000).alias(n) for n in names]).first()
     cuts = [sorted(set(found[n] or [])) for n in names]
     base = stored(point.select("id", "size", "text_crc32", curve_cell(cuts, bits)(F.struct(*names)).alias("cell"),

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabflow.llm import hilbert as H
 from tabflow.llm.queries import op9_hilbert
@@ -67,3 +68,11 @@ def test_nulls_ties_and_empty(spark):
     law_holds(got, 3, 4)
     assert sorted((r["size"], r["text_crc32"]) for r in got) == sorted([(8, 0), (8, 0), (8, 0), (10, zlib.crc32("é".encode()))])
     assert H.assign(df.limit(0), 3).count() == 0
+
+
+def test_long_common_beginnings_are_told_apart(spark):
+    rows = [(i, "x", "en", f"https://www.example.org/collection/{i % 64:03d}", 5) for i in range(6400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = H.assign(df, 16).join(df, "doc_id").groupBy("shard").agg({"source": "min", "doc_id": "count"}).collect()
+    assert len({r["min(source)"] for r in placed}) >= 14
+    assert H.assign(df.withColumn("source", F.lit(None).cast("string")), 3).count() == 6400
