@@ -43,22 +43,28 @@ IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}
                "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
                "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 IMPLIED_END["tfoot"] = IMPLIED_END["thead"] = IMPLIED_END["tbody"]
-# Words in class, id or role that name what is not the article.
-NOT_ARTICLE = set("""ad ads advert adverts advertisement advertising adbox adsense sponsor sponsored promo promotion banner
-    cookie cookies consent gdpr notice notices alert popup modal overlay paywall newsletter subscribe subscription signup
-    sidebar sidebars aside nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toolbar
-    footer header masthead topbar comment comments commentlist respond replies disqus reactions discussion
-    related recommended recommendations share sharing social widget widgets complementary contentinfo search""".split())
+# Words in class, id or role of what is no article, for certain and perhaps.
+CERTAIN = set("""ad ads advert adverts advertisement advertising adbox adsense sponsor sponsored cookie cookies consent gdpr popup
+    modal overlay paywall newsletter subscribe subscription signup sidebar sidebars nav navbar navigation menu menus breadcrumb
+    breadcrumbs pagination pager comment comments commentlist respond replies disqus share sharing social""".split())
+PERHAPS = set("""promo promotion banner notice notices alert aside toolbar footer header masthead topbar reactions discussion related
+    recommended recommendations widget widgets complementary contentinfo search""".split())
+# First words of names that tell how a page is laid out
+LAYOUT = {"no", "not", "has", "with", "without", "is"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+MOST_OF_PAGE = 0.5            # a marked element with so much of the page's text is a frame around it
+LINKED = 0.3                  # share of link text of what is perhaps no article
+SHORT = 0.1                   # or its share of the page's text, if it holds no heading
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>"""
                  r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "attrs", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "children", "attrs", "chars", "tags", "link_chars", "link_tags", "density", "inside", "headed")
 
     def __init__(self, tag: str, parent: "Node | None", attrs: str = ""):
         self.tag, self.parent, self.attrs = tag, parent, attrs
@@ -142,25 +148,45 @@ def in_order(root: Node) -> list[Node]:
     return nodes
 
 
-def not_article(node: Node) -> bool:
-    """Does the element itself say that it is no article text?"""
+def dropped(node: Node) -> bool:
+    """Is the element no article text by its tag, or hidden?"""
     if node.tag in DROPPED:
         return True
     if node.tag == "header":        # a page's header; an article's own header holds its heading
-        up = node.parent
-        while up and up.tag not in ("article", "main"):
-            up = up.parent
-        return up is None
-    if not node.attrs or node.tag in ("html", "body", "article", "main"):
-        return False
-    if HIDDEN.search(node.attrs):
-        return True
-    return any(w in NOT_ARTICLE for m in NAMES.finditer(node.attrs)
-               for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
+        return not node.inside
+    return bool(node.attrs and node.tag not in KEPT and HIDDEN.search(node.attrs))
+
+
+KEPT = {"html", "body", "article", "main"}
+
+
+def mark(node: Node) -> str:
+    """What an element's names say: "certain" (one word), "likely" (a word of a compound), "perhaps" or nothing.
+
+    A heading's or section's id is made from its words, so only other elements are marked by their id; names such as
+    ``no-sidebar`` describe the page's layout."""
+    if not node.attrs or node.tag in KEPT or node.tag in HEADINGS:
+        return ""
+    found = ""
+    for m in NAMES.finditer(node.attrs):
+        if m[1].lower() == "id" and (node.tag == "section" or node.inside and node.tag not in ("div", "ul", "ol")):
+            continue
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            words = WORDS.findall(name)
+            if words and words[0] in LAYOUT:
+                continue
+            if len(words) == 1 and words[0] in CERTAIN:
+                return "certain"
+            if any(w in CERTAIN for w in words):
+                found = "likely"
+            if any(w in PERHAPS for w in words):
+                found = found or "perhaps"
+    return found
 
 
 def prune(root: Node) -> None:
-    """Take out what names itself as no article, except where a whole article lies inside."""
+    """Take out what is no article: by tag or hidden first; then what its names mark, if its share of the page's text and of links
+    does not speak against it.  An element around a whole article stays."""
     nodes = in_order(root)
     holds = set()
     for node in nodes:
@@ -170,8 +196,30 @@ def prune(root: Node) -> None:
                 holds.add(id(up))
                 up = up.parent
     for node in nodes:
-        node.children = [c for c in node.children if isinstance(c, str) or id(c) in holds and c.tag not in RAW_TEXT
-                         or not not_article(c)]
+        node.inside = node.parent is not None and (node.parent.inside or node.parent.tag in ("article", "main"))
+    for node in nodes:
+        node.children = [c for c in node.children if isinstance(c, str) or id(c) in holds and c.tag not in RAW_TEXT or not dropped(c)]
+    nodes = in_order(root)
+    measure(nodes)
+    for node in reversed(nodes):
+        node.headed = node.tag in HEADINGS or any(c.headed for c in node.children if isinstance(c, Node))
+    page = max(1, root.chars)
+
+    def goes(node: Node) -> bool:
+        kind = mark(node)
+        if not kind or id(node) in holds:
+            return False
+        links, share = node.link_chars / max(1, node.chars), node.chars / page
+        if kind == "certain" or links >= LINKED:
+            return True
+        if share >= MOST_OF_PAGE:
+            return False
+        if kind == "likely":
+            return True
+        return share < SHORT and not node.headed
+
+    for node in nodes:
+        node.children = [c for c in node.children if isinstance(c, str) or not goes(c)]
 
 
 def measure(nodes: list[Node]) -> None:

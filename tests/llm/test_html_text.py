@@ -67,3 +67,26 @@ def test_rows(spark):
     got = sorted((r["page_id"] or 0, r["url"], r["text"]) for r in H.extract(df).collect())
     assert got == [(0, None, ""), (1, "u", BODY), (1, "u", BODY)]
     assert H.extract(df.limit(0)).count() == 0
+
+
+LONG = " ".join([BODY] * 12)
+
+
+@pytest.mark.parametrize("page,text", [
+    (f'<article><h1>T</h1><p>{LONG}</p><h2 id="related-work">Related work</h2><p>{LONG}</p></article>', ["T", LONG, "Related work", LONG]),
+    (f'<article><p>{LONG}</p><section id="discussion"><h2>D</h2><p>{BODY}</p></section></article>', [LONG, "D", BODY]),
+    (f'<article><p>{LONG}</p><section id="search-algorithms"><p>{BODY}</p></section></article>', [LONG, BODY]),
+    (f'<article><div class="entry-header"><h1>Title</h1></div><p>{LONG}</p></article>', ["Title", LONG]),
+    (f'<body><div class="elementor-widget"><p>{LONG}</p><p>{BODY}</p></div><div class="widget"><a href=x>one</a> <a href=y>two</a></div></body>', [LONG, BODY]),
+    (f'<body><div class="layout no-sidebar"><p>{LONG}</p><p>{BODY}</p></div><div class="sidebar"><p>Popular now</p></div></body>', [LONG, BODY]),
+    (f'<body><div id="content"><p>{LONG}</p><p>{BODY}</p><div class="ad">Buy</div><div class="cookie-bar">We use cookies</div></div>'
+     f'<div id="comments"><p>First!</p></div></body>', [LONG, BODY]),
+    (f'<article><p>{LONG}</p><div class="related"><h3>More</h3><a href=a>one story</a> <a href=b>another story</a></div></article>', [LONG]),
+    (f'<article><p>{LONG}</p><div class="share"><h4>Tell others</h4></div><div class="notice">Closed today.</div></article>', [LONG]),
+])
+def test_names_mark_and_density_decides(page, text):
+    assert H.main_text(page) == "\n\n".join(text)
+
+
+def test_many_nested_marks_are_linear():
+    assert H.main_text('<div class="widget" id="header">' * 20_000 + f"<p>{LONG}</p>") == LONG
