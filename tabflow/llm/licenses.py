@@ -40,6 +40,9 @@ THRESHOLD = 0.8
 MAX_TEMPLATE_PAIRS = 5_000
 MAX_TEXT_PAIRS = 50_000
 SEARCHED_WORDS = 6            # of a template, searched one by one
+SEARCHED_LENGTH = 5           # shorter ones stand inside too many other words
+# Words of any English text, the last to tell a licence
+COMMON = set("a and are as at be by for from in is it of on or that the this to under was which with you".split())
 SLACK = 1e-9                  # sizes exactly on a bound stay in; the coefficient decides
 
 # Licence notices.
@@ -107,7 +110,7 @@ def telling_words(pairs: list[str], need: int) -> set[str]:
         for word in pair.split():
             holders.setdefault(word, set()).add(pair)
     chosen, left = set(), set(pairs)
-    for word in sorted(holders, key=lambda w: ("licen" not in w, -len(w), w)):
+    for word in sorted(holders, key=lambda w: ("licen" not in w, w in COMMON, -len(w), w)):
         if len(left) < need:
             break
         chosen.add(word)
@@ -155,10 +158,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     telling = set().union(*sets)
     # a unit that matches holds one of these words: the texts without any, nearly all, are empty from here on.  The few words of
     # short templates are searched as they stand, those of whole licence texts among the words of the text
-    short = set().union(*(s for s in sets if len(s) <= SEARCHED_WORDS), *(telling_words(normal_pairs(t), _least_shared(t, threshold)) for t in templates.values()))
-    rare = sorted(telling - short)
+    notices = [telling_words(normal_pairs(t), _least_shared(t, threshold)) for t in templates.values()]
+    short = {w for s in sets + notices if len(s) <= SEARCHED_WORDS for w in s if len(w) >= SEARCHED_LENGTH}
+    rare = sorted(telling.union(*notices) - short)
     lower = F.col("lower")
-    told = reduce(lambda a, b: a | b, [lower.contains(w) for w in sorted(short, key=lambda w: (len(w), w))])
+    told = reduce(lambda a, b: a | b, [lower.contains(w) for w in sorted(short, key=lambda w: (len(w), w))], F.lit(False))
     if rare:
         told = told | F.arrays_overlap(F.split(lower, "[^a-z0-9]+"), _literals(rare))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
