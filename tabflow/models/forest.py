@@ -253,7 +253,7 @@ def _best_cuts(table: DataFrame, work: list, d: int) -> list[dict]:
         rest = []
         if made:
             _take_best(chosen_cut, slot, f, made)
-            rest = _unresolved(slot, f, place, sums, made)
+            rest = _unresolved(chosen_cut, slot, f, place, sums, made)
         best.append(chosen_cut)
         open_.append(rest)
         totals.append((n_all, s_all, q_all))
@@ -285,7 +285,7 @@ def _best_cuts(table: DataFrame, work: list, d: int) -> list[dict]:
             made = _edges(want, sums, column("n0"), column("s0"), n_all[slot], s_all[slot], work[m][0].params.min_samples_leaf)
             _take_best(best[m], slot, f, made)
             done = {id(r) for r in now}
-            open_[m] = [r for r in open_[m] if id(r) not in done] + _unresolved(slot, f, place, sums, made)
+            open_[m] = [r for r in open_[m] if id(r) not in done] + _unresolved(best[m], slot, f, place, sums, made)
     out = []
     for m, (tree, nodes) in enumerate(work):
         n_all, s_all, q_all = totals[m]
@@ -314,10 +314,16 @@ def _take_best(best: dict, slot, f, made) -> None:
             best[int(slot[i])] = cut
 
 
-def _unresolved(slot, f, place, sums, made) -> list[dict]:
+def _unresolved(best: dict, slot, f, place, sums, made) -> list[dict]:
+    """The entries that could still hold a better cut than their node's best."""
     bound, nb, sb = made[2], made[3], made[4]
+    floor = np.zeros(int(slot.max()) + 1 if len(slot) else 1)
+    for i, cut in best.items():
+        if i < len(floor):
+            floor[i] = max(cut[0], 0.0)
+    open_ = np.flatnonzero(np.isfinite(bound) & (bound > floor[slot] * (1 + 1e-12) + 1e-12))
     return [{"slot": int(slot[i]), "f": int(f[i]), "place": int(place[i]), "lo": float(sums[3][i]), "hi": float(sums[4][i]), "n0": float(nb[i]),
-             "s0": float(sb[i]), "bound": float(bound[i])} for i in np.flatnonzero(np.isfinite(bound) & (bound > 0))]
+             "s0": float(sb[i]), "bound": float(bound[i])} for i in open_]
 
 
 def _all_values(block, leaf, rows, plan):
