@@ -12,7 +12,7 @@ time, so the number of rounds grows with the logarithm of the longest list.
 
 Written tables are counted as they are written.  One of at most ``FEW`` rows is broadcast to what it is joined with,
 so that neither the lists of a hot key nor anything else is shuffled for it; a larger one is joined by a shuffle in which the
-rows of a list are salted and the anchors repeated per salt.  Tables are written in as many files as their rows need.
+rows of a long list are salted and its anchors repeated per salt.  Tables are written in as many files as their rows need.
 New links are contracted to edges between the components so far; only these edges are iterated over.
 """
 
@@ -28,7 +28,7 @@ from tabflow.llm.common import discard, stored
 ANCHORS = 16
 FEW = 200_000                 # rows of a few narrow columns that are broadcast
 ROWS_A_TASK = 100_000
-SALTS = 16
+ROWS_A_SALT = 20_000
 
 
 def tasks(rows: int) -> int:
@@ -119,8 +119,9 @@ def linked(postings: DataFrame, verify: Callable[[DataFrame, int], DataFrame], f
                 .select("key", "id", "n", "rest", F.coalesce("c", "id").alias("c")))
         sizes = labels.groupBy(F.col("component").alias("c")).agg(F.count(F.lit(1)).alias("size"))
         mixed, n_mixed, _ = counted(
-            rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least"), F.max("rest").alias("most"))
-            .where("low < high").select("key", "least", "most"), "mixed", n_open)
+            rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least"), F.max("rest").alias("most"),
+                                    F.ceil(F.count(F.lit(1)) / ROWS_A_SALT).cast("bigint").alias("salts"))
+            .where("low < high").select("key", "least", "most", "salts"), "mixed", n_open)
         if not n_mixed:
             for table in [mixed, *old]:
                 discard(table)
@@ -129,22 +130,24 @@ def linked(postings: DataFrame, verify: Callable[[DataFrame, int], DataFrame], f
         partner = F.greatest(F.col("least") * share[1], F.col("n") * part)
         reaches = F.least("rest", "most") * both * share[1] >= (F.col("n") * share[1] + partner) * part
         rows, n_rows, _ = counted(rows.join(few(mixed, n_mixed), "key").where(reaches).join(few(sizes, nodes), "c", "left").select(
-            "key", "id", "n", "rest", "c", F.coalesce("size", F.lit(1).cast("bigint")).alias("size")), "postings", n_open)
+            "key", "id", "n", "rest", "c", "salts", F.coalesce("size", F.lit(1).cast("bigint")).alias("size")), "postings", n_open)
         for table in [mixed, *old]:
             discard(table)
         # members of small components first: once they have met the list, the rest is mostly one component
         order = Window.partitionBy("key").orderBy("size", "id")
         heads, n_heads, _ = counted(rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= at_once)
-                                    .select("key", "id", "n", "rest", "place", "c"), "anchors", n_rows)
+                                    .select("key", "id", "n", "rest", "place", "c", "salts"), "anchors", n_rows)
         left = heads.select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"),
-                            F.col("place").alias("px"), F.col("c").alias("cx"))
+                            F.col("place").alias("px"), F.col("c").alias("cx"), "salts")
+        spread = left.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt")).drop("salts")
         numbered = rows.join(few(heads.select("key", "id", "place"), n_heads), ["key", "id"], "left")
         enough = F.least("rest", "rx") * both >= (F.col("n") + F.col("nx")) * part
         if n_heads <= FEW:
-            beside = numbered.join(F.broadcast(left), "key")
+            beside = numbered.join(F.broadcast(left.drop("salts")), "key")
         else:
-            salted = numbered.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-            beside = salted.join(left.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))), ["key", "salt"])
+            # only long lists have more than one salt
+            salted = numbered.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+            beside = salted.join(spread, ["key", "salt"])
         met = (beside.where(F.expr("c <> cx and (place is null or place > px)") & enough)
                .groupBy(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).agg(F.min("x").alias("anchor")))
         if tested is not None:

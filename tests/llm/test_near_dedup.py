@@ -2,7 +2,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
+from tabflow.llm import links as links_module
 from tabflow.llm import near_dedup as N
 from tabflow.llm.links import components, linked
 
@@ -102,8 +104,11 @@ def test_least_matches_is_the_binomial_tail():
     assert (rng.binomial(64, 0.75, 1_000_000) >= least).mean() > 1 - 1e-5
 
 
-def test_linked_loses_no_link(spark):
-    """Random lists and links against all pairs of each list."""
+@pytest.mark.parametrize("few,salt", [(200_000, 20_000), (0, 3)])
+def test_linked_loses_no_link(spark, monkeypatch, few, salt):
+    """Random lists and links against all pairs of each list, with broadcasts and with salted shuffles."""
+    monkeypatch.setattr(links_module, "FEW", few)
+    monkeypatch.setattr(links_module, "ROWS_A_SALT", salt)
     rng = random.Random(5)
     lists = {k: rng.sample(range(60), rng.choice([2, 5, 30])) for k in range(25)}
     links = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(60)}
