@@ -15,10 +15,11 @@ from tabflow.models import ensemble as E
 from tabflow.models import linear
 from tabflow.models import search as S
 from tabflow.operators import encode, profile
-from tabflow.plans import features
+from tabflow.plans import catalog, features
 from tabflow.plans.features import FeaturePipeline, FeaturePipelineModel
 from tabflow.roles import FIXTURE_ROLES as R
 from tabflow.sources.scan import load_data, read_table
+from tabflow.sources import tables
 from tabflow.sources.tables import sales
 
 SF = "/root/testdata/sf0.001"
@@ -252,3 +253,36 @@ def test_tuning_folds_and_evaluation_folds(spark):
     assert trials.count() == 4 and {r["model"] for r in evaluated.collect()} == {"r1", "t4"}
     assert {r["fold"] for r in fm.collect()} == set(range(5))
     assert {r["model"]: r["use_scaling"] for r in trials.collect()} == {"r1": True, "r9": True, "t1": False, "t4": False}
+
+
+def _lines_and_parts(spark, folder):
+    """Lines with unknown, null and repeated part keys."""
+    lines = [(i, i % 3, None if i % 11 == 0 else i % 23, i % 7, 10.0 + i, float(i % 5), i % 4 / 10) for i in range(200)]
+    parts = [(k, f"type {k % 3}", 900.0 + k) for k in range(20)] + [(5, "type 9", 950.0), (None, "type 0", 901.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, "
+                                 "l_quantity double, l_discount double").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_type string, p_retailprice double").write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_stored_view_has_the_rows_of_the_lazy_one(spark, tmp_path, broadcast_rows):
+    sf = _lines_and_parts(spark, tmp_path)
+    stored, lazy = tables.stored_sales(spark, sf, broadcast_rows), sales(spark, sf)
+    assert stored.schema == lazy.schema
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, lazy.collect()))
+
+
+def test_eda_run_sends_part_once_not_with_every_pass(spark, tmp_path, monkeypatch):
+    sf = _lines_and_parts(spark, tmp_path)
+    seen, joined = [], []
+    monkeypatch.setattr(catalog._modeling, "run_eda_and_features", lambda train, test, *_: seen.extend([train, test]) or {"validation": train})
+    lines = tables._lines
+    monkeypatch.setattr(tables, "_lines", lambda *args: joined.append(lines(*args)) or joined[-1])
+    catalog.eda_feature_run(spark, sf)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert len(joined) == 1 and "Join" in plan(joined[0])
+    assert len(seen) == 2 and not any("Join" in plan(df) or "Broadcast" in plan(df) for df in seen)
+    # a part table above the bound is never broadcast, however small its file is
+    tables.stored_sales(spark, sf, broadcast_rows=0)
+    assert "SortMergeJoin" in plan(joined[1]) and "Broadcast" not in plan(joined[1])
