@@ -74,3 +74,33 @@ def test_runs_counted_or_sorted(monkeypatch):
     monkeypatch.setattr(subtrees, "DENSE", 0)
     for a, b in zip(dense, subtrees._runs(key, g, 60)):
         assert np.allclose(a, b)
+
+
+def test_written_blocks_lie_in_small_row_groups(spark, frame, monkeypatch):
+    """A writer or a reader holds a row group: a few blocks, however many a task writes (Parquet measures every hundred rows only)."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(B, "GROUP_BYTES", 4096)
+    sizes, written = {}, B._written
+
+    def measured(df, name):
+        table = written(df, name)
+        for f in table.inputFiles():
+            meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+            sizes.setdefault(name, []).extend(meta.row_group(i).num_rows for i in range(meta.num_row_groups))
+        return table
+
+    monkeypatch.setattr(B, "_written", measured)
+    rows = spark.range(5000).select(F.sin("id").alias("x"), F.cos("id").alias("z"), F.sin(F.col("id") * 2).alias("y")).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        packed = B.pack(rows, ["x", "z"], "y", raw=True)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    G.train(packed, [(G.boost_params("depth", {"n_estimators": 3, "max_depth": 2}), None)])
+    assert set(sizes) == {"raw-blocks", "blocks", "margins"}
+    # 2,400 and more bytes a block
+    blocks = [r["n"] for r in packed.table.select("n").collect()]
+    assert sum(blocks) == 5000 and len(blocks) > 20
+    assert all(max(n) <= 2 and sum(n) % len(blocks) == 0 for n in sizes.values()), (len(blocks), {k: sorted(n) for k, n in sizes.items()})
