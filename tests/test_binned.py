@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabflow.models import binned as N
 from tabflow.models import blocks as B
+from tabflow.models import boosting as G
 from tabflow.models import ensemble as E
 from tabflow.models import forest as T
 from tabflow.models import search as S
@@ -130,3 +131,45 @@ def test_refits_and_ensembles_share_the_passes(data):
     assert len(imp) == 3 and all(abs(sum(r[m] for r in imp) - 1) < 1e-9 for m in "tfg")
     fm = E.cv_ensemble(df, cands[:2], FEATURES, "y").collect()
     assert len(fm) == 3 and sum(r["n"] for r in fm) == df.count()
+
+
+def test_a_forest_in_parts_scores_as_one_grown_whole(data, monkeypatch):
+    """The driver holds a few trees of a large forest at a time, the scores are the whole forest's at every depth."""
+    df, *_ = data
+    forest = {"trees": 5, "columns": 2, "bootstrap": True}
+    cands = [("single", N.Spec(depth=6, seed=0), 32), ("f3", N.Spec(depth=3, **forest), 32), ("f6", N.Spec(depth=6, **forest), 32),
+             ("no_sample", N.Spec(depth=4, trees=3, columns=1), 32)]
+    whole = N.cross_validate(df, cands, FEATURES, "y", "fold")
+    grown, grow = [], N.grow
+    monkeypatch.setattr(N, "grow", lambda p, jobs, **k: grown.append(sum(s.trees for s, _ in jobs)) or grow(p, jobs, **k))
+    monkeypatch.setattr(N, "NODES_AT_ONCE", 800)      # two trees of depth 6 on three folds
+    parts = N.cross_validate(df, cands, FEATURES, "y", "fold")
+    assert len(grown) > 4 and max(grown) < 5 * 3 and sum(grown) == (1 + 5 + 3) * 3
+    assert [r[:3] for r in parts] == [r[:3] for r in whole] and len(whole) == 12
+    assert np.allclose([r[3:] for r in parts], [r[3:] for r in whole])
+
+
+def test_many_boosters_train_in_groups_and_their_written_trees_are_forgotten(data, monkeypatch):
+    df, *_ = data
+    cands = [(f"b{k}", N.Spec(boosted=True, trees=5 + k, depth=2, step=0.3, share=0.8), 32) for k in range(3)]
+    whole = N.cross_validate(df, cands, FEATURES, "y", "fold")
+    kept, grow = [], N.grow
+
+    def grown(p, jobs, **k):
+        out = grow(p, jobs, **k)
+        kept.append((len(jobs), max(sum(t is not None for t in g.trees) for g in out[0]), [len(g.trees) for g in out[0]]))
+        return out
+
+    monkeypatch.setattr(N, "grow", grown)
+    monkeypatch.setattr(G, "AT_ONCE", 4)
+    assert np.allclose([r[1:] for r in N.cross_validate(df, cands, FEATURES, "y", "fold")], [r[1:] for r in whole])
+    assert [k[0] for k in kept] == [3, 3, 3] and [k[2] for k in kept] == [[5] * 3, [6] * 3, [7] * 3]
+    assert all(k[1] <= N.REFRESH for k in kept)
+    # as many at a time, and only new trees, for the second-order boosters
+    packed = B.pack(df, FEATURES, "y", "fold")
+    jobs = [(G.boost_params("depth", {"n_estimators": 3 + k, "max_depth": 2, "subsample": 0.8}), f) for k in range(2) for f in range(3)]
+    found = G.train(packed, jobs, keep_trees=False)
+    assert [len(m.trees) for m in found] == [3] * 3 + [4] * 3 and all(sum(t is not None for t in m.trees) <= G.REFRESH for m in found)
+    monkeypatch.setattr(G, "AT_ONCE", 32)
+    assert np.allclose([m.metrics for m in found], [m.metrics for m in G.train(packed, jobs)])
+    B.discard(packed.table)
