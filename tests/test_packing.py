@@ -104,3 +104,15 @@ def test_written_blocks_lie_in_small_row_groups(spark, frame, monkeypatch):
     blocks = [r["n"] for r in packed.table.select("n").collect()]
     assert sum(blocks) == 5000 and len(blocks) > 20
     assert all(max(n) <= 2 and sum(n) % len(blocks) == 0 for n in sizes.values()), (len(blocks), {k: sorted(n) for k, n in sizes.items()})
+
+
+def test_executors_do_not_hold_the_rows_while_trees_grow(frame, monkeypatch):
+    """Only searches that read the rows again, or pack them again, keep them."""
+    tree, other = S.Candidate("t", "decision_tree", {"maxDepth": 2}), S.Candidate("o", "decision_tree", {"maxDepth": 2, "maxBins": 16})
+    exact, ols = S.Candidate("e", "exact_tree", {"max_depth": 2}), S.Candidate("l", "linear_ols", {"kind": "ols"})
+    held, get = [], B.Packs.get
+    monkeypatch.setattr(B.Packs, "get", lambda self, *a, **k: (get(self, *a, **k), held.append(self.df.is_cached))[0])
+    for cands, cached in (([tree], False), ([exact], False), ([tree, other], True), ([tree, exact], True), ([tree, ols], True)):
+        held.clear()
+        found = S.cross_validate(frame, cands, ["x", "z"], "y", "t")
+        assert set(held) == {cached} and found.count() == 3 * len(cands)
